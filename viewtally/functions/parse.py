@@ -55,10 +55,13 @@ def parse_messages(msgs: DataFrame, strict: bool = False, metric: str | None = N
             "columnNameOfCorruptRecord": S.CORRUPT_COLUMN}
     met = F.lit(metric) if metric else metric_of_topic("topic")
     cols = [c for c in ("topic", "partition", "offset") if c in msgs.columns]
+    # The parsed struct comes out of a generator (one element, so one row per
+    # message): predicates on it cannot be pushed below the generator, which
+    # would otherwise inline ``from_json`` once per referenced field.
     df = msgs.select(
         met.alias("metric"),
         tm.key_to_ms("key").alias("ts_ms"),
-        F.from_json("value", S.EVENT_JSON, opts).alias("j"),
+        F.explode(F.array(F.from_json("value", S.EVENT_JSON, opts))).alias("j"),
         *cols,
     )
     missing = _missing_required(F.col("metric"), "j")

@@ -28,3 +28,14 @@ def checkpoint_dir(spark) -> str:
     if not d:
         raise RuntimeError("spark.checkpoint.dir is not set")
     return d
+
+
+def spread_if_narrow(df: DataFrame) -> DataFrame:
+    """Round-robin a scan over the cluster's cores when it has fewer
+    partitions than cores (a single unsplittable file), so per-row work such
+    as JSON parsing runs in parallel.  A scan of many files already has more
+    splits than cores and is returned untouched: no extra shuffle at scale."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

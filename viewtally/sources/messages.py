@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from viewtally import schemas as S
 from viewtally.functions import time as tm
 from viewtally.operators.numbering import dense_numbers
+from viewtally.plans.sizing import spread_if_narrow
 
 EVENT_TYPE_TO_METRIC = {"view": "pageview", "click": "click", "purchase": "order"}
 
@@ -75,8 +76,9 @@ def events_as_messages(events: DataFrame, prefix: str = "test", partitions: int
     the reject path (FLT-4) without dropping any row.
     """
     metric = _metric_of_type(F.col("event_type"))
-    base = (events.where(F.col("event_type").isin(*EVENT_TYPE_TO_METRIC))
-            .select("event_id", "ts", "user_id", "props", metric.alias("metric")))
+    base = spread_if_narrow(
+        events.where(F.col("event_type").isin(*EVENT_TYPE_TO_METRIC))
+        .select("event_id", "ts", "user_id", "props", metric.alias("metric")))
     key = tm.ntz_to_ms("ts").cast("string")
     value = event_payload(F.col("metric"), key, F.col("user_id"), F.col("event_id"), F.col("props"))
     if corrupt_every:
