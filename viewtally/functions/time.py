@@ -40,7 +40,7 @@ def ms_to_instant(ms) -> Column:
 
 def key_to_ms(key) -> Column:
     """Message key (epoch ms as text) -> bigint (PRJ-9)."""
-    return _c(key).cast("bigint")
+    return _c(key).try_cast("bigint")
 
 
 def local_wall(ms, tz: str = C.LABEL_TZ) -> Column:
