@@ -89,11 +89,11 @@ def commit(ledger: DataFrame, plan: DataFrame, require_existing: bool = True) ->
     led = ledger.select("topic", "part", F.col("off").cast("bigint"))
     upd = plan.select("topic", "part", "until_off")
     merged = led.join(upd, ["topic", "part"], "full_outer")
+    new_off = F.coalesce(F.col("until_off"), F.col("off"))
     if require_existing:
-        merged = merged.withColumn(
-            "off", F.when(F.col("off").isNull(),
-                          F.raise_error(F.concat(F.lit("no ledger row for "), F.col("topic"),
-                                                 F.lit("/"), F.col("part").cast("string"))))
-            .otherwise(F.col("off")))
-    return merged.select("topic", "part",
-                         F.coalesce(F.col("until_off"), F.col("off")).cast("bigint").alias("off"))
+        # checked in the output expression itself, so it cannot be pruned
+        new_off = F.when(F.col("off").isNull(),
+                         F.raise_error(F.concat(F.lit("no ledger row for "), F.col("topic"),
+                                                F.lit("/"), F.col("part").cast("string")))
+                         ).otherwise(new_off)
+    return merged.select("topic", "part", new_off.cast("bigint").alias("off"))
