@@ -25,6 +25,10 @@ from viewtally.sinks import parquet as PS
 from viewtally.sources import jdbc as JR
 
 
+# Text columns compared in pushed-down filters must not be CLOBs.
+LOG_COLUMN_TYPES = "metric VARCHAR(50), data VARCHAR(32000), msg_id VARCHAR(300), topic VARCHAR(255)"
+
+
 class LedgerStore(Protocol):
     def read(self) -> DataFrame: ...
     def write(self, ledger: DataFrame) -> None: ...
@@ -92,7 +96,7 @@ def jdbc_sink(spark: SparkSession, url: str, table: str, props: dict | None = No
         topics = sorted({r["topic"] for r in plan})
         JS.append_new(spark, rows, url, table, props=props, num_partitions=num_partitions,
                       stored_filter=F.col("topic").isin(*topics),
-                      column_types="metric VARCHAR(50), data VARCHAR(32000)")
+                      column_types=LOG_COLUMN_TYPES)
     return save
 
 

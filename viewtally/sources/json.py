@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,10 @@ def infer_schema(df: DataFrame, col: str = "value") -> str:
     """DDL schema of the JSON objects in ``col``, merged over all rows by a
     distributed aggregate (one small result row)."""
     row = df.select(F.schema_of_variant_agg(F.try_parse_json(col)).alias("s")).first()
-    return row["s"] if row else "STRUCT<>"
+    if not row or row["s"] is None:
+        return "STRUCT<>"
+    # variant schemas spell structs OBJECT<...>; DDL for from_json wants STRUCT<...>
+    return re.sub(r"\bOBJECT<", "STRUCT<", row["s"])
 
 
 def parse_with(df: DataFrame, schema: str, col: str = "value") -> DataFrame:

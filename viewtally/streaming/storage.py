@@ -48,7 +48,7 @@ def start_jdbc(msgs: DataFrame, url: str, table: str, ckpt: str, props: dict | N
             lo_hi = batch.agg(F.min("log_date").alias("lo"), F.max("log_date").alias("hi")).first()
             recent = (F.col("log_date") >= F.lit(lo_hi["lo"])) & (F.col("log_date") <= F.lit(lo_hi["hi"]))
             JS.append_new(batch.sparkSession, batch, url, table, props=props, stored_filter=recent,
-                          column_types="metric VARCHAR(50), data VARCHAR(32000)")
+                          column_types="metric VARCHAR(50), data VARCHAR(32000), msg_id VARCHAR(300)")
         finally:
             batch.unpersist()
 
