@@ -36,11 +36,15 @@ def write_logs(rows: DataFrame, path: str, files: int | None = None,
 
 
 def write_batch(rows: DataFrame, root: str, batch_id: int,
-                files: int = C.PARQUET_FILES_PER_BATCH) -> bool:
+                files: int = C.PARQUET_FILES_PER_BATCH, skip_empty: bool = True) -> bool:
     """One micro-batch to ``root/batch_id=<n>/…`` in overwrite mode, so a
     replayed batch replaces its own output instead of adding to it.  Empty
-    batches write nothing (FLT-1).  Returns whether anything was written."""
-    if rows.isEmpty():
+    batches write nothing (FLT-1).  Returns whether anything was written.
+
+    Streams pass ``skip_empty=False``: Spark does not run a stateless
+    micro-batch without data, and a second action on the batch would count
+    its rows twice in observed metrics."""
+    if skip_empty and rows.isEmpty():
         return False
     write_logs(rows, f"{root.rstrip('/')}/batch_id={batch_id}", files=files, mode="overwrite")
     return True

@@ -16,11 +16,10 @@ from pyspark.sql import functions as F
 from viewtally import config as C
 from viewtally.functions.parse import topics_for
 
-MESSAGE_COLUMNS = [
-    F.col("key").cast("string").alias("key"),
-    F.col("value").cast("string").alias("value"),
-    F.col("topic"), F.col("partition"), F.col("offset"),
-]
+def message_columns() -> list:
+    return [F.col("key").cast("string").alias("key"),
+            F.col("value").cast("string").alias("value"),
+            F.col("topic"), F.col("partition"), F.col("offset")]
 
 
 def stream_options(brokers: str, prefix: str, metrics=C.METRICS, starting: str = "latest",
@@ -42,7 +41,7 @@ def stream_options(brokers: str, prefix: str, metrics=C.METRICS, starting: str =
 def read_stream(spark: SparkSession, brokers: str, prefix: str, **kw) -> DataFrame:
     """Streaming messages ``key, value, topic, partition, offset``."""
     return (spark.readStream.format("kafka").options(**stream_options(brokers, prefix, **kw))
-            .load().select(*MESSAGE_COLUMNS))
+            .load().select(*message_columns()))
 
 
 def range_options(plan_rows) -> dict:
@@ -62,7 +61,7 @@ def read_ranges(spark: SparkSession, brokers: str, plan_rows, extra: dict | None
     topics = sorted({r["topic"] for r in plan_rows})
     opts = {"kafka.bootstrap.servers": brokers, "subscribe": ",".join(topics),
             **range_options(plan_rows), **(extra or {})}
-    return spark.read.format("kafka").options(**opts).load().select(*MESSAGE_COLUMNS)
+    return spark.read.format("kafka").options(**opts).load().select(*message_columns())
 
 
 def read_latest(spark: SparkSession, brokers: str, topics: list[str]) -> DataFrame:

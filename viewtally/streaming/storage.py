@@ -30,7 +30,7 @@ def log_stream(msgs: DataFrame) -> DataFrame:
 def start_parquet(msgs: DataFrame, root: str, ckpt: str, trigger: dict | None = None,
                   files: int = C.PARQUET_FILES_PER_BATCH) -> StreamingQuery:
     def sink(batch: DataFrame, batch_id: int) -> None:
-        PS.write_batch(batch, root, batch_id, files)
+        PS.write_batch(batch, root, batch_id, files, skip_empty=False)
 
     return (log_stream(msgs).writeStream.queryName("log_parquet")
             .option("checkpointLocation", ckpt)
@@ -41,11 +41,12 @@ def start_parquet(msgs: DataFrame, root: str, ckpt: str, trigger: dict | None =
 def start_jdbc(msgs: DataFrame, url: str, table: str, ckpt: str, props: dict | None = None,
                trigger: dict | None = None) -> StreamingQuery:
     def sink(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
+        # cached: the range lookup and the write then run the batch once
         batch = batch.persist()
         try:
             lo_hi = batch.agg(F.min("log_date").alias("lo"), F.max("log_date").alias("hi")).first()
+            if lo_hi["lo"] is None:      # empty batch (FLT-1)
+                return
             recent = (F.col("log_date") >= F.lit(lo_hi["lo"])) & (F.col("log_date") <= F.lit(lo_hi["hi"]))
             JS.append_new(batch.sparkSession, batch, url, table, props=props, stored_filter=recent,
                           column_types="metric VARCHAR(50), data VARCHAR(32000), msg_id VARCHAR(300)")
