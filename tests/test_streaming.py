@@ -29,16 +29,18 @@ def write_files(spark, msgs, folder, lo_day, hi_day):
 
 
 def test_metric_streams_equal_batch_and_survive_restart(spark, tmp):
+    from viewtally.operators import trending as TR
+    from viewtally.operators.ticks import TickGrid
     msgs = M.messages(spark, SF001)
     src = os.path.join(tmp, "in")
     out, ckpt = os.path.join(tmp, "out"), os.path.join(tmp, "ckpt")
     write_files(spark, msgs, src, 1, 16)
-    s1 = SM.start(M.message_file_stream(spark, src), out, ckpt, {"availableNow": True})
+    s1 = SM.start(M.message_file_stream(spark, src), out, ckpt, {"availableNow": True}, clock="event")
     s1.process_all_available()
     s1.stop()
     # restart on the same checkpoint after more files arrived
     write_files(spark, msgs, src, 16, 32)
-    s2 = SM.start(M.message_file_stream(spark, src), out, ckpt, {"availableNow": True})
+    s2 = SM.start(M.message_file_stream(spark, src), out, ckpt, {"availableNow": True}, clock="event")
     s2.process_all_available()
     s2.stop()
 
@@ -50,26 +52,40 @@ def test_metric_streams_equal_batch_and_survive_restart(spark, tmp):
     want_h = {(r.bucket_ms, r.video): r.n for r in K.bucket_counts(pv, "hour", ["video"]).collect()}
     got_h = {(r.bucket_ms, r.video): r.n for r in SM.read_table(spark, out, "topvideos_h").collect()}
     assert got_h == want_h
-    seen = SM.read_table(spark, out, "last_seen")
-    last = ev.where(F.col("metric") == "pageview").agg(F.max("ts_ms")).first()[0]
-    active = SM.users_at(seen, last)
-    brute = ev.where((F.col("metric") == "pageview") & (F.col("ts_ms") > last - 360_000)) \
-        .groupBy("uid").agg(F.max("ts_ms").alias("last_ms"))
-    assert sorted(map(tuple, active.collect())) == sorted(map(tuple, brute.collect()))
+
+    # published per batch: trend and active users at each batch's tick
+    trend = SM.read_published(spark, out, "topvideos")
+    ticks = sorted(r.tick_ms for r in trend.select("tick_ms").distinct().collect())
+    assert len(ticks) >= 2
+    for tick in ticks[-2:]:
+        grid = TickGrid(tick, tick + 1, 3_600_000)
+        back = {r.video: r.n for r in TR.trending(pv.select("ts_ms", "video"), grid).collect()}
+        live = {r.video: r.n for r in trend.where(F.col("tick_ms") == tick).collect()}
+        assert live == back
+    users = SM.read_published(spark, out, "activeusers")
+    for tick in [r.tick_ms for r in users.select("tick_ms").distinct().collect()][-3:]:
+        brute = pv.where((F.col("ts_ms") > tick - 360_000) & (F.col("ts_ms") <= tick)) \
+            .groupBy("uid").agg(F.max("ts_ms").alias("last_ms"))
+        live = users.where(F.col("tick_ms") == tick).select("uid", "last_ms")
+        assert sorted(map(tuple, live.collect())) == sorted(map(tuple, brute.collect()))
 
 
-def test_trend_from_tiers_matches_backfill(spark, tmp):
+def test_trend_at_matches_backfill(spark):
     from viewtally.operators import trending as TR
     from viewtally.operators.ticks import TickGrid
     ev = P.valid_events(M.messages(spark, SF001, with_offsets=False))
     pv = ev.where(F.col("metric") == "pageview")
-    tick = pv.agg(F.max("ts_ms")).first()[0]
     minute = K.bucket_counts(pv, "minute", ["video"])
-    hour = K.bucket_counts(pv, "hour", ["video"])
-    live = {r.video: r.n for r in SM.trend_from_tiers(minute, hour, tick).collect()}
-    grid = TickGrid(tick, tick + 1, 3_600_000)
-    back = {r.video: r.n for r in TR.trending(pv.select("ts_ms", "video"), grid).collect()}
-    assert live == back and live
+    for q in (0.5, 0.9):
+        tick = int(pv.approxQuantile("ts_ms", [q], 0.0)[0])
+        upto = minute.where(F.col("bucket_ms") <= tick)
+        exact_tier = K.bucket_counts(pv.where(F.col("ts_ms") <= tick), "minute", ["video"])
+        grid = TickGrid(tick, tick + 1, 3_600_000)
+        for mode in ("exact", "ttl"):
+            live = {r.video: r.n for r in TR.trend_at(exact_tier, tick, mode=mode).collect()}
+            back = {r.video: r.n for r in TR.trending(pv.select("ts_ms", "video"), grid, mode=mode).collect()}
+            assert live == back and live
+        assert upto.count() >= exact_tier.count()
 
 
 def test_log_storage_stream(spark, tmp):

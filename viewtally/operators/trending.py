@@ -129,3 +129,35 @@ def trend_bucket_keys(ticks: DataFrame, hours: int = C.TREND_HOURS, tz: str = C.
     return ticks.select(tm.ms_to_ntz("tick_ms").alias("tick"),
                         F.posexplode(F.concat(hour_keys, minute_keys)).alias("pos", "bucket_key")) \
         .withColumn("pos", F.col("pos").cast("bigint"))
+
+
+def trend_at(minute_tier: DataFrame, tick_ms: int, hours: int = C.TREND_HOURS,
+             tz: str = C.LABEL_TZ, mode: str = "exact",
+             hour_ttl_s: int = C.TOP_VIDEOS_HOUR_TTL,
+             minute_ttl_s: int = C.TOP_VIDEOS_MINUTE_TTL) -> DataFrame:
+    """STR-3 live: the trend at one tick from the minute tier
+    (``bucket_ms, video, n, last_ms``) holding no event after the tick, as at
+    the end of the micro-batch that defines the tick.  Hour buckets are the
+    sums of their minutes.  Output ``video, n``."""
+    H, M = C.HOUR_MS, C.MINUTE_MS
+    t = F.lit(tick_ms).cast("bigint")
+    h_now = tm.hour_start(t, tz)
+    hs = tm.hour_start("bucket_ms", tz)
+    m_lo = t - F.pmod(t, _b(M)) - _b(hours * H)
+    recent = minute_tier.where((F.col("bucket_ms") >= m_lo) & (F.col("bucket_ms") <= t))
+    in_hours = recent.where(hs >= h_now - _b((hours - 1) * H))
+    tail = recent.where(hs < h_now - _b((hours - 1) * H))
+    if mode == "ttl":
+        # bucket-wide last writes; at most hours*60+1 minute rows: bounded
+        full_hours = in_hours.where(hs < h_now)
+        h_lw = full_hours.groupBy(hs.alias("hb")).agg(F.max("last_ms").alias("blw")) \
+            .where(F.col("blw") + _b(hour_ttl_s * 1000) > t)
+        kept_hours = full_hours.join(F.broadcast(h_lw), hs == F.col("hb"), "left_semi")
+        in_hours = kept_hours.unionByName(in_hours.where(hs >= h_now))
+        m_lw = tail.groupBy(F.col("bucket_ms").alias("mb")).agg(F.max("last_ms").alias("blw")) \
+            .where(F.col("blw") + _b(minute_ttl_s * 1000) > t)
+        tail = tail.join(F.broadcast(m_lw), F.col("bucket_ms") == F.col("mb"), "left_semi")
+    elif mode != "exact":
+        raise ValueError(mode)
+    return (in_hours.select("video", "n").unionByName(tail.select("video", "n"))
+            .groupBy("video").agg(F.sum("n").cast("bigint").alias("n")))

@@ -1,23 +1,70 @@
 """Keyed snapshot tables written per micro-batch (SNK-8, SET-3).
 
-Stand-in for the key store: every batch writes the rows it changed to
-``root/batch_id=<n>`` (overwrite, so a replayed batch is idempotent) and a
-reader takes, per key, the row of the newest batch.
+Stand-in for the key store: every batch writes the rows it changed under
+``root/day=<d>/batch_id=<n>`` and a reader takes, per key, the row of the
+newest batch.  Overwriting a (day, batch) directory makes a replayed batch
+idempotent; the day level lets a reader of a bounded horizon open only the
+days it needs, so its work does not grow with the stream's history.
 """
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from viewtally.functions import time as tm
+
+
+def _day(ms) -> F.Column:
+    return F.date_format(tm.ms_to_ntz(ms), "yyyy-MM-dd")
+
+
+def write(df: DataFrame, root: str, batch_id: int, day_of: str | None = None) -> None:
+    """Write one batch; ``day_of`` names the epoch-ms column that picks the
+    day partition (all rows go to one ``day=all`` partition without it)."""
+    day = _day(F.col(day_of)) if day_of else F.lit("all")
+    (df.withColumn("day", day).withColumn("batch_id", F.lit(batch_id))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("day", "batch_id").parquet(root))
+
 
-def write(df: DataFrame, root: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{root.rstrip('/')}/batch_id={batch_id}")
+def days_between(lo_ms: int, hi_ms: int) -> list[str]:
+    d = datetime.fromtimestamp(lo_ms / 1000, tz=timezone.utc).date()
+    end = datetime.fromtimestamp(hi_ms / 1000, tz=timezone.utc).date()
+    out = []
+    while d <= end:
+        out.append(d.isoformat())
+        d += timedelta(days=1)
+    return out
 
 
-def latest(spark: SparkSession, root: str, keys: list[str]) -> DataFrame:
+def exists(spark: SparkSession, path: str) -> bool:
+    """Path existence through Hadoop's FileSystem (local disk or cluster storage)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def read(spark: SparkSession, root: str, days: list[str] | None = None) -> DataFrame | None:
+    """All stored rows (with ``day`` and ``batch_id``), or only those of ``days``."""
+    root = root.rstrip("/")
+    cands = [root] if days is None else [f"{root}/day={d}" for d in days]
+    paths = [p for p in cands if exists(spark, p)]
+    if not paths:
+        return None
+    return spark.read.option("basePath", root).parquet(*paths)
+
+
+def newest(df: DataFrame, keys: list[str]) -> DataFrame:
     """Newest value per key over all batches (``max_by`` on ``batch_id``)."""
-    df = spark.read.option("basePath", root).parquet(root)
-    values = [c for c in df.columns if c not in keys and c != "batch_id"]
+    values = [c for c in df.columns if c not in keys and c not in ("batch_id", "day")]
     agg = F.max_by(F.struct(*values), F.col("batch_id")).alias("__v")
     return df.groupBy(*keys).agg(agg).select(*keys, *[F.col(f"__v.{v}").alias(v) for v in values])
+
+
+def latest(spark: SparkSession, root: str, keys: list[str],
+           days: list[str] | None = None) -> DataFrame | None:
+    df = read(spark, root, days)
+    return None if df is None else newest(df, keys)

@@ -2,15 +2,22 @@
 
 Several independent queries in one session (STR-8), each a stateful
 aggregation in ``update`` mode — counters are visible as soon as a batch
-ends, as with the key store — whose changed rows go to a snapshot table per
-micro-batch (``sinks.snapshot``).  Watermarks equal the key TTLs, so state
-stays bounded; rows later than the watermark are dropped and show up in
-``numRowsDroppedByWatermark`` (the key store would have restarted an expired
-bucket at 1 instead).
+ends, as with the key store — whose changed rows go to a day-partitioned
+snapshot table per micro-batch (``sinks.snapshot``).  Watermarks equal the
+key TTLs, so state stays bounded; rows later than the watermark are dropped
+and show up in ``numRowsDroppedByWatermark`` (the key store would have
+restarted an expired bucket at 1 instead).
+
+At the end of every batch the trend (STR-3) and the active / ordering users
+(STR-5) are published for the batch's tick, reading only the snapshot days
+their horizon covers.  The tick is the wall clock at the batch end
+(``clock="processing"``, as the original job) or the newest event time seen
+(``clock="event"``, deterministic; used by tests and replays).
 """
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,8 +27,12 @@ from pyspark.sql.streaming import StreamingQuery
 from viewtally import config as C
 from viewtally.functions import parse as P
 from viewtally.functions import time as tm
+from viewtally.operators.trending import trend_at
 from viewtally.sinks import snapshot
 
+KEYS = {"counters": ["metric", "bucket_ms"], "topvideos_m": ["bucket_ms", "video"],
+        "topvideos_h": ["bucket_ms", "video"], "last_seen": ["metric", "uid", "bucket_ms"]}
+
 
 def events_stream(msgs: DataFrame, strict: bool = False) -> DataFrame:
     """Parsed, valid events with an event-time instant ``ts`` for watermarks."""
@@ -66,29 +77,51 @@ def last_seen_minutes(events: DataFrame, horizon_ms: int = C.LAST_SEEN_HORIZON_M
 
 def users_at(seen: DataFrame, tick_ms: int, metric: str = "pageview",
              horizon_ms: int = C.LAST_SEEN_HORIZON_MS) -> DataFrame:
-    """STR-5 read side: ``uid, last_ms`` with ``tick - horizon < last_ms <= tick``."""
+    """STR-5 read side: ``uid, last_ms`` with ``tick - horizon < last_ms <= tick``
+    (the purge drops scores in ``[0, tick - horizon]``)."""
     return (seen.where((F.col("metric") == metric) & (F.col("last_ms") <= tick_ms)
                        & (F.col("last_ms") > tick_ms - horizon_ms))
             .groupBy("uid").agg(F.max("last_ms").alias("last_ms")))
 
 
-def trend_from_tiers(minute_tier: DataFrame, hour_tier: DataFrame, tick_ms: int,
-                     hours: int = C.TREND_HOURS, tz: str = C.LABEL_TZ) -> DataFrame:
-    """AGG-6 / SET-1 at one tick from the tier tables: hour buckets
-    ``H-(hours-1) .. H`` plus minute buckets ``minute(t - hours h)`` .. end of
-    hour ``H - hours``; ``video, n``.  Assumes the tiers hold no event after
-    the tick (true at the end of the batch that defines it)."""
-    spark = minute_tier.sparkSession
-    t = spark.range(1).select(F.lit(tick_ms).cast("bigint").alias("t"))
-    h_now = t.select(tm.hour_start("t", tz).alias("h")).first()["h"]
-    m_lo = tick_ms - tick_ms % C.MINUTE_MS - hours * C.HOUR_MS
-    hours_part = hour_tier.where((F.col("bucket_ms") >= h_now - (hours - 1) * C.HOUR_MS)
-                                 & (F.col("bucket_ms") <= h_now)).select("video", "n")
-    minutes_part = minute_tier.where((F.col("bucket_ms") >= m_lo)
-                                     & (F.col("bucket_ms") < h_now - (hours - 1) * C.HOUR_MS)
-                                     ).select("video", "n")
-    return (hours_part.unionByName(minutes_part).groupBy("video")
-            .agg(F.sum("n").cast("bigint").alias("n")))
+def _tick(batch: DataFrame, clock: str) -> int | None:
+    if clock == "processing":
+        return int(time.time() * 1000)
+    return batch.agg(F.max("last_ms")).first()[0]
+
+
+@dataclass
+class Publisher:
+    """Per-batch publication of the derived tables at the batch's tick."""
+    out_root: str
+    clock: str = "processing"
+    mode: str = "exact"
+    tz: str = C.LABEL_TZ
+
+    def _path(self, name: str) -> str:
+        return f"{self.out_root.rstrip('/')}/{name}"
+
+    def _publish(self, df: DataFrame, name: str, tick: int) -> None:
+        # one directory per tick (read back as the ``tick_ms`` column), overwritten on replay
+        df.write.mode("overwrite").parquet(f"{self._path(name)}/tick_ms={tick}")
+
+    def trend(self, spark: SparkSession, tick: int) -> None:
+        days = snapshot.days_between(tick - (C.TREND_HOURS + 1) * C.HOUR_MS, tick)
+        tier = snapshot.latest(spark, self._path("topvideos_m"), KEYS["topvideos_m"], days)
+        if tier is not None:
+            self._publish(trend_at(tier, tick, tz=self.tz, mode=self.mode), C.TOP_VIDEOS_KEY, tick)
+
+    def users(self, spark: SparkSession, tick: int) -> None:
+        days = snapshot.days_between(tick - C.LAST_SEEN_HORIZON_MS - C.MINUTE_MS, tick)
+        seen = snapshot.latest(spark, self._path("last_seen"), KEYS["last_seen"], days)
+        if seen is None:
+            return
+        seen = seen.persist()
+        try:
+            self._publish(users_at(seen, tick, "pageview"), C.ACTIVE_USERS_KEY, tick)
+            self._publish(users_at(seen, tick, "order"), C.ORDER_USERS_KEY, tick)
+        finally:
+            seen.unpersist()
 
 
 @dataclass
@@ -110,20 +143,26 @@ class MetricStreams:
             q.stop()
 
 
-def _start(df: DataFrame, name: str, out_root: str, ckpt_root: str,
-           trigger: dict) -> StreamingQuery:
+def _start(df: DataFrame, name: str, out_root: str, ckpt_root: str, trigger: dict,
+           after=None) -> StreamingQuery:
     root = f"{out_root.rstrip('/')}/{name}"
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        snapshot.write(batch, root, batch_id)
+        batch = batch.persist()     # written, then read for the tick: one pass
+        try:
+            snapshot.write(batch, root, batch_id, day_of="bucket_ms")
+            if after is not None:
+                after(batch)
+        finally:
+            batch.unpersist()
 
     return (df.writeStream.queryName(name).outputMode("update")
             .option("checkpointLocation", f"{ckpt_root.rstrip('/')}/{name}")
             .trigger(**trigger).foreachBatch(sink).start())
 
 
-def start(msgs: DataFrame, out_root: str, ckpt_root: str,
-          trigger: dict | None = None) -> MetricStreams:
+def start(msgs: DataFrame, out_root: str, ckpt_root: str, trigger: dict | None = None,
+          clock: str = "processing", trend_mode: str = "exact") -> MetricStreams:
     """Start the four metric queries over one message stream.
 
     ``trigger`` defaults to ``{"processingTime": "60 seconds"}``; tests pass
@@ -132,16 +171,33 @@ def start(msgs: DataFrame, out_root: str, ckpt_root: str,
     """
     trigger = trigger or {"processingTime": "60 seconds"}
     ev = events_stream(msgs)
+    pub = Publisher(out_root, clock, trend_mode)
+
+    def after_minutes(batch: DataFrame) -> None:
+        tick = _tick(batch, clock)
+        if tick is not None:
+            pub.trend(batch.sparkSession, tick)
+
+    def after_seen(batch: DataFrame) -> None:
+        tick = _tick(batch, clock)
+        if tick is not None:
+            pub.users(batch.sparkSession, tick)
+
     return MetricStreams(
         counters=_start(minute_counters(ev), "counters", out_root, ckpt_root, trigger),
-        video_minute=_start(video_tier(ev, "minute"), "topvideos_m", out_root, ckpt_root, trigger),
+        video_minute=_start(video_tier(ev, "minute"), "topvideos_m", out_root, ckpt_root,
+                            trigger, after_minutes),
         video_hour=_start(video_tier(ev, "hour"), "topvideos_h", out_root, ckpt_root, trigger),
-        last_seen=_start(last_seen_minutes(ev), "last_seen", out_root, ckpt_root, trigger),
+        last_seen=_start(last_seen_minutes(ev), "last_seen", out_root, ckpt_root, trigger,
+                         after_seen),
     )
 
 
 def read_table(spark: SparkSession, out_root: str, name: str) -> DataFrame:
     """Current content of a snapshot table written by ``start``."""
-    keys = {"counters": ["metric", "bucket_ms"], "topvideos_m": ["bucket_ms", "video"],
-            "topvideos_h": ["bucket_ms", "video"], "last_seen": ["metric", "uid", "bucket_ms"]}[name]
-    return snapshot.latest(spark, f"{out_root.rstrip('/')}/{name}", keys)
+    return snapshot.latest(spark, f"{out_root.rstrip('/')}/{name}", KEYS[name])
+
+
+def read_published(spark: SparkSession, out_root: str, name: str) -> DataFrame:
+    """Published per-tick table (``topvideos``, ``activeusers``, ``orderusers``)."""
+    return spark.read.parquet(f"{out_root.rstrip('/')}/{name}")
