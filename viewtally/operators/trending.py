@@ -63,26 +63,26 @@ def trending(views: DataFrame, grid: TickGrid, hours: int = C.TREND_HOURS,
         raise ValueError(mode)
     H, M = C.HOUR_MS, C.MINUTE_MS
     cells, minute, hour = view_tiers(views, grid, tz)
-    hs_m = tm.hour_start("m", tz)
+    # bounds first, as plain columns: the explode expressions stay small
+    # (one zone conversion per row instead of one per reference)
+    minute = minute.withColumn("hs", tm.hour_start("m", tz))
+
+    def spread(df: DataFrame, tier: str, b: str, lo, hi) -> DataFrame:
+        bounded = df.select(F.lit(tier).alias("tier"), F.col(b).alias("b"), "video", "c",
+                            lo.alias("lo"), hi.alias("hi"))
+        return bounded.select("tier", "b", "video", "c",
+                              F.explode(grid.ticks_in(F.col("lo"), F.col("hi"))).alias("tick_ms"))
 
     # hour buckets H-(hours-1) .. H-1 feed the ticks of the next hours-1 hours
-    from_hours = hour.select(
-        F.lit("h").alias("tier"), F.col("h").alias("b"), "video", "c",
-        F.explode(grid.ticks_in(F.col("h") + _b(H), F.col("h") + _b(hours * H))).alias("tick_ms"))
+    from_hours = spread(hour, "h", "h", F.col("h") + _b(H), F.col("h") + _b(hours * H))
     # tail minutes of hour H-hours from minute(t - hours h) on
-    tail = minute.select(
-        F.lit("m").alias("tier"), F.col("m").alias("b"), "video", "c",
-        F.explode(grid.ticks_in(hs_m + _b(hours * H),
-                                F.least(hs_m + _b((hours + 1) * H),
-                                        F.col("m") + _b(hours * H + M)))).alias("tick_ms"))
+    tail = spread(minute, "m", "m", F.col("hs") + _b(hours * H),
+                  F.least(F.col("hs") + _b((hours + 1) * H), F.col("m") + _b(hours * H + M)))
     # current hour: finished minutes before minute(t) ...
-    current = minute.select(
-        F.lit("c").alias("tier"), F.col("m").alias("b"), "video", "c",
-        F.explode(grid.ticks_in(F.col("m") + _b(M), hs_m + _b(H))).alias("tick_ms"))
+    current = spread(minute, "c", "m", F.col("m") + _b(M), F.col("hs") + _b(H))
     # ... and the views of minute(t) up to t itself
-    partial = cells.where(F.col("pt").isNotNull()).select(
-        F.lit("c").alias("tier"), F.col("m").alias("b"), "video", "c",
-        F.explode(grid.ticks_in(F.col("pt"), F.col("m") + _b(M))).alias("tick_ms"))
+    partial = spread(cells.where(F.col("pt").isNotNull()), "c", "m", F.col("pt"),
+                     F.col("m") + _b(M))
 
     if mode == "ttl":
         # last write per bucket over all videos; one row per hour / minute of
