@@ -60,3 +60,19 @@ def test_approx_users_close_to_exact(spark):
     assert approx.keys() == exact.keys()
     for k in exact:
         assert abs(approx[k] - exact[k]) <= max(2, 0.05 * exact[k])
+
+
+@pytest.mark.parametrize("name", ["views_per_minute", "video_views_per_hour", "trending_ttl",
+                                  "active_users", "log_rows_per_day", "bounded_read",
+                                  "trend_bucket_keys", "batch_counts"])
+def test_results_do_not_depend_on_session_zone(spark, con, name):
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = E.queries()[name](spark, SF001)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+    res = con.execute(E.oracle_sql()[name])
+    drows = res.fetchall()
+    assert canon(rows, df.columns) == canon(drows, [d[0] for d in res.description])

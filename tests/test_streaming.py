@@ -106,3 +106,9 @@ def test_log_storage_stream(spark, tmp):
     observed = sum(per_batch.values())
     assert observed == want
     assert set(stored.columns) >= {"metric", "log_date", "data", "msg_id", "log_day", "batch_id"}
+
+
+def test_hour_windows_follow_label_zone():
+    assert SM.hour_window_start("Asia/Ho_Chi_Minh") == "0 minutes"
+    assert SM.hour_window_start("Asia/Kolkata") == "30 minutes"
+    assert SM.hour_window_start("UTC") == "0 minutes"

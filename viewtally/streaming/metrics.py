@@ -53,13 +53,27 @@ def minute_counters(events: DataFrame) -> DataFrame:
             .select("metric", _window_ms().alias("bucket_ms"), "n", "last_ms"))
 
 
-def video_tier(events: DataFrame, grain: str) -> DataFrame:
+def hour_window_start(tz: str = C.LABEL_TZ) -> str:
+    """``startTime`` that aligns 1-hour windows with the hours of ``tz``
+    (e.g. ``30 minutes`` for UTC+5:30).  Window boundaries are fixed offsets
+    from the epoch, so a zone with daylight saving keeps its standard-time
+    alignment here."""
+    from datetime import datetime
+    from zoneinfo import ZoneInfo
+    off = datetime(2024, 1, 1, tzinfo=ZoneInfo(tz)).utcoffset()
+    minutes = int(off.total_seconds() // 60)
+    return f"{(-minutes) % 60} minutes"
+
+
+def video_tier(events: DataFrame, grain: str, tz: str = C.LABEL_TZ) -> DataFrame:
     """AGG-4 / AGG-5: ``bucket_ms, video, n, last_ms`` of page views."""
-    length, ttl = (("1 minute", C.TOP_VIDEOS_MINUTE_TTL) if grain == "minute"
-                   else ("1 hour", C.TOP_VIDEOS_HOUR_TTL))
+    if grain == "minute":
+        window, ttl = F.window("ts", "1 minute"), C.TOP_VIDEOS_MINUTE_TTL
+    else:
+        window, ttl = F.window("ts", "1 hour", startTime=hour_window_start(tz)), C.TOP_VIDEOS_HOUR_TTL
     return (events.where(F.col("metric") == "pageview")
             .withWatermark("ts", f"{ttl} seconds")
-            .groupBy(F.window("ts", length), "video")
+            .groupBy(window, "video")
             .agg(F.count(F.lit(1)).alias("n"), F.max("ts_ms").alias("last_ms"))
             .select(_window_ms().alias("bucket_ms"), "video", "n", "last_ms"))
 
