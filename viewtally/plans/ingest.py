@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass
+from functools import reduce
 from typing import Callable, Protocol
 
 from pyspark.sql import DataFrame, SparkSession
@@ -93,9 +94,15 @@ def parquet_sink(root: str) -> Callable[[DataFrame, list], None]:
 def jdbc_sink(spark: SparkSession, url: str, table: str, props: dict | None = None,
               num_partitions: int | None = None) -> Callable[[DataFrame, list], None]:
     def save(rows: DataFrame, plan: list) -> None:
-        topics = sorted({r["topic"] for r in plan})
+        # only rows of this run's ranges can collide: read back just those
+        # (one predicate per topic partition, pushed to the database)
+        ranges = [(F.col("topic") == r["topic"]) & (F.col("partition") == r["part"])
+                  & (F.col("offset") >= r["from_off"]) & (F.col("offset") < r["until_off"])
+                  for r in plan if r["until_off"] > r["from_off"]]
+        if not ranges:
+            return
         JS.append_new(spark, rows, url, table, props=props, num_partitions=num_partitions,
-                      stored_filter=F.col("topic").isin(*topics),
+                      stored_filter=reduce(lambda a, b: a | b, ranges),
                       column_types=LOG_COLUMN_TYPES)
     return save
 
