@@ -15,37 +15,56 @@ no per-event 300x window copies.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from viewtally import config as C
 from viewtally.functions import time as tm
 from viewtally.operators.ticks import TickGrid
-from viewtally.plans.sizing import broadcast_if_bounded
+from viewtally.plans.sizing import broadcast_if_bounded, share
 
 
 def _b(x: int):
     return F.lit(int(x)).cast("bigint")
 
 
-def view_tiers(views: DataFrame, grid: TickGrid, tz: str = C.LABEL_TZ):
-    """Return (cells, minute tier, hour tier).
+_LEVEL_COLS = ["m", "h", "video", "pt"]
+
+
+def _gid(*grouped: str) -> int:
+    """``grouping_id()`` of a grouping set over ``_LEVEL_COLS``."""
+    return sum(1 << (len(_LEVEL_COLS) - 1 - i)
+               for i, c in enumerate(_LEVEL_COLS) if c not in grouped)
+
+
+MINUTE_CELL = _gid("m", "h", "video", "pt")
+HOUR_CELL = _gid("h", "video")
+MINUTE_BUCKET = _gid("m", "h")
+HOUR_BUCKET = _gid("h")
 
-    ``cells``: ``m, video, pt, c, lw`` where ``pt`` is the first tick inside
-    the event's own minute (NULL if none) — the only raw detail a tick needs.
+
+def view_tiers(views: DataFrame, grid: TickGrid, tz: str = C.LABEL_TZ,
+               buckets: bool = False) -> DataFrame:
+    """Both rollup tiers in one aggregate (one scan, one shuffle).
+
+    Rows are told apart by ``gid``: ``MINUTE_CELL`` (m, h, video, pt) where
+    ``pt`` is the first tick inside the view's own minute (NULL if none) —
+    the only raw detail a tick needs — and ``HOUR_CELL`` (h, video).  With
+    ``buckets`` also the all-video last writes per minute / hour
+    (``MINUTE_BUCKET``, ``HOUR_BUCKET``) that the TTL mode checks.
+    Columns: ``m, h, video, pt, c, lw, gid``.
     """
     ms = F.col("ts_ms")
     m = tm.minute_start(ms)
     ft = grid.first_at_or_after(ms)
-    pt = F.when(ft < m + C.MINUTE_MS, ft)
-    cells = (views.groupBy(m.alias("m"), "video", pt.alias("pt"))
-             .agg(F.count(F.lit(1)).alias("c"), F.max("ts_ms").alias("lw")))
-    minute = cells.groupBy("m", "video").agg(F.sum("c").alias("c"), F.max("lw").alias("lw"))
-    hour = (minute.groupBy(tm.hour_start("m", tz).alias("h"), "video")
-            .agg(F.sum("c").alias("c"), F.max("lw").alias("lw")))
-    return cells, minute, hour
+    keyed = views.select(m.alias("m"), "video", "ts_ms", F.when(ft < m + C.MINUTE_MS, ft).alias("pt")) \
+        .withColumn("h", tm.hour_start("m", tz))
+    sets = [["m", "h", "video", "pt"], ["h", "video"]]
+    if buckets:
+        sets += [["m", "h"], ["h"]]
+    return (keyed.groupingSets(sets, *_LEVEL_COLS)
+            .agg(F.count(F.lit(1)).alias("c"), F.max("ts_ms").alias("lw"),
+                 F.grouping_id().alias("gid")))
 
 
 def trending(views: DataFrame, grid: TickGrid, hours: int = C.TREND_HOURS,
@@ -58,48 +77,45 @@ def trending(views: DataFrame, grid: TickGrid, hours: int = C.TREND_HOURS,
     ``mode="ttl"``: as the key store would answer, an hour bucket only while
     ``last write + hour TTL > t`` and a tail minute bucket only while
     ``last write + minute TTL > t`` (last write over all videos of the bucket).
+
+    Each tier row feeds contiguous tick ranges: an hour row ``h`` the ticks
+    whose hour is ``h+1 .. h+hours-1``; a minute row the ticks of its own hour
+    from its first tick on (current hour) and the ticks of hour ``h+hours``
+    whose horizon still starts at or before it (tail).  One explode, one
+    final aggregate; a view never meets a range join.
     """
     if mode not in ("exact", "ttl"):
         raise ValueError(mode)
     H, M = C.HOUR_MS, C.MINUTE_MS
-    cells, minute, hour = view_tiers(views, grid, tz)
-    # bounds first, as plain columns: the explode expressions stay small
-    # (one zone conversion per row instead of one per reference)
-    minute = minute.withColumn("hs", tm.hour_start("m", tz))
-
-    def spread(df: DataFrame, tier: str, b: str, lo, hi) -> DataFrame:
-        bounded = df.select(F.lit(tier).alias("tier"), F.col(b).alias("b"), "video", "c",
-                            lo.alias("lo"), hi.alias("hi"))
-        return bounded.select("tier", "b", "video", "c",
-                              F.explode(grid.ticks_in(F.col("lo"), F.col("hi"))).alias("tick_ms"))
-
-    # hour buckets H-(hours-1) .. H-1 feed the ticks of the next hours-1 hours
-    from_hours = spread(hour, "h", "h", F.col("h") + _b(H), F.col("h") + _b(hours * H))
-    # tail minutes of hour H-hours from minute(t - hours h) on
-    tail = spread(minute, "m", "m", F.col("hs") + _b(hours * H),
-                  F.least(F.col("hs") + _b((hours + 1) * H), F.col("m") + _b(hours * H + M)))
-    # current hour: finished minutes before minute(t) ...
-    current = spread(minute, "c", "m", F.col("m") + _b(M), F.col("hs") + _b(H))
-    # ... and the views of minute(t) up to t itself
-    partial = spread(cells.where(F.col("pt").isNotNull()), "c", "m", F.col("pt"),
-                     F.col("m") + _b(M))
-
+    tiers = view_tiers(views, grid, tz, buckets=(mode == "ttl"))
+    hour_end = F.col("h") + _b(hours * H)              # exclusive
+    tail_end = F.col("m") + _b(hours * H + M)
     if mode == "ttl":
-        # last write per bucket over all videos; one row per hour / minute of
-        # the grid span, so the size bound is known before broadcasting.
+        # the all-video last writes are one row per hour / minute of the
+        # span: proven bounds, broadcast.  The tiers are read three times,
+        # so they are materialised once (shared checkpoint folder).
+        tiers = share(tiers)
         span = max(grid.end_ms - grid.start_ms, 0) + C.DAY_MS
-        hour_lw = hour.groupBy(F.col("h").alias("b")).agg(F.max("lw").alias("blw"))
-        min_lw = minute.groupBy(F.col("m").alias("b")).agg(F.max("lw").alias("blw"))
-        from_hours = (from_hours.join(broadcast_if_bounded(hour_lw, span // H + 1), "b")
-                      .where(F.col("blw") + _b(hour_ttl_s * 1000) > F.col("tick_ms"))
-                      .drop("blw"))
-        tail = (tail.join(broadcast_if_bounded(min_lw, span // M + 1), "b")
-                .where(F.col("blw") + _b(minute_ttl_s * 1000) > F.col("tick_ms"))
-                .drop("blw"))
-
-    parts = [from_hours, tail, current, partial]
-    allc = reduce(DataFrame.unionByName, parts)
-    return allc.groupBy("tick_ms", "video").agg(F.sum("c").cast("bigint").alias("n"))
+        hour_lw = tiers.where(F.col("gid") == HOUR_BUCKET).select("h", F.col("lw").alias("h_lw"))
+        min_lw = tiers.where(F.col("gid") == MINUTE_BUCKET).select("m", F.col("lw").alias("m_lw"))
+        cells = (tiers.where(F.col("gid").isin(MINUTE_CELL, HOUR_CELL))
+                 .join(broadcast_if_bounded(hour_lw, span // H + 1), "h", "left")
+                 .join(broadcast_if_bounded(min_lw, span // M + 1), "m", "left"))
+        hour_end = F.least(hour_end, F.col("h_lw") + _b(hour_ttl_s * 1000))
+        tail_end = F.least(tail_end, F.col("m_lw") + _b(minute_ttl_s * 1000))
+    else:
+        cells = tiers
+    is_hour = F.col("gid") == HOUR_CELL
+    ranges = F.when(is_hour, grid.ticks_in(F.col("h") + _b(H), hour_end)).otherwise(
+        F.concat(
+            # current hour: from the first tick the minute's views reach
+            F.coalesce(grid.ticks_in(F.coalesce(F.col("pt"), F.col("m") + _b(M)), F.col("h") + _b(H)),
+                       F.array().cast("array<bigint>")),
+            # tail: hour h+hours while the horizon starts at or before m
+            F.coalesce(grid.ticks_in(F.col("h") + _b(hours * H), tail_end),
+                       F.array().cast("array<bigint>"))))
+    spread = cells.select("video", "c", F.explode(ranges).alias("tick_ms"))
+    return spread.groupBy("tick_ms", "video").agg(F.sum("c").cast("bigint").alias("n"))
 
 
 def present_trend(df: DataFrame) -> DataFrame:

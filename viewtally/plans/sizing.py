@@ -39,3 +39,18 @@ def spread_if_narrow(df: DataFrame) -> DataFrame:
     if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)
     return df
+
+
+def share(df: DataFrame) -> DataFrame:
+    """Materialise an intermediate that several branches of one plan read.
+
+    Branches that prune different columns defeat exchange reuse and would
+    each recompute the input; this computes it once.  With the cluster's
+    ``spark.checkpoint.dir`` set it is a reliable checkpoint (written to the
+    shared folder, lineage cut: survives executor loss); without it, a
+    memory-and-disk cache (recomputed from lineage if an executor is lost).
+    """
+    from pyspark import StorageLevel
+    if df.sparkSession.sparkContext.getCheckpointDir():
+        return df.checkpoint(eager=True)
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
