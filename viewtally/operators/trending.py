@@ -5,12 +5,13 @@ At tick ``t`` in hour ``H`` the live job unions the hour buckets ``H-4 .. H``
 with the minute buckets from ``minute(t - 5h)`` to minute 59 of hour ``H-5``
 and sums per video.  Together they cover ``[minute(t - 5h), t]`` exactly.
 
-Backfill form, built for size: the views are aggregated once into a minute
-tier (with the partial-minute counts a tick needs split off in the same
-aggregate), the hour tier is rolled up from it, and every tier row is spread
-over the ticks it feeds by arithmetic on the grid (at most 4 ticks per hour
-row, 1-2 per minute row for hourly ticks).  No range join, no nested loop,
-no per-event 300x window copies.
+Backfill form, built for size: one grouping-sets aggregate builds the
+minute tier (with the partial-minute detail a tick needs) and the hour tier
+in a single scan and shuffle; every tier row then feeds contiguous tick
+ranges computed by arithmetic on the grid (at most 4 ticks per hour row, 1-2
+per minute row for hourly ticks), exploded once into the final aggregate.
+No range join, no nested loop, no per-event 300x window copies, and no
+branches that would each re-read the input.
 """
 
 from __future__ import annotations

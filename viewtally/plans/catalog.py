@@ -20,6 +20,7 @@ from viewtally.operators import counters as K
 from viewtally.operators import ledger as L
 from viewtally.operators import trending as TR
 from viewtally.operators.ticks import TickGrid, every_minutes, hourly_at
+from viewtally.plans.sizing import share
 from viewtally.sources import messages as M
 
 PREFIX = "test"
@@ -149,13 +150,20 @@ def _previous_ledger(msgs: DataFrame) -> DataFrame:
     return led.where(~((F.col("topic") == UNLEDGERED[0]) & (F.col("part") == UNLEDGERED[1])))
 
 
+def _topic_log(spark, sf_dir) -> DataFrame:
+    """The Kafka-shaped stand-in of the topics, materialised once: the ledger
+    queries read it three ways (latest offsets, previous run, range read),
+    as a job reads one topic log several times."""
+    return share(_messages(spark, sf_dir))
+
+
 def offset_plan(spark, sf_dir):
-    msgs = _messages(spark, sf_dir)
+    msgs = _topic_log(spark, sf_dir)
     return L.offset_plan(L.latest_offsets(msgs), _previous_ledger(msgs))
 
 
 def bounded_read(spark, sf_dir):
-    msgs = _messages(spark, sf_dir)
+    msgs = _topic_log(spark, sf_dir)
     plan = L.offset_plan(L.latest_offsets(msgs), _previous_ledger(msgs))
     sel = L.select_range(msgs, plan)
     return sel.select("topic", "partition", "offset",
@@ -165,12 +173,12 @@ def bounded_read(spark, sf_dir):
 
 
 def ledger_bootstrap(spark, sf_dir):
-    msgs = _messages(spark, sf_dir)
+    msgs = _topic_log(spark, sf_dir)
     return L.bootstrap(_previous_ledger(msgs), L.latest_offsets(msgs))
 
 
 def ledger_commit(spark, sf_dir):
-    msgs = _messages(spark, sf_dir)
+    msgs = _topic_log(spark, sf_dir)
     latest = L.latest_offsets(msgs)
     prev = _previous_ledger(msgs)
     return L.commit(L.bootstrap(prev, latest), L.offset_plan(latest, prev))
