@@ -30,6 +30,10 @@ PREVIOUS_RUN_CUTOFF_MS = 1_705_276_800_000
 UNLEDGERED = ("test-order", 3)
 TOP_K = 3
 LEX_RANGE = ("[1", "(5")
+# Purge of the ordering-user set as at a batch ending 2024-01-30 00:00 UTC.
+PURGE_AT_MS = 1_706_572_800_000
+# A half-hour zone: hour buckets start at :30 UTC there.
+ALT_TZ = "Asia/Kolkata"
 CORRUPT_EVERY = 10
 
 
@@ -138,6 +142,19 @@ def expire_by_lex(spark, sf_dir):
     return kept.select("uid", tm.ms_to_ntz("last_ms").alias("last_seen"))
 
 
+def expire_by_score(spark, sf_dir):
+    """STR-5 with Redis score-range syntax: drop ordering users whose last
+    order scores in ``[0, now - 6 min]``."""
+    o = _parsed(spark, sf_dir).where(F.col("metric") == "order")
+    kept = A.expire_by_score(A.last_seen(o), "0", str(PURGE_AT_MS - C.LAST_SEEN_HORIZON_MS))
+    return kept.select("uid", tm.ms_to_ntz("last_ms").alias("last_seen"))
+
+
+def video_views_per_hour_alt_zone(spark, sf_dir):
+    """AGG-5 with the label zone set to a half-hour offset zone."""
+    return K.video_views(_parsed(spark, sf_dir), "hour", tz=ALT_TZ)
+
+
 def approx_active_users(spark, sf_dir):
     return A.approx_users(_parsed(spark, sf_dir).where(F.col("metric") == "pageview"))
 
@@ -221,6 +238,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_users": order_users,
     "uid_fallback": uid_fallback,
     "expire_by_lex": expire_by_lex,
+    "expire_by_score": expire_by_score,
+    "video_views_per_hour_alt_zone": video_views_per_hour_alt_zone,
     "approx_active_users": approx_active_users,
     "offset_plan": offset_plan,
     "bounded_read": bounded_read,

@@ -7,7 +7,10 @@ The label zone (UTC+7, no DST since 1975) is a fixed 7-hour shift here.
 
 from __future__ import annotations
 
-from viewtally.plans.catalog import CORRUPT_EVERY, LEX_RANGE, PREVIOUS_RUN_CUTOFF_MS, TOP_K, UNLEDGERED
+from viewtally.plans.catalog import (CORRUPT_EVERY, LEX_RANGE, PREVIOUS_RUN_CUTOFF_MS, PURGE_AT_MS,
+                                     TOP_K, UNLEDGERED)
+
+ALT_SHIFT_MS = 5 * 3_600_000 + 30 * 60_000   # the alternative zone, UTC+5:30 (no DST)
 
 TZ_SHIFT_MS = 7 * 3_600_000
 
@@ -169,6 +172,15 @@ FROM ev WHERE metric = 'pageview' GROUP BY 1""",
     "expire_by_lex": f"""WITH {EV}
 SELECT uid, {_ts('max(ts_ms)')} AS last_seen FROM ev WHERE metric = 'pageview'
 GROUP BY uid HAVING NOT (uid >= '{_LO}' AND uid < '{_HI}')""",
+    "expire_by_score": f"""WITH {EV}
+SELECT uid, {_ts('max(ts_ms)')} AS last_seen FROM ev WHERE metric = 'order'
+GROUP BY uid HAVING max(ts_ms) > {PURGE_AT_MS - 360_000}""",
+    "video_views_per_hour_alt_zone": f"""WITH {EV}
+SELECT {_ts(f'((ts_ms + {ALT_SHIFT_MS}) // 3600000) * 3600000 - {ALT_SHIFT_MS}')} AS bucket,
+       'topvideos_h:' || strftime({_ts(f'((ts_ms + {ALT_SHIFT_MS}) // 3600000) * 3600000')}, '%Y%m%d%H') AS bucket_key,
+       video, count(*) AS n
+FROM ev WHERE metric = 'pageview'
+GROUP BY (ts_ms + {ALT_SHIFT_MS}) // 3600000, video""",
     "offset_plan": f"""WITH {MSGS}
 SELECT topic, part, from_off, until_off, in_ledger FROM plan""",
     "bounded_read": f"""WITH {MSGS}
