@@ -24,7 +24,11 @@ def checkpoint_dir(spark) -> str:
 
     Set by the deployment; tests set their own before calling this.
     """
-    d = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        d = spark.sparkContext.getCheckpointDir()
+    except Exception:
+        d = None
+    d = d or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         raise RuntimeError("spark.checkpoint.dir is not set")
     return d
@@ -35,10 +39,12 @@ def spread_if_narrow(df: DataFrame) -> DataFrame:
     partitions than cores (a single unsplittable file), so per-row work such
     as JSON parsing runs in parallel.  A scan of many files already has more
     splits than cores and is returned untouched: no extra shuffle at scale."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        narrow = df.rdd.getNumPartitions() < cores
+    except Exception:   # no RDD view of the plan (e.g. a Spark Connect session)
+        return df
+    return df.repartition(cores) if narrow else df
 
 
 def share(df: DataFrame) -> DataFrame:
@@ -51,6 +57,10 @@ def share(df: DataFrame) -> DataFrame:
     memory-and-disk cache (recomputed from lineage if an executor is lost).
     """
     from pyspark import StorageLevel
-    if df.sparkSession.sparkContext.getCheckpointDir():
+    try:
+        has_dir = bool(df.sparkSession.sparkContext.getCheckpointDir())
+    except Exception:   # no SparkContext handle (e.g. a Spark Connect session)
+        has_dir = False
+    if has_dir:
         return df.checkpoint(eager=True)
     return df.persist(StorageLevel.MEMORY_AND_DISK)
