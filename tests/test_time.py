@@ -58,3 +58,14 @@ def test_minute_list_before(spark):
 
 def test_bucket_key(spark):
     assert one(spark, tm.bucket_key("videoviews", F.lit("202401010700"))) == "videoviews:202401010700"
+
+
+def test_fixed_offset_detection(spark):
+    jan, jul = ms("2024-01-10 00:00:00"), ms("2024-07-10 00:00:00")
+    assert tm.fixed_offset_ms("Asia/Ho_Chi_Minh", jan, jul) == 7 * 3_600_000
+    assert tm.fixed_offset_ms("Asia/Kolkata", jan, jan + 86_400_000) == 19_800_000
+    assert tm.fixed_offset_ms("Europe/Berlin", jan, jul) is None
+    assert tm.fixed_offset_ms("Europe/Berlin", jan, jan + 5 * 86_400_000) == 3_600_000
+    t = ms("2024-01-05 10:11:12")
+    fast = one(spark, tm.hour_start(F.lit(t), "Asia/Kolkata", 19_800_000))
+    assert fast == one(spark, tm.hour_start(F.lit(t), "Asia/Kolkata"))

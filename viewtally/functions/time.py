@@ -66,12 +66,32 @@ def minute_start(ms) -> Column:
     return floor_ms(ms, C.MINUTE_MS)
 
 
-def hour_start(ms, tz: str = C.LABEL_TZ) -> Column:
-    """Start (epoch ms) of the hour in zone ``tz`` that holds the instant."""
+def fixed_offset_ms(tz: str, lo_ms: int, hi_ms: int) -> int | None:
+    """The zone's UTC offset if it is the same all through ``[lo_ms, hi_ms]``
+    (sampled daily: offset changes are months apart), else None."""
+    from datetime import datetime, timezone
+    from zoneinfo import ZoneInfo
+    zone = ZoneInfo(tz)
+    seen = set()
+    for t in range(lo_ms, hi_ms + C.DAY_MS, C.DAY_MS):
+        t = min(t, hi_ms)
+        off = datetime.fromtimestamp(t / 1000, tz=timezone.utc).astimezone(zone).utcoffset()
+        seen.add(int(off.total_seconds() * 1000))
+        if len(seen) > 1:
+            return None
+    return seen.pop() if seen else None
+
+
+def hour_start(ms, tz: str = C.LABEL_TZ, fixed_offset: int | None = None) -> Column:
+    """Start (epoch ms) of the hour in zone ``tz`` that holds the instant.
+
+    ``fixed_offset`` (from ``fixed_offset_ms`` over the data's span) turns the
+    per-row zone lookup into integer arithmetic."""
     m = _lit_ms(ms)
     if tz == "UTC":
         return floor_ms(m, C.HOUR_MS)
-    return m - F.pmod(m + local_offset_ms(m, tz), F.lit(C.HOUR_MS).cast("bigint"))
+    off = F.lit(fixed_offset).cast("bigint") if fixed_offset is not None else local_offset_ms(m, tz)
+    return m - F.pmod(m + off, F.lit(C.HOUR_MS).cast("bigint"))
 
 
 def day_start(ms, tz: str = "UTC") -> Column:

@@ -58,8 +58,10 @@ def view_tiers(views: DataFrame, grid: TickGrid, tz: str = C.LABEL_TZ,
     ms = F.col("ts_ms")
     m = tm.minute_start(ms)
     ft = grid.first_at_or_after(ms)
+    # one zone offset over the whole span (the usual case) -> plain arithmetic per row
+    off = tm.fixed_offset_ms(tz, grid.start_ms - 7 * C.HOUR_MS, max(grid.end_ms, grid.start_ms))
     keyed = views.select(m.alias("m"), "video", "ts_ms", F.when(ft < m + C.MINUTE_MS, ft).alias("pt")) \
-        .withColumn("h", tm.hour_start("m", tz))
+        .withColumn("h", tm.hour_start("m", tz, off))
     sets = [["m", "h", "video", "pt"], ["h", "video"]]
     if buckets:
         sets += [["m", "h"], ["h"]]
