@@ -16,6 +16,7 @@ Outputs (Parquet, one folder each under ``out_root``): ``counters``,
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,11 +50,13 @@ def stage_events(spark: SparkSession, msgs: DataFrame, folder: str | None = None
 
 
 def run(spark: SparkSession, msgs: DataFrame, out_root: str,
-        spec: BackfillSpec | None = None, grid_from: DataFrame | None = None) -> dict[str, str]:
+        spec: BackfillSpec | None = None, grid_from: DataFrame | None = None,
+        parallel_jobs: int = 4) -> dict[str, str]:
     """Compute and write all metric tables; returns name -> path.
 
     The tick grids cover the whole days of the data (``grid_from``, default
-    the staged events)."""
+    the staged events).  The outputs are independent once the events are
+    staged, so up to ``parallel_jobs`` of them run as concurrent Spark jobs."""
     spec = spec or BackfillSpec()
     out = out_root.rstrip("/")
     ev = stage_events(spark, msgs)
@@ -70,20 +73,30 @@ def run(spark: SparkSession, msgs: DataFrame, out_root: str,
         w.parquet(f"{out}/{name}")
         paths[name] = f"{out}/{name}"
 
-    save(K.bucket_counts(ev, "minute", ["metric"], spec.tz), "counters", "metric")
     views = ev.where(F.col("metric") == "pageview")
-    save(K.bucket_counts(views, "minute", ["video"], spec.tz), "topvideos_m")
-    save(K.bucket_counts(views, "hour", ["video"], spec.tz), "topvideos_h")
-    save(K.visible_counters(ev, trend_grid), "visible_counters", "metric")
-
-    trend = TR.trending(views.select("ts_ms", "video"), trend_grid, tz=spec.tz, mode=spec.trend_mode)
-    save(trend, "topvideos")
-    # top-k from the written trend table: no second trend computation
-    top = TR.top_k(spark.read.parquet(paths["topvideos"]), spec.top_k)
-    save(top, "topvideos_top")
-
-    for metric, name in (("pageview", C.ACTIVE_USERS_KEY), ("order", C.ORDER_USERS_KEY)):
-        users = A.users_at_ticks(ev.where(F.col("metric") == metric).select("uid", "ts_ms"),
-                                 users_grid)
-        save(users, name)
+
+    def trend_and_top() -> None:
+        trend = TR.trending(views.select("ts_ms", "video"), trend_grid, tz=spec.tz,
+                            mode=spec.trend_mode)
+        save(trend, "topvideos")
+        # top-k from the written trend table: no second trend computation
+        save(TR.top_k(spark.read.parquet(paths["topvideos"]), spec.top_k), "topvideos_top")
+
+    def users(metric: str, name: str) -> None:
+        ev_m = ev.where(F.col("metric") == metric).select("uid", "ts_ms")
+        save(A.users_at_ticks(ev_m, users_grid), name)
+
+    tasks = [
+        lambda: save(K.bucket_counts(ev, "minute", ["metric"], spec.tz), "counters", "metric"),
+        lambda: save(K.bucket_counts(views, "minute", ["video"], spec.tz), "topvideos_m"),
+        lambda: save(K.bucket_counts(views, "hour", ["video"], spec.tz), "topvideos_h"),
+        lambda: save(K.visible_counters(ev, trend_grid), "visible_counters", "metric"),
+        trend_and_top,
+        lambda: users("pageview", C.ACTIVE_USERS_KEY),
+        lambda: users("order", C.ORDER_USERS_KEY),
+    ]
+    # independent outputs over the staged table: submitted as concurrent jobs
+    with ThreadPoolExecutor(max_workers=parallel_jobs) as pool:
+        for f in [pool.submit(t) for t in tasks]:
+            f.result()
     return paths
