@@ -69,3 +69,12 @@ def test_fixed_offset_detection(spark):
     t = ms("2024-01-05 10:11:12")
     fast = one(spark, tm.hour_start(F.lit(t), "Asia/Kolkata", 19_800_000))
     assert fast == one(spark, tm.hour_start(F.lit(t), "Asia/Kolkata"))
+
+
+def test_cluster_settings_scale_with_input():
+    from viewtally.session import cluster_settings
+    big = cluster_settings(100 << 40, 8000)
+    small = cluster_settings(1 << 30, 8)
+    assert int(big["spark.sql.shuffle.partitions"]) == 102400
+    assert int(small["spark.sql.shuffle.partitions"]) == 24
+    assert big["spark.sql.adaptive.enabled"] == "true"

@@ -36,3 +36,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         d = tempfile.mkdtemp(prefix="viewtally-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir()
+
+
+def cluster_settings(input_bytes: int, total_cores: int) -> dict[str, str]:
+    """Settings for a cluster run sized from the input volume.
+
+    * splits of 256 MB keep a scan task's JSON parse within a few seconds and
+      its memory small; 100 TB gives ~400k scan tasks;
+    * every shuffle here carries partially aggregated rows (tiers, per-tick
+      partials), a small fraction of the input, so the shuffle starts wide
+      (one partition per ~1 GB of input, at least 3 per core) and AQE
+      coalesces it to ~128 MB partitions;
+    * skewed shuffle partitions are split by AQE; hot keys are already
+      absorbed by map-side partial aggregation;
+    * explicit broadcasts here are size-checked by the code; the automatic
+      threshold stays moderate so AQE may switch small joins at run time.
+    """
+    gb = 1 << 30
+    shuffle = max(total_cores * 3, input_bytes // gb)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.shuffle.partitions": str(int(shuffle)),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.session.timeZone": "UTC",
+    }
