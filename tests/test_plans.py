@@ -38,3 +38,12 @@ def test_kafka_options():
                           {"topic": "t", "part": 1, "from_off": 0, "until_off": 9}])
     assert r == {"startingOffsets": '{"t": {"0": 100, "1": 0}}',
                  "endingOffsets": '{"t": {"0": 250, "1": 9}}'}
+
+
+def test_backfill_log_write_is_rebalanced(spark, tmp):
+    from viewtally.functions import parse as P
+    from viewtally.sinks import parquet as PS
+    from viewtally.sources import messages as M
+    rows = PS.with_log_day(P.log_rows(M.messages(spark, SF001, with_offsets=False)))
+    plan = plan_text(rows.hint("rebalance", "metric", "log_day"))
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan

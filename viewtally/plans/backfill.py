@@ -45,7 +45,7 @@ def stage_events(spark: SparkSession, msgs: DataFrame, folder: str | None = None
     shared checkpoint folder; returns the re-read table."""
     folder = folder or f"{checkpoint_dir(spark).rstrip('/')}/viewtally-events-{uuid.uuid4().hex}"
     ev = P.valid_events(msgs).select("metric", "ts_ms", "video", "uid")
-    ev.write.mode("overwrite").partitionBy("metric").parquet(folder)
+    ev.hint("rebalance", "metric").write.mode("overwrite").partitionBy("metric").parquet(folder)
     return spark.read.parquet(folder)
 
 

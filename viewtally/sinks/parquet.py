@@ -25,12 +25,13 @@ def write_logs(rows: DataFrame, path: str, files: int | None = None,
     """Write log rows under ``path/metric=<m>/log_day=<d>``.
 
     ``files`` caps the files of a small micro-batch (the original wrote 2 per
-    batch); a backfill leaves it unset so every task writes its own files
-    (no single-task bottleneck) and ``maxRecordsPerFile`` bounds file size.
+    batch).  A backfill leaves it unset: the rows are rebalanced on
+    (metric, day) by AQE — a hot day is split over several tasks, thin ones
+    are merged — so each day gets a few well-sized files instead of one per
+    scan task, and ``maxRecordsPerFile`` bounds file size.
     """
     df = with_log_day(rows) if "log_day" not in rows.columns else rows
-    if files:
-        df = df.coalesce(files)
+    df = df.coalesce(files) if files else df.hint("rebalance", "metric", "log_day")
     (df.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
      .partitionBy("metric", "log_day").parquet(path))
 
