@@ -53,6 +53,14 @@ def test_metric_streams_equal_batch_and_survive_restart(spark, tmp):
     got_h = {(r.bucket_ms, r.video): r.n for r in SM.read_table(spark, out, "topvideos_h").collect()}
     assert got_h == want_h
 
+    # TTL read side on the live counter table = batch visibility at the last tick
+    from viewtally.operators.ticks import TickGrid as TG
+    last_tick = ev.agg(F.max("ts_ms")).first()[0]
+    live_vis = K.visible_at(SM.read_table(spark, out, "counters"), last_tick)
+    batch_vis = K.visible_counters(ev, TG(last_tick, last_tick + 1, 60_000))
+    assert live_vis.count() == batch_vis.count() > 0
+    assert sorted(r.n for r in live_vis.collect()) == sorted(r.n for r in batch_vis.collect())
+
     # published per batch: trend and active users at each batch's tick
     trend = SM.read_published(spark, out, "topvideos")
     ticks = sorted(r.tick_ms for r in trend.select("tick_ms").distinct().collect())

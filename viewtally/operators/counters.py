@@ -63,6 +63,19 @@ def video_views(events: DataFrame, grain: str = "minute", tz: str = C.LABEL_TZ)
     return present(counts, key, grain, tz, keep=["video", "n"])
 
 
+def _default_ttls() -> dict[str, int]:
+    return {m: ttl for m, (_k, ttl) in C.COUNTER_OF_METRIC.items()}
+
+
+def _ttl_ms(ttl_s: dict[str, int]):
+    """The TTL (ms) of the row's metric as a column expression."""
+    out = None
+    for m, sec in ttl_s.items():
+        v = F.lit(sec * 1000).cast("bigint")
+        out = F.when(F.col("metric") == m, v) if out is None else out.when(F.col("metric") == m, v)
+    return out
+
+
 def visible_counters(events: DataFrame, grid: TickGrid,
                      ttl_s: dict[str, int] | None = None) -> DataFrame:
     """STR-4: minute counters as a reader sees them at each tick.
@@ -74,11 +87,8 @@ def visible_counters(events: DataFrame, grid: TickGrid,
     still be visible at: ``[first tick, bucket end + ttl)``, a bounded count.
     Output ``metric, tick, bucket, n``.
     """
-    ttl_s = ttl_s or {m: ttl for m, (_k, ttl) in C.COUNTER_OF_METRIC.items()}
-    ttl_ms = None
-    for m, s in ttl_s.items():
-        v = F.lit(s * 1000).cast("bigint")
-        ttl_ms = F.when(F.col("metric") == m, v) if ttl_ms is None else ttl_ms.when(F.col("metric") == m, v)
+    ttl_s = ttl_s or _default_ttls()
+    ttl_ms = _ttl_ms(ttl_s)
     ev = events.where(F.col("metric").isin(*ttl_s))
     first = (ev.groupBy("metric", tm.minute_start("ts_ms").alias("bucket_ms"),
                         grid.first_at_or_after("ts_ms").alias("ft"))
@@ -93,6 +103,14 @@ def visible_counters(events: DataFrame, grid: TickGrid,
                       tm.ms_to_ntz("bucket_ms").alias("bucket"), F.col("n").cast("bigint").alias("n"))
 
 
+def visible_at(counters: DataFrame, tick_ms: int, ttl_s: dict[str, int] | None = None) -> DataFrame:
+    """STR-4 read side on a live counter table (``metric, bucket_ms, n,
+    last_ms``, e.g. the streaming snapshot): the buckets a key lookup still
+    finds at ``tick_ms`` — written at or before the tick and not yet expired."""
+    ttl_ms = _ttl_ms(ttl_s or _default_ttls())
+    return counters.where((F.col("last_ms") <= tick_ms) & (F.col("last_ms") + ttl_ms > tick_ms))
+
+
 def batch_counts(events: DataFrame, batch_ms: int = C.HOUR_MS) -> DataFrame:
     """AGG-9 / SNK-4: rows per metric and micro-batch, batches cut every ``batch_ms``
     of event time.  Output ``metric, batch, n``."""
