@@ -1,7 +1,7 @@
 """Bench: time the headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each query runs to completion through the ``noop`` sink (all stages execute,
-nothing is collected).  Every query runs twice and the faster run is kept:
+nothing is collected).  Every query runs three times and the fastest run is kept:
 at this size a first run is dominated by JIT and code-generation warm-up,
 which a long job at scale pays once.  Prints one JSON line.
 """
@@ -45,7 +45,7 @@ def main() -> None:
     times = {}
     for name in HEADLINE:
         runs = []
-        for _ in range(2):
+        for _ in range(3):
             t0 = time.perf_counter()
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - t0)
