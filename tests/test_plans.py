@@ -47,3 +47,16 @@ def test_backfill_log_write_is_rebalanced(spark, tmp):
     rows = PS.with_log_day(P.log_rows(M.messages(spark, SF001, with_offsets=False)))
     plan = plan_text(rows.hint("rebalance", "metric", "log_day"))
     assert "REBALANCE_PARTITIONS_BY_COL" in plan
+
+
+SINGLE_SCAN = ["views_per_minute", "clicks_per_minute", "orders_per_minute", "video_views_per_minute",
+               "video_views_per_hour", "visible_minute_counters", "batch_counts", "trending_exact",
+               "trending_top_k", "active_users", "order_users", "uid_fallback", "expire_by_lex",
+               "expire_by_score", "approx_active_users", "log_rows_per_day", "json_reject_split"]
+
+
+@pytest.mark.parametrize("name", SINGLE_SCAN)
+def test_metric_queries_scan_their_input_once(spark, name):
+    """Branches that prune differently defeat exchange reuse and re-read the
+    input; every metric query is one linear plan over one scan."""
+    assert plan_text(E.queries()[name](spark, SF001)).count("FileScan") == 1
