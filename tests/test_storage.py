@@ -139,3 +139,29 @@ def test_jdbc_ledger_and_sink(spark, tmp):
     back = JR.read_table(spark, url, "log_event", props)
     assert back.count() == m.count()
     assert JR.read_ledger(spark, url, "topic_offsets", "test-click", props).count() == 4
+
+
+def test_ingestion_stops_before_writing_on_unknown_latest(spark, tmp):
+    m = msgs(spark)
+    store = I.ParquetLedger(spark, os.path.join(tmp, "ledger"))
+    store.write(L.bootstrap(spark.createDataFrame([], S.LEDGER), L.latest_offsets(m)))
+    bad = L.latest_offsets(m).withColumn("until_off", F.when(F.col("part") == 2, -1)
+                                         .otherwise(F.col("until_off")).cast("bigint"))
+    out = os.path.join(tmp, "out")
+    with pytest.raises(L.LedgerError, match="unknown"):
+        I.run(spark, m, store, I.parquet_sink(out), latest=bad)
+    assert not os.path.exists(out)
+    assert {r.off for r in store.read().collect()} == {0}
+
+
+def test_snapshot_range_read_prunes(spark, tmp):
+    root = os.path.join(tmp, "snap")
+    snapshot.write(spark.createDataFrame([(0, "a", 1), (60_000, "a", 2)], "bucket_ms long, video string, n long"),
+                   root, 0, day_of="bucket_ms")
+    snapshot.write(spark.createDataFrame([(60_000, "a", 5)], "bucket_ms long, video string, n long"),
+                   root, 1, day_of="bucket_ms")
+    got = snapshot.latest(spark, root, ["bucket_ms", "video"], ["1970-01-01"],
+                          where=F.col("bucket_ms") >= 60_000)
+    assert [(r.bucket_ms, r.n) for r in got.collect()] == [(60_000, 5)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(bucket_ms), GreaterThanOrEqual(bucket_ms,60000)]" in plan

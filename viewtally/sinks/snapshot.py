@@ -65,6 +65,11 @@ def newest(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def latest(spark: SparkSession, root: str, keys: list[str],
-           days: list[str] | None = None) -> DataFrame | None:
+           days: list[str] | None = None, where=None) -> DataFrame | None:
+    """Newest value per key; ``where`` (on key columns, e.g. a bucket range)
+    is applied before the aggregation so it reaches the Parquet scan and
+    skips the files of batches that only touched older buckets."""
     df = read(spark, root, days)
-    return None if df is None else newest(df, keys)
+    if df is None:
+        return None
+    return newest(df.where(where) if where is not None else df, keys)

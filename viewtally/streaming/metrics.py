@@ -120,14 +120,18 @@ class Publisher:
         df.write.mode("overwrite").parquet(f"{self._path(name)}/tick_ms={tick}")
 
     def trend(self, spark: SparkSession, tick: int) -> None:
-        days = snapshot.days_between(tick - (C.TREND_HOURS + 1) * C.HOUR_MS, tick)
-        tier = snapshot.latest(spark, self._path("topvideos_m"), KEYS["topvideos_m"], days)
+        lo = tick - tick % C.MINUTE_MS - C.TREND_HOURS * C.HOUR_MS
+        days = snapshot.days_between(lo, tick)
+        tier = snapshot.latest(spark, self._path("topvideos_m"), KEYS["topvideos_m"], days,
+                               where=(F.col("bucket_ms") >= lo) & (F.col("bucket_ms") <= tick))
         if tier is not None:
             self._publish(trend_at(tier, tick, tz=self.tz, mode=self.mode), C.TOP_VIDEOS_KEY, tick)
 
     def users(self, spark: SparkSession, tick: int) -> None:
-        days = snapshot.days_between(tick - C.LAST_SEEN_HORIZON_MS - C.MINUTE_MS, tick)
-        seen = snapshot.latest(spark, self._path("last_seen"), KEYS["last_seen"], days)
+        lo = tick - C.LAST_SEEN_HORIZON_MS - C.MINUTE_MS
+        days = snapshot.days_between(lo, tick)
+        seen = snapshot.latest(spark, self._path("last_seen"), KEYS["last_seen"], days,
+                               where=(F.col("bucket_ms") >= lo) & (F.col("bucket_ms") <= tick))
         if seen is None:
             return
         seen = seen.persist()
