@@ -193,3 +193,19 @@ def test_jdbc_log_stream_is_replay_safe(spark, tmp):
     stored = JR.read_table(spark, url, "log_event", props)
     want = msgs.where(F.dayofmonth(F.timestamp_millis(F.col("key").cast("bigint"))) < 4).count()
     assert stored.count() == want and stored.select("msg_id").distinct().count() == want
+
+
+def test_fan_out_through_staged_events_equals_direct(spark, tmp):
+    from viewtally import jobs
+    msgs = M.messages(spark, SF001)
+    src = os.path.join(tmp, "in")
+    write_files(spark, msgs, src, 1, 8)
+    out = os.path.join(tmp, "out")
+    jobs.main(["metrics", "--input", src, "--max-files-per-trigger", "3", "--once", "--clock", "event",
+               "--checkpoint", os.path.join(tmp, "ck"), "--out", out, "--stage", os.path.join(tmp, "stage")],
+              spark)
+    ev = P.valid_events(msgs).where(F.dayofmonth(F.timestamp_millis("ts_ms")) < 8)
+    want = {(r.metric, r.bucket_ms): r.n for r in K.bucket_counts(ev, "minute", ["metric"]).collect()}
+    got = {(r.metric, r.bucket_ms): r.n for r in SM.read_table(spark, out, "counters").collect()}
+    assert got == want
+    assert SM.read_published(spark, out, "topvideos").count() > 0

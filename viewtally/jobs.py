@@ -16,9 +16,11 @@ session is the caller's (``spark-submit`` sets master, resources and
 from __future__ import annotations
 
 import argparse
+import json
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from viewtally import config as C
 from viewtally import schemas as S
@@ -47,6 +49,14 @@ def _table(spark: SparkSession, path: str) -> DataFrame:
 
 def job_metrics(spark: SparkSession, args) -> list:
     from viewtally.streaming import metrics as SM
+    if args.stage:
+        # parse once into compact Parquet; the four aggregations read that
+        stage = SM.start_staging(_stream(spark, args), args.stage, args.checkpoint, _trigger(args))
+        if args.once:
+            stage.processAllAvailable()
+        streams = SM.start(None, args.out, args.checkpoint, _trigger(args), clock=args.clock,
+                           trend_mode=args.trend_mode, events=SM.staged_events(spark, args.stage))
+        return [stage] + streams.all()
     streams = SM.start(_stream(spark, args), args.out, args.checkpoint, _trigger(args),
                        clock=args.clock, trend_mode=args.trend_mode)
     return streams.all()
@@ -75,12 +85,10 @@ def job_ingest(spark: SparkSession, args):
         msgs = _table(spark, args.input)
     else:
         # read only what is new: from the committed offsets to the latest
-        from pyspark.sql import functions as F
         led = ledger.read().where(F.col("topic").isin(*topics)).collect()
         start: dict = {}
         for r in led:
             start.setdefault(r["topic"], {})[str(r["part"])] = int(r["off"])
-        import json
         opts = {"kafka.bootstrap.servers": args.brokers, "subscribe": ",".join(topics),
                 "startingOffsets": json.dumps(start) if start and not args.bootstrap else "earliest",
                 "endingOffsets": "latest"}
@@ -112,6 +120,7 @@ def parser() -> argparse.ArgumentParser:
     m.add_argument("--out", required=True)
     m.add_argument("--clock", choices=["processing", "event"], default="processing")
     m.add_argument("--trend-mode", choices=["exact", "ttl"], default="exact")
+    m.add_argument("--stage", help="folder for parsed compact events (parse once, fan out)")
 
     s = sub.add_parser("store")
     source(s)
