@@ -50,6 +50,9 @@ def test_bootstrap_and_commit(spark):
     assert sorted(tuple(r) for r in L.commit(boot, plan).collect()) == [("t", 0, 8), ("t", 1, 4)]
     with pytest.raises(Exception):
         L.commit(old, plan).collect()        # UPDATE without a row
+    twice = led(spark, [("t", 0, 5), ("t", 0, 6), ("t", 1, 0)])
+    with pytest.raises(Exception, match="duplicate"):
+        L.commit(twice, plan).collect()      # UPDATE touching two rows
 
 
 def test_dense_numbers_small_blocks(spark):

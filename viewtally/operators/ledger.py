@@ -86,10 +86,17 @@ def commit(ledger: DataFrame, plan: DataFrame, require_existing: bool = True) ->
     """SNK-6: set ``off = until_off`` for every planned partition (keyed merge
     as a full outer join).  With ``require_existing`` a planned partition
     without a ledger row raises, like an UPDATE that touched 0 rows."""
+    from pyspark.sql import Window
     led = ledger.select("topic", "part", F.col("off").cast("bigint"))
     upd = plan.select("topic", "part", "until_off")
     merged = led.join(upd, ["topic", "part"], "full_outer")
     new_off = F.coalesce(F.col("until_off"), F.col("off"))
+    # an update must touch exactly one row: duplicated ledger rows fail too
+    # (a window over a table of one row per partition)
+    dup = F.count(F.lit(1)).over(Window.partitionBy("topic", "part")) > 1
+    new_off = F.when(dup, F.raise_error(F.concat(F.lit("duplicate ledger rows for "), F.col("topic"),
+                                                 F.lit("/"), F.col("part").cast("string")))
+                     ).otherwise(new_off)
     if require_existing:
         # checked in the output expression itself, so it cannot be pruned
         new_off = F.when(F.col("off").isNull(),

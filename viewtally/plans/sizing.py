@@ -62,5 +62,11 @@ def share(df: DataFrame) -> DataFrame:
     except Exception:   # no SparkContext handle (e.g. a Spark Connect session)
         has_dir = False
     if has_dir:
-        return df.checkpoint(eager=True)
+        # cached first: the checkpoint write then reads the cache instead of
+        # computing the input a second time; the cache is dropped afterwards
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return df.checkpoint(eager=True)
+        finally:
+            df.unpersist()
     return df.persist(StorageLevel.MEMORY_AND_DISK)
