@@ -73,3 +73,11 @@ def test_tick_grid(spark):
         g.ticks_in(F.lit(1700).cast("bigint"), F.lit(1800).cast("bigint")).alias("e")).first()
     assert row.a == 1300 and row.b is None and row.c == [1000, 1300] and row.d is None and row.e is None
     assert [r.tick_ms for r in g.frame(spark).collect()] == [1000, 1300, 1600, 1900]
+
+
+def test_grid_for_days_equals_data_derived(spark):
+    from viewtally.functions import time as tm
+    from viewtally.sources import messages as M
+    ev = M.read_table(spark, "/root/testdata/sf0.001", "events").select(tm.ntz_to_ms("ts").alias("ts_ms"))
+    assert TickGrid.covering_days(ev, "ts_ms", 3_600_000, 1_800_000) == \
+        TickGrid.for_days("2024-01-01", "2024-01-30", 3_600_000, 1_800_000)

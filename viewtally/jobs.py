@@ -98,7 +98,8 @@ def job_ingest(spark: SparkSession, args):
 
 def job_backfill(spark: SparkSession, args):
     from viewtally.plans import backfill as B
-    spec = B.BackfillSpec(trend_mode=args.trend_mode, top_k=args.top_k)
+    days = (args.from_day, args.to_day) if args.from_day and args.to_day else None
+    spec = B.BackfillSpec(trend_mode=args.trend_mode, top_k=args.top_k, days=days)
     return B.run(spark, _table(spark, args.input), args.out, spec)
 
 
@@ -149,6 +150,8 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--out", required=True)
     b.add_argument("--trend-mode", choices=["exact", "ttl"], default="exact")
     b.add_argument("--top-k", type=int, default=10)
+    b.add_argument("--from-day", help="first UTC day (ISO date); with --to-day skips the range scan")
+    b.add_argument("--to-day", help="last UTC day (ISO date), inclusive")
     return p
 
 

@@ -66,6 +66,17 @@ class TickGrid:
         return spark.range(self.count).select(
             (_b(self.start_ms) + F.col("id") * _b(self.step_ms)).alias(col))
 
+    @staticmethod
+    def for_days(first_day: str, last_day: str, step_ms: int, offset_ms: int = 0) -> "TickGrid":
+        """Grid over the UTC days ``first_day .. last_day`` (ISO dates,
+        inclusive); no data is read — what a scheduled backfill passes."""
+        from datetime import date, datetime, timezone
+        lo = int(datetime.combine(date.fromisoformat(first_day), datetime.min.time(),
+                                  tzinfo=timezone.utc).timestamp() * 1000)
+        hi = int(datetime.combine(date.fromisoformat(last_day), datetime.min.time(),
+                                  tzinfo=timezone.utc).timestamp() * 1000) + C.DAY_MS
+        return TickGrid(lo + offset_ms, hi, step_ms)
+
     @staticmethod
     def covering_days(df: DataFrame, ms_col: str, step_ms: int, offset_ms: int = 0) -> "TickGrid":
         """Grid over the whole UTC days the data spans: ticks at

@@ -38,6 +38,9 @@ class BackfillSpec:
     trend_mode: str = "exact"
     top_k: int = 10
     tz: str = C.LABEL_TZ
+    # (first_day, last_day) ISO dates; None derives them from the data (a
+    # min/max pass over the event times)
+    days: tuple[str, str] | None = None
 
 
 def stage_events(spark: SparkSession, msgs: DataFrame, folder: str | None = None) -> DataFrame:
@@ -60,8 +63,11 @@ def run(spark: SparkSession, msgs: DataFrame, out_root: str,
     spec = spec or BackfillSpec()
     out = out_root.rstrip("/")
     ev = stage_events(spark, msgs)
-    src = grid_from if grid_from is not None else ev
-    trend_grid = TickGrid.covering_days(src, "ts_ms", *spec.trend_tick)
+    if spec.days:
+        trend_grid = TickGrid.for_days(*spec.days, *spec.trend_tick)
+    else:
+        src = grid_from if grid_from is not None else ev
+        trend_grid = TickGrid.covering_days(src, "ts_ms", *spec.trend_tick)
     users_grid = TickGrid(trend_grid.start_ms - spec.trend_tick[1] + spec.users_tick[1],
                           trend_grid.end_ms, spec.users_tick[0])
     paths: dict[str, str] = {}
