@@ -12,11 +12,10 @@ per language, by hash of the id), counted in Spark; the tables keep at most
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +25,7 @@ from pyspark.sql import types as T
 
 from viewtally.llm.common import stage, text_batches
 
-SAMPLE = 2000       # labelled rows per language that the model is fitted on
+SAMPLE = 1000       # labelled rows per language that the model is fitted on
 WORDS = 20000       # known words per language
 GRAMS = 20000       # known n-grams per order and language
 LANGUAGES = 200     # languages, the most frequent
@@ -41,39 +40,58 @@ LETTERS = re.compile(r"[^\W\d_]+")
 @dataclass
 class Model:
     langs: list[str]
-    words: dict[str, np.ndarray]            # word -> log frequency per language
-    grams: dict[int, dict[str, np.ndarray]]
-    cache: dict[str, np.ndarray] = field(default_factory=dict)
-
-    def word(self, w: str) -> np.ndarray:
-        """Centred scores of one word, zeros if nothing of it is known."""
-        got = self.cache.get(w)
-        if got is None:
-            if len(self.cache) >= CACHE:
-                self.cache.clear()
-            got = self.cache[w] = self._word(w)
-        return got
-
-    def _word(self, w: str) -> np.ndarray:
-        if (s := self.words.get(w)) is not None:
-            return s
+    words: dict[str, int]               # known word -> row of ``rows``
+    grams: dict[int, dict[str, int]]    # order -> n-gram -> row
+    rows: np.ndarray                    # centred log frequencies per language; the last row is zero
+
+
+class Reader:
+    """Predicts with a model; remembers the scores of up to ``CACHE`` words."""
+
+    def __init__(self, model: Model):
+        self.m, self.at = model, {}
+        self.scores = np.zeros((CACHE, len(model.langs)))
+
+    def _rows(self, w: str) -> list[int]:
+        """Rows whose mean is the word's score."""
+        if (r := self.m.words.get(w)) is not None:
+            return [r]
         padded = f"<{w}>"
         for n in ORDERS:
-            known = self.grams.get(n, {})
-            hits = [s for i in range(len(padded) - n + 1) if (s := known.get(padded[i:i + n])) is not None]
+            known = self.m.grams.get(n, {})
+            hits = [r for i in range(len(padded) - n + 1) if (r := known.get(padded[i:i + n])) is not None]
             if hits:
-                return np.mean(hits, axis=0)
-        return np.zeros(len(self.langs))
+                return hits
+        return [len(self.m.rows) - 1]
+
+    def _sum(self, words: list[str], n: np.ndarray) -> np.ndarray:
+        new = [w for w in words if w not in self.at]
+        if len(self.at) + len(new) > CACHE:
+            self.at.clear()
+            new = words
+        if new:
+            first, ids, sizes = len(self.at), [], []
+            for i, w in enumerate(new, first):
+                r = self._rows(w)
+                ids += r
+                sizes.append(len(r))
+                self.at[w] = i
+            size = np.array(sizes)
+            starts = np.cumsum(size) - size
+            self.scores[first:first + len(new)] = np.add.reduceat(self.m.rows[ids], starts, axis=0) / size[:, None]
+        at = self.at
+        return n @ self.scores[[at[w] for w in words]]
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """(language, posterior under equal priors); ``und``, 0 without a letter."""
         counts = Counter(LETTERS.findall(text.lower())) if text else {}
-        if not counts or not self.langs:
+        if not counts or not self.m.langs:
             return NONE, 0.0
-        n = np.fromiter(counts.values(), np.float64, len(counts))
-        total = n @ np.array([self.word(w) for w in counts])
+        words = list(counts)
+        n = np.fromiter(counts.values(), np.float64, len(words))
+        total = sum(self._sum(words[k:k + CACHE], n[k:k + CACHE]) for k in range(0, len(words), CACHE))
         best = int(total.argmax())
-        return self.langs[best], float(1 / np.exp(np.minimum(total - total[best], 0)).sum())
+        return self.m.langs[best], float(1 / np.exp(np.minimum(total - total[best], 0)).sum())
 
 
 def _table(counts: DataFrame, token: str, keep: int):
@@ -83,18 +101,17 @@ def _table(counts: DataFrame, token: str, keep: int):
     return (counts.withColumn("k", F.row_number().over(top)).filter(F.col("k") <= keep).drop("k")).collect()
 
 
-def _scores(rows, langs: list[str], token: str) -> dict[str, np.ndarray]:
-    """Token -> centred log frequencies, add-half smoothing."""
+def _scores(rows, langs: list[str], token: str) -> tuple[dict[str, int], np.ndarray]:
+    """Tokens by row, and their centred log frequencies, add-half smoothed."""
     at = {x: i for i, x in enumerate(langs)}
-    counts: dict[str, np.ndarray] = {}
+    place: dict[str, int] = {}
+    for r in rows:
+        place.setdefault(r[token], len(place))
+    counts = np.zeros((len(place), len(langs)))
     for r in rows:
-        counts.setdefault(r[token], np.zeros(len(langs)))[at[r["lang"]]] = r["n"]
-    total = np.maximum(sum(counts.values(), np.zeros(len(langs))), 1)
-    out = {}
-    for t, c in counts.items():
-        s = np.log((c + 0.5) / (total + 0.5 * len(counts)))
-        out[t] = s - s.mean()
-    return out
+        counts[place[r[token]], at[r["lang"]]] = r["n"]
+    s = np.log(counts + 0.5) - np.log(counts.sum(axis=0) + 0.5 * max(len(place), 1))
+    return place, s - s.mean(axis=1, keepdims=True)
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams: int = GRAMS) -> Model:
@@ -104,7 +121,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams: in
     known = [r["lang"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
              .orderBy(F.col("n").desc(), "lang").limit(LANGUAGES).collect()]
     if not known:
-        return Model([], {}, {})
+        return Model([], {}, {}, np.zeros((1, 0)))
     pick = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = (rows.select("doc_id", "lang").filter(F.col("lang").isin(known))
               .withColumn("k", F.row_number().over(pick)).filter(F.col("k") <= sample).drop("k").distinct())
@@ -125,8 +142,14 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams: in
     for r in _table(pieces, "g", grams):
         by_order.setdefault(r["o"], []).append(r)
     # words seen once say no more than their n-grams
-    vocabulary = _scores(_table(counted.filter("n > 1"), "w", words), langs, "w")
-    return Model(langs, vocabulary, {o: _scores(v, langs, "g") for o, v in by_order.items()})
+    vocabulary, tables = _scores(_table(counted.filter("n > 1"), "w", words), langs, "w")
+    parts, by_n = [tables], {}
+    for o, found in by_order.items():
+        place, table = _scores(found, langs, "g")
+        first = sum(map(len, parts))
+        by_n[o] = {g: first + i for g, i in place.items()}
+        parts.append(table)
+    return Model(langs, vocabulary, by_n, np.concatenate([*parts, np.zeros((1, len(langs)))]))
 
 
 def _predicted(rows: DataFrame, model: Model) -> DataFrame:
@@ -134,8 +157,9 @@ def _predicted(rows: DataFrame, model: Model) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Reader(shared.value)
         for b in it:
-            got = [shared.value.predict(t) for t in b.column(0).to_pylist()]
+            got = [reader.predict(t) for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array([g[0] for g in got], pa.string()),
                  pa.array([g[1] for g in got], pa.float64())], names=[*b.schema.names, "lang_pred", "score"])
