@@ -26,7 +26,8 @@ def _decide(docs: DataFrame, content_hash: Callable[[Column], Column]) -> DataFr
     groups = stage(base.groupBy("_h").agg(F.max("_id").alias("_rep"), F.count(F.lit(1)).alias("_n"))
                    .filter("_n > 1").select("_h", "_rep"), "groups")
     # texts of the rows that share their hash with another row
-    members = stage(base.join(groups, "_h"), "members")
+    # (a merge join at every size, so that cost grows with the input alone)
+    members = stage(base.join(groups.hint("merge"), "_h"), "members")
     reps = members.filter("_id = _rep").groupBy("_h").agg(F.min("_t").alias("_rep_t"))
     # a class is a hash, and the text as well where its bytes differ from the representative's
     classed = members.join(reps, "_h").select(
