@@ -28,11 +28,12 @@ def _decide(docs: DataFrame, content_hash: Callable[[Column], Column]) -> DataFr
     # texts of the rows that share their hash with another row
     # (a merge join at every size, so that cost grows with the input alone)
     members = stage(base.join(groups.hint("merge"), "_h"), "members")
-    reps = members.filter("_id = _rep").groupBy("_h").agg(F.min("_t").alias("_rep_t"))
+    reps = stage(members.filter("_id = _rep").groupBy("_h").agg(F.min("_t").alias("_rep_t")), "representatives")
     # a class is a hash, and the text as well where its bytes differ from the representative's
-    classed = members.join(reps, "_h").select(
+    # written before it is counted, so that the join may split a large group
+    classed = stage(members.join(reps, "_h").select(
         "_id", "_h", F.when(F.col("_t") != F.col("_rep_t"), F.col("_t")).alias("_other"),
-        text_key("_t").alias("_tk"), F.sha2("_t", 256).alias("text_sha256"))
+        text_key("_t").alias("_tk"), F.sha2("_t", 256).alias("text_sha256")), "compared")
     counted = classed.groupBy("_h", "_other", "_id", "_tk", "text_sha256").agg(F.count(F.lit(1)).alias("_m"))
     sizes = (counted.groupBy("_h", "_other").agg(F.max("_id").alias("_keep"), F.sum("_m").alias("group_size"))
              .withColumnsRenamed({"_h": "_gh", "_other": "_go"}))
