@@ -200,7 +200,8 @@ def _near_groups(docs: DataFrame, shingle: int, max_bits: int, cell: int) -> Dat
     linked = found.join(lowest, "root").select("fp", "root", "_root_id")
     own = least.join(linked, "fp", "left").select("fp", F.coalesce("root", "fp").alias("_group"),
                                                   F.coalesce("_root_id", "_low").alias("_root_id"))
-    return prints.join(own, "fp")
+    # written first, so that the join may split a fingerprint that very many rows share
+    return prints.join(stage(own, "groups"), "fp")
 
 
 def near_dedup(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, cell: int = CELL) -> DataFrame:
