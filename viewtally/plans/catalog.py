@@ -21,6 +21,7 @@ from viewtally.operators import ledger as L
 from viewtally.operators import trending as TR
 from viewtally.operators.ticks import TickGrid, every_minutes, hourly_at
 from viewtally.plans.sizing import share
+from viewtally.sinks import parquet as PS
 from viewtally.sources import messages as M
 
 PREFIX = "test"
@@ -161,28 +162,25 @@ def approx_active_users(spark, sf_dir):
 
 # -- ledger / ingestion -----------------------------------------------------
 
-def _previous_ledger(msgs: DataFrame) -> DataFrame:
-    before = msgs.where(tm.key_to_ms("key") < PREVIOUS_RUN_CUTOFF_MS)
-    led = L.latest_offsets(before).withColumnRenamed("until_off", "off")
-    return led.where(~((F.col("topic") == UNLEDGERED[0]) & (F.col("part") == UNLEDGERED[1])))
-
-
-def _topic_log(spark, sf_dir) -> DataFrame:
-    """The Kafka-shaped stand-in of the topics, materialised once: the ledger
-    queries read it three ways (latest offsets, previous run, range read),
-    as a job reads one topic log several times."""
-    return share(_messages(spark, sf_dir))
+def _offsets(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """(latest offsets, ledger of a previous run): one pass over three narrow
+    columns; one row per topic partition is all that is kept of it."""
+    msgs = _messages(spark, sf_dir)
+    before = F.when(tm.key_to_ms("key") < PREVIOUS_RUN_CUTOFF_MS, F.col("offset"))
+    found = share(msgs.groupBy("topic", F.col("partition").alias("part"))
+                  .agg((F.max("offset") + 1).cast("bigint").alias("until_off"),
+                       (F.max(before) + 1).cast("bigint").alias("off")))
+    unledgered = (F.col("topic") == UNLEDGERED[0]) & (F.col("part") == UNLEDGERED[1])
+    return (found.select("topic", "part", "until_off"),
+            found.where(F.col("off").isNotNull() & ~unledgered).select("topic", "part", "off"))
 
 
 def offset_plan(spark, sf_dir):
-    msgs = _topic_log(spark, sf_dir)
-    return L.offset_plan(L.latest_offsets(msgs), _previous_ledger(msgs))
+    return L.offset_plan(*_offsets(spark, sf_dir))
 
 
 def bounded_read(spark, sf_dir):
-    msgs = _topic_log(spark, sf_dir)
-    plan = L.offset_plan(L.latest_offsets(msgs), _previous_ledger(msgs))
-    sel = L.select_range(msgs, plan)
+    sel = L.select_range(_messages(spark, sf_dir), L.offset_plan(*_offsets(spark, sf_dir)))
     return sel.select("topic", "partition", "offset",
                       P.metric_of_topic("topic").alias("metric"),
                       tm.ms_to_ntz(tm.key_to_ms("key")).alias("log_date"),
@@ -190,15 +188,13 @@ def bounded_read(spark, sf_dir):
 
 
 def ledger_bootstrap(spark, sf_dir):
-    msgs = _topic_log(spark, sf_dir)
-    return L.bootstrap(_previous_ledger(msgs), L.latest_offsets(msgs))
+    latest, previous = _offsets(spark, sf_dir)
+    return L.bootstrap(previous, latest)
 
 
 def ledger_commit(spark, sf_dir):
-    msgs = _topic_log(spark, sf_dir)
-    latest = L.latest_offsets(msgs)
-    prev = _previous_ledger(msgs)
-    return L.commit(L.bootstrap(prev, latest), L.offset_plan(latest, prev))
+    latest, previous = _offsets(spark, sf_dir)
+    return L.commit(L.bootstrap(previous, latest), L.offset_plan(latest, previous))
 
 
 # -- log storage ------------------------------------------------------------
@@ -222,6 +218,20 @@ def json_reject_split(spark, sf_dir):
     return parsed.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def reject_reasons(spark, sf_dir):
+    """PRJ-3 / FLT-4: messages by the reason that keeps them out (valid ones too)."""
+    msgs = _messages(spark, sf_dir, with_offsets=False, corrupt_every=CORRUPT_EVERY)
+    reason = F.coalesce("reject_reason", F.lit("valid"))
+    return P.parse_messages(msgs).groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def day_range_check(spark, sf_dir):
+    """FLT-5: rows per day partition, and how many lie outside their day."""
+    rows = PS.with_log_day(P.log_rows(_messages(spark, sf_dir, with_offsets=False)))
+    bad = PS.outside_day().cast("bigint")
+    return rows.groupBy("log_day").agg(F.count(F.lit(1)).alias("n"), F.sum(bad).alias("outside"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "views_per_minute": views_per_minute,
     "clicks_per_minute": clicks_per_minute,
@@ -248,4 +258,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "log_rows": log_rows,
     "log_rows_per_day": log_rows_per_day,
     "json_reject_split": json_reject_split,
+    "reject_reasons": reject_reasons,
+    "day_range_check": day_range_check,
 }

@@ -205,5 +205,11 @@ SELECT strftime({_ts('ts_ms')}, '%Y_%m_%d') AS log_day, count(*) AS n,
 FROM ev GROUP BY 1""",
     "json_reject_split": f"""WITH {EV}
 SELECT CASE WHEN event_id % {CORRUPT_EVERY} = 0 THEN 'rejected' ELSE 'valid' END AS status, count(*) AS n
+FROM ev GROUP BY 1""",
+    "reject_reasons": f"""WITH {EV}
+SELECT CASE WHEN event_id % {CORRUPT_EVERY} = 0 THEN 'bad json' ELSE 'valid' END AS reason, count(*) AS n
+FROM ev GROUP BY 1""",
+    "day_range_check": f"""WITH {EV}
+SELECT strftime({_ts('ts_ms')}, '%Y_%m_%d') AS log_day, count(*) AS n, CAST(0 AS BIGINT) AS outside
 FROM ev GROUP BY 1""",
 }
