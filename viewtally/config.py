@@ -29,8 +29,6 @@ TREND_HOURS = 5
 LAST_SEEN_HORIZON_MS = 360_000
 # Bulk JDBC insert batch size.
 JDBC_BATCH_SIZE = 10000
-# Parquet files per micro-batch.
-PARQUET_FILES_PER_BATCH = 2
 # Log table and offset ledger names.
 LOG_TABLE = "log_event"
 LEDGER_TABLE = "topic_offsets"
@@ -49,3 +47,6 @@ DAY_MS = 86_400_000
 
 # Largest table (rows) this library broadcasts after checking its size bound.
 BROADCAST_ROW_LIMIT = 2_000_000
+
+# Keys outside are no event times in epoch ms (1970 to 2100): rejected.
+KEY_RANGE_MS = (0, 4_102_444_799_999)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from viewtally import config as C
 from viewtally import schemas as S
 from viewtally.functions import time as tm
 
@@ -42,14 +43,23 @@ def _missing_required(metric: Column, j: str) -> Column:
     return out
 
 
-def parse_messages(msgs: DataFrame, strict: bool = False, metric: str | None = None) -> DataFrame:
+def bad_key(ms: Column) -> Column:
+    """Why a key can't be an event time in epoch ms, else NULL.  Seconds or
+    microseconds parse as numbers too: what lies outside ``KEY_RANGE_MS`` is rejected."""
+    return (F.when(ms.isNull(), F.lit("bad key"))
+            .when(~ms.between(*C.KEY_RANGE_MS), F.lit("key out of range")))
+
+
+def parse_messages(msgs: DataFrame, strict: bool = False, metric: str | None = None,
+                   raw: bool = False) -> DataFrame:
     """Parse Kafka-shaped messages into typed events (PRJ-3).
 
     Output columns: ``metric, ts_ms, referrer, viewer, product, location, video,
     uuid, url, order, timestamp, uid, topic, partition, offset, reject_reason``.
     ``reject_reason`` is NULL for valid rows; lenient mode keeps rejected rows
     for a reject table, ``strict=True`` raises on the first bad row like the
-    original job does.  One JSON parse per row, all JVM-side.
+    original job does.  One JSON parse per row, all JVM-side.  ``raw`` adds the
+    key and value of rejected messages (NULL for valid ones).
     """
     opts = {"mode": "FAILFAST" if strict else "PERMISSIVE",
             "columnNameOfCorruptRecord": S.CORRUPT_COLUMN}
@@ -62,10 +72,11 @@ def parse_messages(msgs: DataFrame, strict: bool = False, metric: str | None = N
         met.alias("metric"),
         tm.key_to_ms("key").alias("ts_ms"),
         F.explode(F.array(F.from_json("value", S.EVENT_JSON, opts))).alias("j"),
-        *cols,
+        *cols, *(["key", "value"] if raw else []),
     )
     missing = _missing_required(F.col("metric"), "j")
-    reason = (F.when(F.col("ts_ms").isNull(), F.lit("bad key"))
+    key = bad_key(F.col("ts_ms"))
+    reason = (F.when(key.isNotNull(), key)
               .when(F.col("j").isNull() | F.col(f"j.{S.CORRUPT_COLUMN}").isNotNull(),
                     F.lit("bad json"))
               .when(~F.col("metric").isin(*S.REQUIRED), F.lit("unknown metric"))
@@ -79,6 +90,7 @@ def parse_messages(msgs: DataFrame, strict: bool = False, metric: str | None = N
         uid_of(F.col("metric"), F.col("j.viewer"), F.col("j.uuid")).alias("uid"),
         *cols,
         reason.alias("reject_reason"),
+        *([F.when(reason.isNotNull(), F.col(c)).alias(c) for c in ("key", "value")] if raw else []),
     )
     return out
 
@@ -97,7 +109,23 @@ def log_rows(msgs: DataFrame, metric: str | None = None, with_id: bool = False)
                        F.col("value").alias("data"), *extra)
 
 
+def checked_log_rows(msgs: DataFrame, strict: bool = False) -> DataFrame:
+    """Log rows to store, with coordinates, ``msg_id`` and ``reject_reason``
+    (NULL: store it).  A bad key, a topic without a metric and invalid JSON
+    never reach the store; ``strict`` raises on the first of them."""
+    ms = tm.key_to_ms("key")
+    met = metric_of_topic("topic")
+    key = bad_key(ms)
+    reason = (F.when(key.isNotNull(), key).when(met == "", F.lit("unknown metric"))
+              .when(~json_valid("value"), F.lit("bad json")))
+    if strict:
+        reason = F.when(reason.isNotNull(), F.raise_error(F.concat(F.lit("rejected message: "), reason)))
+    return msgs.select(met.alias("metric"), F.when(key.isNull(), tm.ms_to_ntz(ms)).alias("log_date"),
+                       F.col("value").alias("data"), message_id().alias("msg_id"),
+                       "topic", "partition", "offset", "key", reason.alias("reject_reason"))
+
+
 def json_valid(col="data") -> Column:
     """JSON validity check of a text column (FLT-4)."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.try_parse_json(c).isNotNull()
+    return F.coalesce(F.try_parse_json(c).isNotNull(), F.lit(False))

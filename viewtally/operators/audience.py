@@ -15,20 +15,13 @@ from viewtally.functions import time as tm
 from viewtally.operators.ticks import TickGrid
 
 
-def last_seen(events: DataFrame, policy: str = "max") -> DataFrame:
+def last_seen(events: DataFrame) -> DataFrame:
     """AGG-7 / AGG-8 as a table: ``uid, last_ms`` over all given events.
 
-    ``policy="max"``: newest event time (deterministic under parallel reads).
-    ``policy="arrival"``: score of the last message to arrive (highest
-    offset), which is what an overwriting ``zadd`` keeps on out-of-order data.
+    The newest event time wins.  (An overwriting ``zadd`` keeps the last
+    arrival instead; offsets of different partitions have no such order.)
     """
-    if policy == "max":
-        agg = F.max("ts_ms")
-    elif policy == "arrival":
-        agg = F.max_by("ts_ms", F.struct("partition", "offset"))
-    else:
-        raise ValueError(policy)
-    return events.where(F.col("uid").isNotNull()).groupBy("uid").agg(agg.alias("last_ms"))
+    return events.where(F.col("uid").isNotNull()).groupBy("uid").agg(F.max("ts_ms").alias("last_ms"))
 
 
 def users_at_ticks(events: DataFrame, grid: TickGrid,

@@ -1,61 +1,74 @@
 """Offset-resumed bounded ingestion (STR-9): plan -> check -> read -> save -> commit.
 
-Restartable by construction: the plan comes from the committed ledger, the
-save is idempotent (rows carry ``msg_id``; Parquet output of a range is
-overwritten, JDBC output is anti-joined), and the ledger is committed last.
-A crash anywhere before the commit re-runs the same ranges without
-duplicates; a crash after it starts from the new offsets.
+Restartable by construction: the plan starts at the committed offsets, what is
+saved is keyed by that start, and the ledger is committed last.  A crash
+before the commit re-runs from the same offsets; the re-run may reach further
+(messages keep arriving) and then replaces (Parquet) or completes (JDBC) what
+the crashed run stored.  A commit touches only the rows of its own plan, so
+jobs on different topics do not undo each other.
 """
 
 from __future__ import annotations
 
-import hashlib
 from dataclasses import dataclass
 from functools import reduce
 from typing import Callable, Protocol
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from viewtally import schemas as S
 from viewtally.functions import parse as P
-from viewtally.functions import time as tm
 from viewtally.operators import ledger as L
 from viewtally.sinks import jdbc as JS
 from viewtally.sinks import parquet as PS
 from viewtally.sources import jdbc as JR
 
 
-# Text columns compared in pushed-down filters must not be CLOBs.
-LOG_COLUMN_TYPES = "metric VARCHAR(50), data VARCHAR(32000), msg_id VARCHAR(300), topic VARCHAR(255)"
-
-
 class LedgerStore(Protocol):
     def read(self) -> DataFrame: ...
     def write(self, ledger: DataFrame) -> None: ...
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 @dataclass
 class ParquetLedger:
-    """Ledger as versioned Parquet directories; the newest version wins."""
+    """Ledger as Parquet folders ``topic=<t>/version=<n>``; a topic's newest
+    version wins.  A read error is an error, only a missing folder is empty."""
     spark: SparkSession
     root: str
 
+    def _versions(self) -> DataFrame | None:
+        if not path_exists(self.spark, self.root):
+            return None
+        schema = "part int, off bigint, topic string, version int"
+        return self.spark.read.schema(schema).option("basePath", self.root).parquet(self.root)
+
     def read(self) -> DataFrame:
-        try:
-            df = self.spark.read.option("basePath", self.root).parquet(self.root)
-        except Exception:
+        df = self._versions()
+        if df is None:
             return self.spark.createDataFrame([], S.LEDGER)
-        v = df.agg(F.max("version")).first()[0]
-        return df.where(F.col("version") == v).select("topic", "part", "off")
+        newest = df.groupBy("topic").agg(F.max("version").alias("version"))
+        return df.join(F.broadcast(newest), ["topic", "version"]).select("topic", "part", "off")
 
     def write(self, ledger: DataFrame) -> None:
-        try:
-            cur = self.spark.read.parquet(self.root).agg(F.max("version")).first()[0] or 0
-        except Exception:
-            cur = 0
-        # small table (one row per topic partition): one file
-        ledger.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/version={cur + 1}")
+        """Set the rows of ``ledger``; other rows of its topics stay, other
+        topics are not touched.  Two jobs that commit one topic at once ask
+        for the same version: the second fails instead of undoing the first."""
+        rows = ledger.collect()     # one row per topic partition
+        old = self.read().collect()
+        df = self._versions()
+        last = {} if df is None else {r["topic"]: r["v"] for r in
+                                      df.groupBy("topic").agg(F.max("version").alias("v")).collect()}
+        for topic in sorted({r["topic"] for r in rows}):
+            offs = {r["part"]: r["off"] for r in old if r["topic"] == topic}
+            offs |= {r["part"]: r["off"] for r in rows if r["topic"] == topic}
+            (self.spark.createDataFrame(sorted(offs.items()), "part int, off bigint").coalesce(1)
+             .write.mode("errorifexists").parquet(f"{self.root}/topic={topic}/version={last.get(topic, 0) + 1}"))
 
 
 @dataclass
@@ -69,25 +82,25 @@ class JdbcLedger:
         return JR.read_ledger(self.spark, self.url, self.table, props=self.props)
 
     def write(self, ledger: DataFrame) -> None:
-        # materialise before truncating the table the plan was read from
-        rows = ledger.collect()   # one row per topic partition
-        JS.overwrite(self.spark.createDataFrame(rows, S.LEDGER), self.url, self.table, self.props)
+        """Set the rows of ``ledger`` in one transaction; no other row changes."""
+        JS.upsert_offsets(self.spark, ledger.collect(), self.url, self.table, self.props)
 
 
 @dataclass
 class IngestResult:
     plan: list
-    rows_written: int
+    rows_written: int       # measured while saving
+    rows_rejected: int
+    rows_expected: int      # widths of the planned ranges
 
 
 def parquet_sink(root: str) -> Callable[[DataFrame, list], None]:
-    """Each range set writes to its own directory in overwrite mode."""
+    """One folder per (topic, part, first offset): a re-run from the same
+    offset replaces it, also when it reaches further."""
     def save(rows: DataFrame, plan: list) -> None:
-        tag = "-".join(f"{r['part']}_{r['from_off']}_{r['until_off']}" for r in
-                       sorted(plan, key=lambda r: (r["topic"], r["part"])))
-        topics = "-".join(sorted({r["topic"] for r in plan}))
-        digest = hashlib.sha1(tag.encode()).hexdigest()[:16]
-        PS.write_logs(rows, f"{root.rstrip('/')}/run={topics}.{digest}", mode="overwrite")
+        keys = ["topic", "partition", "from_off", "metric", "log_day"]
+        (PS.with_log_day(rows).hint("rebalance", *keys).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(root))
     return save
 
 
@@ -101,21 +114,28 @@ def jdbc_sink(spark: SparkSession, url: str, table: str, props: dict | None = No
                   for r in plan if r["until_off"] > r["from_off"]]
         if not ranges:
             return
-        JS.append_new(spark, rows, url, table, props=props, num_partitions=num_partitions,
+        JS.append_new(spark, rows.drop("from_off"), url, table, props=props, num_partitions=num_partitions,
                       stored_filter=reduce(lambda a, b: a | b, ranges),
-                      column_types=LOG_COLUMN_TYPES)
+                      column_types=JS.LOG_COLUMN_TYPES)
     return save
 
 
 def run(spark: SparkSession, messages: DataFrame, ledger: LedgerStore,
         save: Callable[[DataFrame, list], None], topics: list[str] | None = None,
-        bootstrap: bool = False, latest: DataFrame | None = None) -> IngestResult:
+        bootstrap: bool = False, latest: DataFrame | None = None,
+        save_rejects: Callable[[DataFrame, list], None] | None = None, strict: bool = False,
+        dense: bool = False) -> IngestResult:
     """One ingestion run over a Kafka-shaped ``messages`` table.
 
     ``latest`` defaults to the newest offsets found in ``messages``; pass the
     broker's view (``sources.kafka.read_latest``) in production.  The plan is
     checked before anything is written (negative or backwards ranges, missing
     ledger rows without ``bootstrap``).
+
+    Messages that can't be stored go to ``save_rejects``; without it, or with
+    ``strict``, the first of them fails the run before the commit.  Rows are
+    counted while they are saved; ``dense`` (a topic without compaction or
+    expired offsets) fails the run if they are fewer than the ranges hold.
     """
     msgs = messages.where(F.col("topic").isin(*topics)) if topics else messages
     latest = latest if latest is not None else L.latest_offsets(msgs)
@@ -125,18 +145,36 @@ def run(spark: SparkSession, messages: DataFrame, ledger: LedgerStore,
     plan_df = L.offset_plan(latest, old)
     plan = L.check_plan(plan_df, bootstrap)
     if not plan:
-        return IngestResult(plan, 0)
+        return IngestResult(plan, 0, 0, 0)
     plan_small = spark.createDataFrame(plan, plan_df.schema)   # one row per partition
     sel = L.select_range(msgs, plan_small)
-    rows = sel.select(P.metric_of_topic("topic").alias("metric"),
-                      tm.ms_to_ntz(tm.key_to_ms("key")).alias("log_date"),
-                      F.col("value").alias("data"), P.message_id().alias("msg_id"),
-                      "topic", "partition", "offset")
-    save(rows, plan)
-    written = sum(r["until_off"] - r["from_off"] for r in plan)
+    starts = F.broadcast(plan_small.select("topic", F.col("part").alias("partition"), "from_off"))
+    rows = P.checked_log_rows(sel, strict or save_rejects is None).join(starts, ["topic", "partition"])
+    stored, rejected = Observation(), Observation()
+    # (coalesce keeps the strict reason's error in the plan)
+    good = rows.where(F.coalesce("reject_reason", F.lit("")) == "").drop("reject_reason", "key")
+    expected = sum(r["until_off"] - r["from_off"] for r in plan)
+    written = n_rejected = 0
+    if expected:
+        save(good.observe(stored, F.count(F.lit(1)).alias("n")), plan)
+        written = stored.get["n"]
+    if expected and save_rejects is not None and not strict:
+        bad = rows.where(F.col("reject_reason").isNotNull()).select(
+            F.col("reject_reason").alias("reason"), "topic", "partition", "offset", "from_off", "key",
+            F.col("data").alias("value"))
+        save_rejects(bad.observe(rejected, F.count(F.lit(1)).alias("n")), plan)
+        n_rejected = rejected.get["n"]
+    if dense and written + n_rejected != expected:
+        raise L.LedgerError(f"{written + n_rejected} messages read, the ranges hold {expected}")
     base = L.bootstrap(old, plan_small) if bootstrap else old
-    new = L.commit(base, plan_small, require_existing=True)
-    if topics:   # keep other topics' rows
-        new = new.unionByName(ledger.read().where(~F.col("topic").isin(*topics)))
-    ledger.write(new)
-    return IngestResult(plan, written)
+    planned = plan_small.select("topic", "part")
+    ledger.write(L.commit(base, plan_small, require_existing=True).join(planned, ["topic", "part"], "left_semi"))
+    return IngestResult(plan, written, n_rejected, expected)
+
+
+def parquet_rejects(root: str) -> Callable[[DataFrame, list], None]:
+    """Rejected messages as Parquet, replaced like the rows themselves."""
+    def save(rows: DataFrame, plan: list) -> None:
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("topic", "partition", "from_off").parquet(root))
+    return save

@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from viewtally import config as C
 from viewtally.sources.jdbc import read_table
 
+# Text columns of pushed-down filters must not be CLOBs (a topic name has 249
+# characters at most); ``data`` is in no filter and has no limit.
+LOG_COLUMN_TYPES = "metric VARCHAR(255), msg_id VARCHAR(300), topic VARCHAR(255)"
+
 
 def append(df: DataFrame, url: str, table: str, props: dict | None = None,
            batchsize: int = C.JDBC_BATCH_SIZE, num_partitions: int | None = None,
@@ -33,18 +37,62 @@ def append_new(spark: SparkSession, df: DataFrame, url: str, table: str, key: st
     offset range being written) is pushed to the database so only the keys a
     retry could collide with are read back.
     """
-    try:
-        stored = read_table(spark, url, table, props)
-        if stored_filter is not None:
-            stored = stored.where(stored_filter)
-        stored = stored.select(F.col(key).alias("__k"))
-    except Exception:  # table not created yet
+    if not table_exists(spark, url, table, props):
         append(df, url, table, props, **kw)
         return
+    stored = read_table(spark, url, table, props)
+    if stored_filter is not None:
+        stored = stored.where(stored_filter)
+    stored = stored.select(F.col(key).alias("__k"))
     new = df.join(stored, df[key] == stored["__k"], "left_anti")
     append(new, url, table, props, **kw)
 
 
+def _connect(spark: SparkSession, url: str, props: dict | None):
+    """A driver-side connection for metadata and the ledger's few rows."""
+    jvm = spark._jvm
+    conf = jvm.java.util.Properties()
+    for k, v in (props or {}).items():
+        conf.setProperty(k, str(v))
+    if props and "driver" in props:
+        jvm.java.lang.Class.forName(props["driver"])
+    return jvm.java.sql.DriverManager.getConnection(url, conf)
+
+
+def table_exists(spark: SparkSession, url: str, table: str, props: dict | None = None) -> bool:
+    """Asked of the database; a failing connection or login raises."""
+    schema, _, name = table.rpartition(".")
+    con = _connect(spark, url, props)
+    try:
+        meta = con.getMetaData()
+        return any(meta.getTables(None, s or None, n, None).next()
+                   for n in (name, name.upper(), name.lower()) for s in {schema, schema.upper()})
+    finally:
+        con.close()
+
+
+def upsert_offsets(spark: SparkSession, rows: list, url: str, table: str, props: dict | None = None) -> None:
+    """Set ``off`` of each (topic, part), inserting what is missing; one
+    transaction, no other row is touched.  One row per topic partition."""
+    con = _connect(spark, url, props)
+    try:
+        con.setAutoCommit(False)
+        q = con.getMetaData().getIdentifierQuoteString().strip()
+        col = {c: f"{q}{c}{q}" for c in ("topic", "part", "off")}
+        update = con.prepareStatement(f"UPDATE {table} SET {col['off']} = ? WHERE {col['topic']} = ? AND {col['part']} = ?")
+        insert = con.prepareStatement(f"INSERT INTO {table} ({col['off']}, {col['topic']}, {col['part']}) VALUES (?, ?, ?)")
+        for r in rows:
+            for statement in (update, insert):
+                statement.setLong(1, r["off"])
+                statement.setString(2, r["topic"])
+                statement.setInt(3, r["part"])
+                if statement.executeUpdate():
+                    break
+        con.commit()
+    finally:
+        con.close()
+
+
 def overwrite(df: DataFrame, url: str, table: str, props: dict | None = None) -> None:
     """Replace a small table (the ledger) keeping its definition (truncate)."""
     w = df.write.mode("overwrite").format("jdbc").option("url", url).option("dbtable", table) \

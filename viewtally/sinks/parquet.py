@@ -7,11 +7,9 @@ trigger and child tables: a filter on ``log_day`` prunes directories
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewtally import config as C
-
 DAY_PATTERN = "yyyy_MM_dd"
 
 
@@ -31,15 +29,18 @@ def write_logs(rows: DataFrame, path: str, files: int | None = None,
     scan task, and ``maxRecordsPerFile`` bounds file size.
     """
     df = with_log_day(rows) if "log_day" not in rows.columns else rows
-    df = df.coalesce(files) if files else df.hint("rebalance", "metric", "log_day")
+    # ``files`` after a shuffle: a coalesce would read the batch in so few tasks
+    df = df.repartition(files) if files else df.hint("rebalance", "metric", "log_day")
     (df.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
      .partitionBy("metric", "log_day").parquet(path))
 
 
-def write_batch(rows: DataFrame, root: str, batch_id: int,
-                files: int = C.PARQUET_FILES_PER_BATCH, skip_empty: bool = True) -> bool:
-    """One micro-batch to ``root/batch_id=<n>/…`` in overwrite mode, so a
-    replayed batch replaces its own output instead of adding to it.  Empty
+def write_batch(rows: DataFrame, root: str, batch_id: int, files: int | None = None,
+                skip_empty: bool = True, run: str = "batch") -> bool:
+    """One micro-batch to ``root/run=<run>/batch_id=<n>/…`` in overwrite mode, so a
+    replayed batch replaces its own output instead of adding to it.  ``run``
+    is the stream's id: batch numbers start at 0 again with a new checkpoint,
+    and must not replace what an earlier one stored.  Empty
     batches write nothing (FLT-1).  Returns whether anything was written.
 
     Streams pass ``skip_empty=False``: Spark does not run a stateless
@@ -47,7 +48,7 @@ def write_batch(rows: DataFrame, root: str, batch_id: int,
     its rows twice in observed metrics."""
     if skip_empty and rows.isEmpty():
         return False
-    write_logs(rows, f"{root.rstrip('/')}/batch_id={batch_id}", files=files, mode="overwrite")
+    write_logs(rows, f"{root.rstrip('/')}/run={run}/batch_id={batch_id}", files=files, mode="overwrite")
     return True
 
 
@@ -55,7 +56,18 @@ def read_logs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("basePath", path).parquet(path)
 
 
+def write_rejects(rows: DataFrame, path: str, mode: str = "append") -> None:
+    """Rejected messages: reason, coordinates, key and raw value (an empty
+    folder when there are none)."""
+    rows.write.mode(mode).parquet(path)
+
+
+def outside_day() -> Column:
+    """Whether ``log_date`` lies outside its ``log_day``; NULL dates do."""
+    return ~F.date_format("log_date", DAY_PATTERN).eqNullSafe(F.col("log_day"))
+
+
 def day_range_violations(logs: DataFrame) -> DataFrame:
     """FLT-5: rows whose ``log_date`` lies outside ``[day, day + 1)`` of their
     partition (empty when the store is consistent)."""
-    return logs.where(F.date_format("log_date", DAY_PATTERN) != F.col("log_day"))
+    return logs.where(outside_day())

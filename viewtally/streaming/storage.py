@@ -1,18 +1,19 @@
 """Raw-log storage streams (SNK-1, SNK-2, SNK-4, STR-1, STR-8, FLT-1).
 
 One query over all three topics (the metric comes from the topic name);
-each micro-batch goes to day-partitioned Parquet under its own
-``batch_id=<n>`` directory (overwrite: replay-safe) or is appended over JDBC
-with an anti-join on the message id.
+each micro-batch goes to day-partitioned Parquet under its stream's and its own
+directory (overwrite: replay-safe) or is appended over JDBC with an anti-join
+on the message id.  Messages that can't be stored go to a reject table.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from viewtally import config as C
 from viewtally.functions import parse as P
 from viewtally.sinks import jdbc as JS
 from viewtally.sinks import parquet as PS
@@ -20,40 +21,74 @@ from viewtally.sinks import parquet as PS
 BATCH_ROWS = "batch_rows"
 
 
-def log_stream(msgs: DataFrame) -> DataFrame:
-    """Log rows with the per-batch row count as an observed metric (SNK-4),
-    read from ``query.lastProgress['observedMetrics']``: no extra count pass."""
-    rows = P.log_rows(msgs, with_id=True)
-    return rows.observe(BATCH_ROWS, F.count(F.lit(1)).alias("rows"))
+def log_stream(msgs: DataFrame, strict: bool = False) -> DataFrame:
+    """Checked log rows with the per-batch row counts as an observed metric
+    (SNK-4), read from ``query.lastProgress['observedMetrics']``: no extra pass."""
+    rows = P.checked_log_rows(msgs, strict)
+    return rows.observe(BATCH_ROWS, F.count(F.lit(1)).alias("rows"),
+                        F.count("reject_reason").alias("rejected"))
+
+
+def _run_of(batch: DataFrame) -> str:
+    """The stream's id, which its checkpoint keeps."""
+    run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not run:
+        raise RuntimeError("no sql.streaming.queryId: not inside a stream's batch")
+    return run
+
+
+def _split(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+    good = batch.where(F.col("reject_reason").isNull()).drop("reject_reason", "key")
+    bad = batch.where(F.col("reject_reason").isNotNull()).select(
+        F.col("reject_reason").alias("reason"), "topic", "partition", "offset", "key", F.col("data").alias("value"))
+    return good, bad
 
 
 def start_parquet(msgs: DataFrame, root: str, ckpt: str, trigger: dict | None = None,
-                  files: int = C.PARQUET_FILES_PER_BATCH) -> StreamingQuery:
+                  files: int | None = None, rejects: str | None = None, strict: bool = False) -> StreamingQuery:
+    """Good rows under ``root``, rejected ones under ``rejects`` (default ``<root>_rejects``)."""
+    rejects = rejects or f"{root.rstrip('/')}_rejects"
+
     def sink(batch: DataFrame, batch_id: int) -> None:
-        PS.write_batch(batch, root, batch_id, files, skip_empty=False)
+        run = _run_of(batch)
+        batch = batch.persist()
+        try:
+            good, bad = _split(batch)
+            PS.write_batch(good, root, batch_id, files, skip_empty=False, run=run)
+            PS.write_rejects(bad, f"{rejects}/run={run}/batch_id={batch_id}", "overwrite")
+        finally:
+            batch.unpersist()
 
-    return (log_stream(msgs).writeStream.queryName("log_parquet")
+    return (log_stream(msgs, strict).writeStream.queryName("log_parquet")
             .option("checkpointLocation", ckpt)
             .trigger(**(trigger or {"processingTime": "60 minutes"}))
             .foreachBatch(sink).start())
 
 
 def start_jdbc(msgs: DataFrame, url: str, table: str, ckpt: str, props: dict | None = None,
-               trigger: dict | None = None) -> StreamingQuery:
+               trigger: dict | None = None, rejects: str | None = None, strict: bool = False) -> StreamingQuery:
+    """Good rows to the table, the same columns as ingestion writes; rejected
+    ones as Parquet under ``rejects`` (default ``<ckpt>_rejects``)."""
+    rejects = rejects or f"{ckpt.rstrip('/')}_rejects"
+
     def sink(batch: DataFrame, batch_id: int) -> None:
-        # cached: the range lookup and the write then run the batch once
+        # cached: the range lookup and the writes then run the batch once
         batch = batch.persist()
         try:
-            lo_hi = batch.agg(F.min("log_date").alias("lo"), F.max("log_date").alias("hi")).first()
-            if lo_hi["lo"] is None:      # empty batch (FLT-1)
+            good, bad = _split(batch)
+            PS.write_rejects(bad, f"{rejects}/run={_run_of(batch)}/batch_id={batch_id}", "overwrite")
+            ranges = good.groupBy("topic", "partition").agg(F.min("offset").alias("lo"), F.max("offset").alias("hi")).collect()
+            if not ranges:      # empty batch (FLT-1)
                 return
-            recent = (F.col("log_date") >= F.lit(lo_hi["lo"])) & (F.col("log_date") <= F.lit(lo_hi["hi"]))
-            JS.append_new(batch.sparkSession, batch, url, table, props=props, stored_filter=recent,
-                          column_types="metric VARCHAR(50), data VARCHAR(32000), msg_id VARCHAR(300)")
+            # one row per topic partition: only this batch's offsets can collide
+            stored = [(F.col("topic") == r["topic"]) & (F.col("partition") == r["partition"])
+                      & F.col("offset").between(r["lo"], r["hi"]) for r in ranges]
+            JS.append_new(batch.sparkSession, good, url, table, props=props,
+                          stored_filter=reduce(lambda a, b: a | b, stored), column_types=JS.LOG_COLUMN_TYPES)
         finally:
             batch.unpersist()
 
-    return (log_stream(msgs).writeStream.queryName("log_jdbc")
+    return (log_stream(msgs, strict).writeStream.queryName("log_jdbc")
             .option("checkpointLocation", ckpt)
             .trigger(**(trigger or {"processingTime": "60 seconds"}))
             .foreachBatch(sink).start())
