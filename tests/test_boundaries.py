@@ -31,8 +31,7 @@ def test_purge_before_and_scores(spark):
 def test_out_of_order_policies(spark):
     df = spark.createDataFrame([("u", 1005, 0, 1), ("u", 1001, 0, 2)],
                                "uid string, ts_ms bigint, partition int, offset bigint")
-    assert A.last_seen(df, "max").first().last_ms == 1005
-    assert A.last_seen(df, "arrival").first().last_ms == 1001
+    assert A.last_seen(df).first().last_ms == 1005
 
 
 def test_expire_by_lex(spark):

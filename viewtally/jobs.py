@@ -41,10 +41,11 @@ def _stream(spark: SparkSession, args) -> DataFrame:
     return KF.read_stream(spark, args.brokers, args.prefix)
 
 
-def _table(spark: SparkSession, path: str) -> DataFrame:
-    if path.endswith(".parquet") or "parquet" in path:
-        return spark.read.parquet(path)
-    return spark.read.schema(S.MESSAGE).json(path)
+def _table(spark: SparkSession, args) -> DataFrame:
+    kind = args.format or ("parquet" if args.input.rstrip("/").endswith(".parquet") else "json")
+    if kind == "parquet":
+        return spark.read.parquet(args.input)
+    return spark.read.schema(S.MESSAGE).json(args.input)
 
 
 def job_metrics(spark: SparkSession, args) -> list:
@@ -67,8 +68,9 @@ def job_store(spark: SparkSession, args) -> list:
     msgs = _stream(spark, args)
     if args.jdbc_url:
         props = dict(p.split("=", 1) for p in args.jdbc_prop)
-        return [SS.start_jdbc(msgs, args.jdbc_url, args.table, args.checkpoint, props, _trigger(args))]
-    return [SS.start_parquet(msgs, args.out, args.checkpoint, _trigger(args), args.files)]
+        return [SS.start_jdbc(msgs, args.jdbc_url, args.table, args.checkpoint, props, _trigger(args),
+                              args.rejects, args.strict)]
+    return [SS.start_parquet(msgs, args.out, args.checkpoint, _trigger(args), args.files, args.rejects, args.strict)]
 
 
 def job_ingest(spark: SparkSession, args):
@@ -82,7 +84,7 @@ def job_ingest(spark: SparkSession, args):
         sink = I.parquet_sink(args.out)
     topics = topics_for(args.prefix, [args.metric] if args.metric else C.METRICS)
     if args.input:
-        msgs = _table(spark, args.input)
+        msgs = _table(spark, args)
     else:
         # read only what is new: from the committed offsets to the latest
         led = ledger.read().where(F.col("topic").isin(*topics)).collect()
@@ -93,14 +95,16 @@ def job_ingest(spark: SparkSession, args):
                 "startingOffsets": json.dumps(start) if start and not args.bootstrap else "earliest",
                 "endingOffsets": "latest"}
         msgs = spark.read.format("kafka").options(**opts).load().select(*KF.message_columns())
-    return I.run(spark, msgs, ledger, sink, topics=topics, bootstrap=args.bootstrap)
+    rejects = args.rejects or (f"{args.out.rstrip('/')}_rejects" if args.out else None)
+    return I.run(spark, msgs, ledger, sink, topics=topics, bootstrap=args.bootstrap, strict=args.strict,
+                 dense=args.dense, save_rejects=I.parquet_rejects(rejects) if rejects else None)
 
 
 def job_backfill(spark: SparkSession, args):
     from viewtally.plans import backfill as B
     days = (args.from_day, args.to_day) if args.from_day and args.to_day else None
     spec = B.BackfillSpec(trend_mode=args.trend_mode, top_k=args.top_k, days=days)
-    return B.run(spark, _table(spark, args.input), args.out, spec)
+    return B.run(spark, _table(spark, args), args.out, spec, strict=args.strict)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -126,7 +130,9 @@ def parser() -> argparse.ArgumentParser:
     s = sub.add_parser("store")
     source(s)
     s.add_argument("--out")
-    s.add_argument("--files", type=int, default=C.PARQUET_FILES_PER_BATCH)
+    s.add_argument("--files", type=int, help="files of a batch (default: by size)")
+    s.add_argument("--rejects", help="Parquet folder of rejected messages")
+    s.add_argument("--strict", action="store_true", help="fail on the first bad message")
     s.add_argument("--jdbc-url")
     s.add_argument("--jdbc-prop", action="append", default=[], help="key=value")
     s.add_argument("--table", default=C.LOG_TABLE)
@@ -136,6 +142,10 @@ def parser() -> argparse.ArgumentParser:
     i.add_argument("--prefix", default="prod")
     i.add_argument("--metric", choices=list(C.METRICS))
     i.add_argument("--input", help="message table instead of Kafka")
+    i.add_argument("--format", choices=["parquet", "json"], help="of --input (default: by its ending)")
+    i.add_argument("--rejects", help="Parquet folder of rejected messages (default: beside --out)")
+    i.add_argument("--strict", action="store_true", help="fail on the first bad message")
+    i.add_argument("--dense", action="store_true", help="fail if fewer messages are read than planned")
     i.add_argument("--ledger", help="Parquet ledger folder")
     i.add_argument("--out", help="Parquet log folder")
     i.add_argument("--jdbc-url")
@@ -148,9 +158,11 @@ def parser() -> argparse.ArgumentParser:
     b = sub.add_parser("backfill")
     b.add_argument("--input", required=True, help="message table (Parquet or JSON lines)")
     b.add_argument("--out", required=True)
+    b.add_argument("--format", choices=["parquet", "json"], help="of --input (default: by its ending)")
+    b.add_argument("--strict", action="store_true", help="fail on the first bad message")
     b.add_argument("--trend-mode", choices=["exact", "ttl"], default="exact")
     b.add_argument("--top-k", type=int, default=10)
-    b.add_argument("--from-day", help="first UTC day (ISO date); with --to-day skips the range scan")
+    b.add_argument("--from-day", help="first UTC day (ISO date); with --to-day only those days are read and written")
     b.add_argument("--to-day", help="last UTC day (ISO date), inclusive")
     return p
 
