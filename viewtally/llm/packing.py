@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewtally.llm.common import id_key, positions, word_count
+from viewtally.llm.common import id_key, positions, stage, word_count
 
 MAX_LEN = 2048      # tokens of a training sequence
 BUCKETS = 8
@@ -79,7 +79,8 @@ def pack(docs: DataFrame, max_len: int = MAX_LEN, buckets: int = BUCKETS, budget
     themselves); an empty table gives no rows.  Columns but doc_id and text
     are not looked at.
     """
-    cut = pieces(docs, max_len, tokens)
+    # written once: texts are read and counted a single time
+    cut = stage(pieces(docs, max_len, tokens), "pieces")
     found = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     bounds = boundaries(found, buckets) or [max_len]
     bucket = F.coalesce(*[F.when(F.col("length") <= b, F.lit(b)) for b in bounds]).cast("bigint")
