@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from viewtally.llm.common import id_key, positions, whole_row, word_count
+from viewtally.llm.common import id_key, positions, stage, whole_row, word_count
 
 WEIGHTS = (3, 1, 2)     # of the sources by code point, repeating
 SHARE = 1.5             # all targets together, in sizes of the whole input
@@ -79,7 +79,8 @@ def mix_plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int =
     from a hash of ``seed`` and the source's name: reruns agree.  An empty table gives no
     rows.  No other column is looked at.
     """
-    rows = docs.select("doc_id", id_key("doc_id").alias("_id"), "source", word_count("text").alias("size"))
+    # written once: texts are read and counted a single time
+    rows = stage(docs.select("doc_id", id_key("doc_id").alias("_id"), "source", word_count("text").alias("size")), "sizes")
     return _mixed(rows, weights, share, cap, seed).select(
         "doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
