@@ -1,0 +1,142 @@
+"""Live tables: bounded files, compaction, owners, stored ticks, idle publication,
+rejects of the staged stream, typed storage."""
+
+import json
+import os
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF001
+from viewtally import jobs
+from viewtally import schemas as S
+from viewtally.sinks import snapshot
+from viewtally.sources import messages as M
+from viewtally.streaming import metrics as SM
+
+DAY = 86_400_000
+
+
+def files(root):
+    return [f for _d, _s, names in os.walk(root) for f in names if f.endswith(".parquet")]
+
+
+def test_compaction_keeps_the_newest_rows(spark, tmp):
+    root, want = os.path.join(tmp, "t"), {}
+    for batch in range(13):
+        rows = [(k * 60_000 + (batch % 2) * DAY, "v", batch * 100 + k) for k in range(batch % 5 + 1)]
+        want |= {r[0]: r[2] for r in rows}
+        df = spark.createDataFrame(rows, "bucket_ms long, video string, n long")
+        snapshot.write(df, root, batch, day_of="bucket_ms", files=2)
+        for _ in range(2):      # a crash after the merge repeats it
+            if batch and batch % 4 == 0:
+                snapshot.compact(spark, root, ["bucket_ms", "video"], batch - 1, 4)
+        read = lambda: {r.bucket_ms: r.n for r in snapshot.latest(spark, root, ["bucket_ms", "video"]).collect()}
+        assert read() == want
+    # the folders of the first two compactions are gone but for their newest
+    ids = {int(n.split("=")[1]) for d in os.listdir(root) if d.startswith("day=")
+           for n in os.listdir(os.path.join(root, d)) if n.startswith("batch_id=")}
+    assert ids == {2, 3, 6, 7, 8, 9, 10, 11, 12}
+
+
+def test_a_table_belongs_to_one_stream(spark, tmp):
+    root = os.path.join(tmp, "t")
+    snapshot.claim(spark, root, "a")
+    snapshot.claim(spark, root, "a")
+    with pytest.raises(RuntimeError, match="belongs"):
+        snapshot.claim(spark, root, "b")
+
+
+def test_ticks_are_stored_per_batch(spark, tmp):
+    path = os.path.join(tmp, "ticks")
+    later = lambda t: lambda before: max(t, before or 0)
+    assert snapshot.remember(spark, path, 0, later(50)) == 50
+    assert snapshot.remember(spark, path, 1, later(40)) == 50       # never back
+    assert snapshot.remember(spark, path, 1, later(90)) == 50       # a replay repeats it
+    assert snapshot.remember(spark, path, 2, lambda before: None) is None
+    assert snapshot.remember(spark, path, 3, later(70)) == 70
+    assert sorted(os.listdir(path)) == ["1.50", "3.70"]
+
+
+def test_idle_ticks_empty_the_tables(spark, tmp):
+    now = int(time.time() * 1000)
+    seen = [("pageview", "u1", now - now % 60_000, now)]
+    snapshot.write(spark.createDataFrame(seen, "metric string, uid string, bucket_ms long, last_ms long"),
+                   os.path.join(tmp, "last_seen"), 0, day_of="bucket_ms")
+    views = [(now - now % 60_000, "v1", 3, now)]
+    snapshot.write(spark.createDataFrame(views, "bucket_ms long, video string, n long, last_ms long"),
+                   os.path.join(tmp, "topvideos_m"), 0, day_of="bucket_ms")
+    pub = SM.Publisher(tmp)
+    for tick, users, trend in ((now, 1, 1), (now + 600_000, 0, 1), (now + 7 * 3_600_000, 0, 0), (now + 5 * DAY, 0, 0)):
+        pub.users(spark, tick)
+        pub.trend(spark, tick)
+        for name, n in (("activeusers", users), ("topvideos", trend)):
+            assert spark.read.parquet(os.path.join(tmp, name, f"tick_ms={tick}")).count() == n
+    # the timer publishes without any message
+    q = SM.start_ticker(spark, tmp, os.path.join(tmp, "ck"), seconds=1)
+    end = time.time() + 60
+    while time.time() < end and len(os.listdir(os.path.join(tmp, "orderusers"))) < 6:
+        time.sleep(0.5)
+    q.stop()
+    assert len(os.listdir(os.path.join(tmp, "orderusers"))) >= 6
+
+
+def _files_in(spark, df, folder, n):
+    """The messages in time order, one JSON file for each of ``n`` spans."""
+    os.makedirs(folder, exist_ok=True)
+    edges = df.select(F.col("key").cast("bigint").alias("k")).approxQuantile("k", [i / n for i in range(1, n)], 0.0)
+    edges = [0, *edges, float(1 << 62)]
+    for i in range(n):
+        out = os.path.join(folder, f"_part{i}")
+        key = F.col("key").try_cast("bigint")
+        df.where((key >= edges[i]) & (key < edges[i + 1])).coalesce(1).write.json(out)
+        [f] = [x for x in os.listdir(out) if x.endswith(".json")]
+        os.rename(os.path.join(out, f), os.path.join(folder, f"part{i}.json"))
+        time.sleep(1.1)
+
+
+def test_metrics_job_keeps_rejects_and_bounds_files(spark, tmp):
+    msgs = M.messages(spark, SF001, corrupt_every=10).select(*S.MESSAGE.fieldNames())
+    src, out = os.path.join(tmp, "in"), os.path.join(tmp, "out")
+    _files_in(spark, msgs, src, 5)
+    args = ["metrics", "--input", src, "--once", "--clock", "event", "--checkpoint", os.path.join(tmp, "ck"),
+            "--out", out, "--compact-every", "2", "--table-files", "2", "--trend-mode", "ttl"]
+    jobs.main(args, spark)
+    counted = SM.read_table(spark, out, "counters").agg(F.sum("n")).first()[0]
+    rejects = SM.staged_rejects(spark, os.path.join(out, "_staged"))
+    assert counted + rejects.count() == msgs.count() and rejects.count() > 0
+    assert rejects.where("value is null or key is null or offset is null or reason is null").count() == 0
+    for day in (d for d in os.listdir(os.path.join(out, "counters")) if d.startswith("day=")):
+        for batch in os.listdir(os.path.join(out, "counters", day)):
+            assert len(files(os.path.join(out, "counters", day, batch))) <= 3
+    # another checkpoint would count its batches from 0: refused
+    with pytest.raises(Exception, match="belongs"):
+        jobs.main([*args[:7], os.path.join(tmp, "ck2"), *args[8:]], spark)
+
+
+def test_typed_store(spark, tmp):
+    msgs = M.messages(spark, SF001).select(*S.MESSAGE.fieldNames())
+    odd = [("1704067200000", json.dumps({"a": 1, "b": {"c": "x"}}), "test-search", 0, i) for i in range(5)]
+    odd += [("1704067200000", "{}", "test-search", 0, 5), ("soon", "{}", "test-click", 9, 0),
+            ("1704067200000", "{", "test-click", 9, 1), ("1704067200000", '{"a": 1}', "nometric", 0, 0)]
+    both = msgs.union(spark.createDataFrame(odd, S.MESSAGE))
+    src, out = os.path.join(tmp, "in"), os.path.join(tmp, "logs")
+    both.coalesce(2).write.json(src)
+    for _ in range(2):
+        jobs.main(["store", "--typed", "--input", src, "--max-files-per-trigger", "5", "--once",
+                   "--checkpoint", os.path.join(tmp, "ck"), "--out", out], spark)
+    stored = spark.read.parquet(out)
+    assert stored.count() == msgs.count()
+    assert stored.where("video is null or uuid is null or log_date is null").count() == 0
+    found = spark.read.parquet(f"{out}_discovered")
+    assert found.select("payload.*").distinct().collect() == [(1, ("x",))] and found.count() == 5
+    rejects = {(r.reason, r.topic): r.value for r in spark.read.parquet(f"{out}_rejects").collect()}
+    assert rejects == {("unknown metric", "test-search"): "{}", ("bad key", "test-click"): "{}",
+                       ("bad json", "test-click"): "{", ("unknown metric", "nometric"): '{"a": 1}'}
+
+
+def test_one_day_of_the_typed_store_is_a_directory_filter(spark):
+    from viewtally.plans import catalog
+    plan = catalog.parquet_round_trip(spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(log_day" in plan

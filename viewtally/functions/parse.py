@@ -125,6 +125,18 @@ def checked_log_rows(msgs: DataFrame, strict: bool = False) -> DataFrame:
                        "topic", "partition", "offset", "key", reason.alias("reject_reason"))
 
 
+def typed_log_rows(msgs: DataFrame, strict: bool = False) -> DataFrame:
+    """Log rows with the JSON fields as columns instead of the raw text:
+    ``metric, log_date``, the event fields, ``msg_id`` and coordinates;
+    ``reject_reason`` (NULL: store it) and, for rejected messages, the raw
+    ``key`` and ``value``.  One JSON parse per message."""
+    parsed = parse_messages(msgs, strict, raw=True)
+    in_range = bad_key(F.col("ts_ms")).isNull()
+    fields = [f for f in S.ALL_FIELDS if f != "metric"]
+    return parsed.select("metric", F.when(in_range, tm.ms_to_ntz("ts_ms")).alias("log_date"), *fields,
+                         message_id().alias("msg_id"), "topic", "partition", "offset", "reject_reason", "key", "value")
+
+
 def json_valid(col="data") -> Column:
     """JSON validity check of a text column (FLT-4)."""
     c = F.col(col) if isinstance(col, str) else col

@@ -50,17 +50,24 @@ def _table(spark: SparkSession, args) -> DataFrame:
 
 def job_metrics(spark: SparkSession, args) -> list:
     from viewtally.streaming import metrics as SM
-    if args.stage:
+    kw = dict(clock=args.clock, trend_mode=args.trend_mode, tz=args.tz, files=args.table_files,
+              compact_every=args.compact_every)
+    # by the wall clock a timer publishes, so an idle stream still moves on
+    timer = args.clock == "processing" and not args.once
+    if args.direct:
+        queries = SM.start(_stream(spark, args), args.out, args.checkpoint, _trigger(args), publish=not timer,
+                           strict=args.strict, **kw).all()
+    else:
         # parse once into compact Parquet; the four aggregations read that
-        stage = SM.start_staging(_stream(spark, args), args.stage, args.checkpoint, _trigger(args))
+        stage_dir = args.stage or f"{args.out.rstrip('/')}/_staged"
+        stage = SM.start_staging(_stream(spark, args), stage_dir, args.checkpoint, _trigger(args), args.strict)
         if args.once:
             stage.processAllAvailable()
-        streams = SM.start(None, args.out, args.checkpoint, _trigger(args), clock=args.clock,
-                           trend_mode=args.trend_mode, events=SM.staged_events(spark, args.stage))
-        return [stage] + streams.all()
-    streams = SM.start(_stream(spark, args), args.out, args.checkpoint, _trigger(args),
-                       clock=args.clock, trend_mode=args.trend_mode)
-    return streams.all()
+        queries = [stage] + SM.start(None, args.out, args.checkpoint, _trigger(args), publish=not timer,
+                                     events=SM.staged_events(spark, stage_dir), **kw).all()
+    if timer:
+        queries.append(SM.start_ticker(spark, args.out, args.checkpoint, args.batch_seconds, args.trend_mode, args.tz))
+    return queries
 
 
 def job_store(spark: SparkSession, args) -> list:
@@ -70,6 +77,9 @@ def job_store(spark: SparkSession, args) -> list:
         props = dict(p.split("=", 1) for p in args.jdbc_prop)
         return [SS.start_jdbc(msgs, args.jdbc_url, args.table, args.checkpoint, props, _trigger(args),
                               args.rejects, args.strict)]
+    if args.typed:
+        return [SS.start_typed_parquet(msgs, args.out, args.checkpoint, _trigger(args), args.files, args.rejects,
+                                       args.strict)]
     return [SS.start_parquet(msgs, args.out, args.checkpoint, _trigger(args), args.files, args.rejects, args.strict)]
 
 
@@ -125,12 +135,18 @@ def parser() -> argparse.ArgumentParser:
     m.add_argument("--out", required=True)
     m.add_argument("--clock", choices=["processing", "event"], default="processing")
     m.add_argument("--trend-mode", choices=["exact", "ttl"], default="exact")
-    m.add_argument("--stage", help="folder for parsed compact events (parse once, fan out)")
+    m.add_argument("--stage", help="folder for parsed compact events and rejects (default: <out>/_staged)")
+    m.add_argument("--direct", action="store_true", help="no staging: each query parses the messages, rejects are dropped")
+    m.add_argument("--strict", action="store_true", help="fail on the first bad message")
+    m.add_argument("--tz", default=C.LABEL_TZ, help="zone of the hour buckets")
+    m.add_argument("--table-files", type=int, default=4, help="files of a table's day in one batch")
+    m.add_argument("--compact-every", type=int, default=60, help="batches between two compactions")
 
     s = sub.add_parser("store")
     source(s)
     s.add_argument("--out")
     s.add_argument("--files", type=int, help="files of a batch (default: by size)")
+    s.add_argument("--typed", action="store_true", help="JSON fields as columns (Parquet only)")
     s.add_argument("--rejects", help="Parquet folder of rejected messages")
     s.add_argument("--strict", action="store_true", help="fail on the first bad message")
     s.add_argument("--jdbc-url")

@@ -164,19 +164,15 @@ def trend_at(minute_tier: DataFrame, tick_ms: int, hours: int = C.TREND_HOURS,
     hs = tm.hour_start("bucket_ms", tz)
     m_lo = t - F.pmod(t, _b(M)) - _b(hours * H)
     recent = minute_tier.where((F.col("bucket_ms") >= m_lo) & (F.col("bucket_ms") <= t))
-    in_hours = recent.where(hs >= h_now - _b((hours - 1) * H))
-    tail = recent.where(hs < h_now - _b((hours - 1) * H))
     if mode == "ttl":
-        # bucket-wide last writes; at most hours*60+1 minute rows: bounded
-        full_hours = in_hours.where(hs < h_now)
-        h_lw = full_hours.groupBy(hs.alias("hb")).agg(F.max("last_ms").alias("blw")) \
-            .where(F.col("blw") + _b(hour_ttl_s * 1000) > t)
-        kept_hours = full_hours.join(F.broadcast(h_lw), hs == F.col("hb"), "left_semi")
-        in_hours = kept_hours.unionByName(in_hours.where(hs >= h_now))
-        m_lw = tail.groupBy(F.col("bucket_ms").alias("mb")).agg(F.max("last_ms").alias("blw")) \
-            .where(F.col("blw") + _b(minute_ttl_s * 1000) > t)
-        tail = tail.join(F.broadcast(m_lw), F.col("bucket_ms") == F.col("mb"), "left_semi")
+        # the bucket a cell is kept in: its hour, or its minute before those
+        in_hours = hs >= h_now - _b((hours - 1) * H)
+        recent = recent.withColumns({"hourly": in_hours, "b": F.when(in_hours, hs).otherwise(F.col("bucket_ms"))})
+        # bucket-wide last writes: at most ``hours`` + 60 rows
+        alive = recent.groupBy("hourly", "b").agg(F.max("last_ms").alias("blw")).where(
+            (F.col("hourly") & (F.col("b") >= h_now))
+            | (F.col("blw") + F.when(F.col("hourly"), _b(hour_ttl_s * 1000)).otherwise(_b(minute_ttl_s * 1000)) > t))
+        recent = recent.join(F.broadcast(alive), ["hourly", "b"], "left_semi")
     elif mode != "exact":
         raise ValueError(mode)
-    return (in_hours.select("video", "n").unionByName(tail.select("video", "n"))
-            .groupBy("video").agg(F.sum("n").cast("bigint").alias("n")))
+    return recent.groupBy("video").agg(F.sum("n").cast("bigint").alias("n"))

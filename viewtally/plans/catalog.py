@@ -7,12 +7,14 @@ names and types match ``viewtally.plans.oracle``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewtally import config as C
+from viewtally import schemas as S
 from viewtally.functions import parse as P
 from viewtally.functions import time as tm
 from viewtally.operators import audience as A
@@ -20,9 +22,13 @@ from viewtally.operators import counters as K
 from viewtally.operators import ledger as L
 from viewtally.operators import trending as TR
 from viewtally.operators.ticks import TickGrid, every_minutes, hourly_at
+from viewtally.plans import ingest as I
 from viewtally.plans.sizing import share
+from viewtally.session import ensure_checkpoint_dir
 from viewtally.sinks import parquet as PS
+from viewtally.sources import json as SJ
 from viewtally.sources import messages as M
+from viewtally.streaming import metrics as SM
 
 PREFIX = "test"
 # A previous ingestion run stopped here (2024-01-15 00:00 UTC); one partition
@@ -36,6 +42,9 @@ PURGE_AT_MS = 1_706_572_800_000
 # A half-hour zone: hour buckets start at :30 UTC there.
 ALT_TZ = "Asia/Kolkata"
 CORRUPT_EVERY = 10
+APPROX_TOLERANCE = 0.05
+MINUTES_BACK = 5
+STORED_DAY = "2024_01_15"
 
 
 def _events(spark, sf_dir) -> DataFrame:
@@ -160,6 +169,26 @@ def approx_active_users(spark, sf_dir):
     return A.approx_users(_parsed(spark, sf_dir).where(F.col("metric") == "pageview"))
 
 
+def approx_users_accuracy(spark, sf_dir):
+    """AGG-10: whether each day's estimate is within ``APPROX_TOLERANCE`` of
+    the exact count, which stands beside it."""
+    views = _parsed(spark, sf_dir).where(F.col("metric") == "pageview").select("uid", "ts_ms")
+    exact = (views.groupBy(tm.ms_to_ntz(tm.floor_ms("ts_ms", C.DAY_MS)).alias("period"))
+             .agg(F.countDistinct("uid").alias("users")))
+    off = F.abs(F.col("approx_users") - F.col("users"))
+    return (exact.join(A.approx_users(views), "period", "left")
+            .select("period", "users",
+                    F.coalesce(off <= F.col("users") * APPROX_TOLERANCE, F.lit(False)).alias("close")))
+
+
+def minute_list(spark, sf_dir):
+    """PRJ-12: labels of the last ``MINUTES_BACK`` minutes at every tick."""
+    ticks = _grid(spark, sf_dir, hourly_at(30)).frame(spark)
+    return (ticks.select(tm.ms_to_ntz("tick_ms").alias("tick"),
+                         F.posexplode(tm.minute_list_before(F.col("tick_ms"), MINUTES_BACK)).alias("pos", "label"))
+            .withColumn("pos", F.col("pos").cast("bigint")))
+
+
 # -- ledger / ingestion -----------------------------------------------------
 
 def _offsets(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
@@ -232,6 +261,77 @@ def day_range_check(spark, sf_dir):
     return rows.groupBy("log_day").agg(F.count(F.lit(1)).alias("n"), F.sum(bad).alias("outside"))
 
 
+def _work_folder(spark, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _staged_messages(spark, sf_dir, folder: str) -> DataFrame:
+    path = f"{folder}/messages"
+    _messages(spark, sf_dir).select(*S.MESSAGE.fieldNames()).write.parquet(path)
+    return spark.read.schema(S.MESSAGE).parquet(path)
+
+
+class _NoCommit(I.ParquetLedger):
+    """A run that ends before its commit."""
+    def write(self, ledger: DataFrame) -> None:
+        pass
+
+
+def ingest_replay(spark, sf_dir):
+    """STR-9: a run saves what is there but ends before its commit; messages
+    go on arriving; the next run starts at the same offsets and reaches
+    further.  Rows and distinct ids stored per topic partition."""
+    folder = _work_folder(spark, "ingest")
+    msgs = _staged_messages(spark, sf_dir, folder)
+    save = I.parquet_sink(f"{folder}/stored")
+    early = msgs.where(tm.key_to_ms("key") < PREVIOUS_RUN_CUTOFF_MS)
+    I.run(spark, early, _NoCommit(spark, f"{folder}/ledger"), save, bootstrap=True)
+    I.run(spark, msgs, I.ParquetLedger(spark, f"{folder}/ledger"), save, bootstrap=True, dense=True)
+    return (spark.read.option("basePath", f"{folder}/stored").parquet(f"{folder}/stored")
+            .groupBy("topic", "partition")
+            .agg(F.count(F.lit(1)).alias("n"), F.countDistinct("msg_id").alias("n_ids")))
+
+
+def json_schema_columns(spark, sf_dir):
+    """SRC-7: the columns found in the payloads, and how many messages of each
+    topic carry them."""
+    msgs = _messages(spark, sf_dir, with_offsets=False)
+    schema = SJ.infer_schema(msgs)
+    fields = F.from_json("value", schema)
+    parsed = msgs.select("topic", F.explode(F.array(fields)).alias("j")).select("topic", "j.*")
+    names = [c for c in parsed.columns if c != "topic"]
+    counts = parsed.groupBy("topic").agg(*[F.count(c).alias(c) for c in names])
+    return counts.unpivot(["topic"], names, "column", "n").where(F.col("n") > 0)
+
+
+def parquet_round_trip(spark, sf_dir):
+    """SNK-1, SNK-5: typed rows of all days to the day-partitioned store, one
+    day read back (a directory filter)."""
+    path = f"{_work_folder(spark, 'logs')}/typed"
+    rows = P.typed_log_rows(_messages(spark, sf_dir))
+    PS.write_logs(rows.where(F.col("reject_reason").isNull()).drop("reject_reason", "key", "value"), path)
+    return (PS.read_logs(spark, path).where(F.col("log_day") == STORED_DAY)
+            .select("metric", "log_date", "viewer", "video", "order", "msg_id"))
+
+
+def stream_minute_counters(spark, sf_dir):
+    """STR-1, STR-7: the live minute counters over a folder that grows between
+    two runs from one checkpoint."""
+    folder = _work_folder(spark, "stream")
+    msgs = _messages(spark, sf_dir, with_offsets=False).select(*S.MESSAGE.fieldNames())
+    before = tm.key_to_ms("key") < PREVIOUS_RUN_CUTOFF_MS
+    for arrived in (before, ~before):
+        msgs.where(arrived).write.mode("append").parquet(f"{folder}/in")
+        live = SM.events_stream(spark.readStream.schema(S.MESSAGE).parquet(f"{folder}/in"))
+        query = SM.start_counters(live, f"{folder}/out", f"{folder}/checkpoint", {"availableNow": True})
+        try:
+            query.awaitTermination()
+        finally:
+            query.stop()
+    return SM.read_table(spark, f"{folder}/out", "counters").select(
+        "metric", tm.ms_to_ntz("bucket_ms").alias("bucket"), "n")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "views_per_minute": views_per_minute,
     "clicks_per_minute": clicks_per_minute,
@@ -251,6 +351,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "expire_by_score": expire_by_score,
     "video_views_per_hour_alt_zone": video_views_per_hour_alt_zone,
     "approx_active_users": approx_active_users,
+    "approx_users_accuracy": approx_users_accuracy,
+    "minute_list": minute_list,
     "offset_plan": offset_plan,
     "bounded_read": bounded_read,
     "ledger_bootstrap": ledger_bootstrap,
@@ -260,4 +362,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_reject_split": json_reject_split,
     "reject_reasons": reject_reasons,
     "day_range_check": day_range_check,
+    "ingest_replay": ingest_replay,
+    "json_schema_columns": json_schema_columns,
+    "parquet_round_trip": parquet_round_trip,
+    "stream_minute_counters": stream_minute_counters,
 }

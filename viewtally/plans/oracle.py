@@ -7,8 +7,8 @@ The label zone (UTC+7, no DST since 1975) is a fixed 7-hour shift here.
 
 from __future__ import annotations
 
-from viewtally.plans.catalog import (CORRUPT_EVERY, LEX_RANGE, PREVIOUS_RUN_CUTOFF_MS, PURGE_AT_MS,
-                                     TOP_K, UNLEDGERED)
+from viewtally.plans.catalog import (CORRUPT_EVERY, LEX_RANGE, MINUTES_BACK, PREVIOUS_RUN_CUTOFF_MS, PURGE_AT_MS,
+                                     STORED_DAY, TOP_K, UNLEDGERED)
 
 ALT_SHIFT_MS = 5 * 3_600_000 + 30 * 60_000   # the alternative zone, UTC+5:30 (no DST)
 
@@ -181,6 +181,13 @@ SELECT {_ts(f'((ts_ms + {ALT_SHIFT_MS}) // 3600000) * 3600000 - {ALT_SHIFT_MS}')
        video, count(*) AS n
 FROM ev WHERE metric = 'pageview'
 GROUP BY (ts_ms + {ALT_SHIFT_MS}) // 3600000, video""",
+    "approx_users_accuracy": f"""WITH {EV}
+SELECT {_ts('(ts_ms // 86400000) * 86400000')} AS period, count(DISTINCT uid) AS users, true AS close
+FROM ev WHERE metric = 'pageview' GROUP BY (ts_ms // 86400000) * 86400000""",
+    "minute_list": f"""WITH {BOUNDS}, {TICKS30}
+SELECT {_ts('t.tick_ms')} AS tick, CAST(r.i AS BIGINT) AS pos,
+       {_label(f't.tick_ms - ({MINUTES_BACK - 1} - r.i) * 60000', MIN)} AS label
+FROM ticks t CROSS JOIN range(0, {MINUTES_BACK}) r(i)""",
     "offset_plan": f"""WITH {MSGS}
 SELECT topic, part, from_off, until_off, in_ledger FROM plan""",
     "bounded_read": f"""WITH {MSGS}
@@ -212,4 +219,16 @@ FROM ev GROUP BY 1""",
     "day_range_check": f"""WITH {EV}
 SELECT strftime({_ts('ts_ms')}, '%Y_%m_%d') AS log_day, count(*) AS n, CAST(0 AS BIGINT) AS outside
 FROM ev GROUP BY 1""",
+    "ingest_replay": f"""WITH {MSGS}
+SELECT topic, partition, count(*) AS n, count(*) AS n_ids FROM msgs GROUP BY ALL""",
+    "json_schema_columns": f"""WITH {MSGS}, keyed AS (SELECT topic, unnest(json_keys(value)) AS "column" FROM msgs)
+SELECT topic, "column", count(*) AS n FROM keyed GROUP BY ALL""",
+    "parquet_round_trip": f"""WITH {MSGS}
+SELECT metric, {_ts('ts_ms')} AS log_date, json_extract_string(value, '$.viewer') AS viewer,
+       json_extract_string(value, '$.video') AS video, json_extract_string(value, '$.order') AS "order",
+       topic || '-' || CAST(partition AS VARCHAR) || '-' || CAST("offset" AS VARCHAR) AS msg_id
+FROM msgs WHERE strftime({_ts('ts_ms')}, '%Y_%m_%d') = '{STORED_DAY}'""",
+    "stream_minute_counters": f"""WITH {EV}
+SELECT metric, {_ts('(ts_ms // 60000) * 60000')} AS bucket, count(*) AS n
+FROM ev GROUP BY metric, (ts_ms // 60000) * 60000""",
 }

@@ -5,6 +5,10 @@ Stand-in for the key store: every batch writes the rows it changed under
 newest batch.  Overwriting a (day, batch) directory makes a replayed batch
 idempotent; the day level lets a reader of a bounded horizon open only the
 days it needs, so its work does not grow with the stream's history.
+
+Batch numbers order the rows, so a table belongs to one stream (``claim``).
+``compact`` merges the folders of finished batches: each row is rewritten once,
+and a day holds one folder per ``every`` batches and the newest ones.
 """
 
 from __future__ import annotations
@@ -16,15 +20,21 @@ from pyspark.sql import functions as F
 
 from viewtally.functions import time as tm
 
+#: rows of one file that ``compact`` writes
+COMPACT_ROWS = 5_000_000
+
 
 def _day(ms) -> F.Column:
     return F.date_format(tm.ms_to_ntz(ms), "yyyy-MM-dd")
 
 
-def write(df: DataFrame, root: str, batch_id: int, day_of: str | None = None) -> None:
+def write(df: DataFrame, root: str, batch_id: int, day_of: str | None = None,
+          files: int | None = None) -> None:
     """Write one batch; ``day_of`` names the epoch-ms column that picks the
-    day partition (all rows go to one ``day=all`` partition without it)."""
+    day partition (all rows go to one ``day=all`` partition without it).
+    ``files``: at most so many files a day, written by as many tasks."""
     day = _day(F.col(day_of)) if day_of else F.lit("all")
+    df = df.repartition(files) if files else df
     (df.withColumn("day", day).withColumn("batch_id", F.lit(batch_id))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("day", "batch_id").parquet(root))
@@ -40,11 +50,91 @@ def days_between(lo_ms: int, hi_ms: int) -> list[str]:
     return out
 
 
+def _fs(spark: SparkSession, path: str):
+    """Hadoop's FileSystem (local disk or cluster storage) and the path in it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def exists(spark: SparkSession, path: str) -> bool:
-    """Path existence through Hadoop's FileSystem (local disk or cluster storage)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def _make(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def claim(spark: SparkSession, root: str, owner: str) -> None:
+    """Mark the table as the stream's own.  Another stream (a new checkpoint
+    counts its batches from 0 again, so older rows would win) is refused."""
+    owners = _names(spark, f"{root}/_owner")
+    if not owners:
+        _make(spark, f"{root}/_owner/{owner}")
+        owners = _names(spark, f"{root}/_owner")
+    if owners != [owner]:
+        raise RuntimeError(f"{root} belongs to stream {owners}: keep its checkpoint or write to another folder")
+
+
+def _day_batches(spark: SparkSession, root: str) -> dict[str, list[int]]:
+    """Batch numbers of the folders of each day."""
+    return {day: sorted(int(n.split("=")[1]) for n in _names(spark, f"{root}/{day}") if n.startswith("batch_id="))
+            for day in _names(spark, root) if day.startswith("day=")}
+
+
+def compact(spark: SparkSession, root: str, keys: list[str], upto: int, every: int) -> None:
+    """Merge the folders of batches ``(upto - every, upto]`` of each day into
+    that of the newest.  ``upto`` must be committed: no replay writes its
+    folder again.
+
+    Merged rows are added to the newest folder, and the merged folders go one
+    compaction later, when no reader can still have them open.  Until then, and
+    if a crash repeats a merge, rows are there twice under numbers that read the same.
+    """
+    days = _day_batches(spark, root)
+    for mark in _names(spark, f"{root}/_merged"):
+        lo, hi = map(int, mark.split("-"))
+        if hi >= upto:
+            continue
+        for day, ids in days.items():
+            for i in [i for i in ids if lo <= i <= hi][:-1]:
+                _remove(spark, f"{root}/{day}/batch_id={i}")
+        _remove(spark, f"{root}/_merged/{mark}")
+    lo = upto - every + 1
+    for day, ids in days.items():
+        paths = [f"{root}/{day}/batch_id={i}" for i in ids if lo <= i <= upto]
+        if len(paths) < 2:
+            continue
+        # computed before the folder it reads grows
+        merged = newest(spark.read.option("basePath", root).parquet(*paths), keys).checkpoint()
+        merged.coalesce(1 + merged.count() // COMPACT_ROWS).write.mode("append").parquet(paths[-1])
+    _make(spark, f"{root}/_merged/{lo}-{upto}")
+
+
+def remember(spark: SparkSession, path: str, batch_id: int, value) -> int | None:
+    """``value(previous)`` of a batch, computed once: a replayed batch gets the
+    stored one.  ``previous`` is that of the batch before (None: there is none)."""
+    seen = {int(n.split(".")[0]): int(n.split(".")[1]) for n in _names(spark, path)}
+    if batch_id in seen:
+        return seen[batch_id]
+    earlier = [b for b in seen if b < batch_id]
+    got = value(seen[max(earlier)] if earlier else None)
+    if got is not None:
+        _make(spark, f"{path}/{batch_id}.{got}")
+        for b in sorted(earlier)[:-1]:      # the two newest are enough for a replay
+            _remove(spark, f"{path}/{b}.{seen[b]}")
+    return got
 
 
 def read(spark: SparkSession, root: str, days: list[str] | None = None) -> DataFrame | None:

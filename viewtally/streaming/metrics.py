@@ -11,8 +11,11 @@ restarted an expired bucket at 1 instead).
 At the end of every batch the trend (STR-3) and the active / ordering users
 (STR-5) are published for the batch's tick, reading only the snapshot days
 their horizon covers.  The tick is the wall clock at the batch end
-(``clock="processing"``, as the original job) or the newest event time seen
-(``clock="event"``, deterministic; used by tests and replays).
+(``clock="processing"``, as the original job) or the newest event time seen so
+far (``clock="event"``, deterministic; used by tests and replays).  It is
+stored per batch, so a replayed batch publishes the same tick again.  A stream
+without data has no batches: ``start_ticker`` publishes on a timer instead, so
+users expire and the trend moves on while nothing arrives.
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ from viewtally import config as C
 from viewtally.functions import parse as P
 from viewtally.functions import time as tm
 from viewtally.operators.trending import trend_at
+from viewtally.session import ensure_checkpoint_dir
 from viewtally.sinks import snapshot
 
 KEYS = {"counters": ["metric", "bucket_ms"], "topvideos_m": ["bucket_ms", "video"],
@@ -98,42 +102,58 @@ def users_at(seen: DataFrame, tick_ms: int, metric: str = "pageview",
             .groupBy("uid").agg(F.max("last_ms").alias("last_ms")))
 
 
-def _tick(batch: DataFrame, clock: str) -> int | None:
-    if clock == "processing":
-        return int(time.time() * 1000)
-    return batch.agg(F.max("last_ms")).first()[0]
+def _now(previous: int | None) -> int:
+    return int(time.time() * 1000)
+
+
+def _newest_event(batch: DataFrame):
+    """The newest event time of the batch, never before the previous tick."""
+    def tick(previous: int | None) -> int | None:
+        seen = [t for t in (batch.agg(F.max("last_ms")).first()[0], previous) if t is not None]
+        return max(seen) if seen else None
+    return tick
 
 
 @dataclass
 class Publisher:
-    """Per-batch publication of the derived tables at the batch's tick."""
+    """Publication of the derived tables at a tick."""
     out_root: str
     clock: str = "processing"
     mode: str = "exact"
     tz: str = C.LABEL_TZ
+    files: int = 1      # of a published table
 
     def _path(self, name: str) -> str:
         return f"{self.out_root.rstrip('/')}/{name}"
 
+    def tick(self, batch: DataFrame, batch_id: int, name: str) -> int | None:
+        value = _now if self.clock == "processing" else _newest_event(batch)
+        return snapshot.remember(batch.sparkSession, self._path(f"_ticks/{name}"), batch_id, value)
+
     def _publish(self, df: DataFrame, name: str, tick: int) -> None:
         # one directory per tick (read back as the ``tick_ms`` column), overwritten on replay
-        df.write.mode("overwrite").parquet(f"{self._path(name)}/tick_ms={tick}")
+        df.repartition(self.files).write.mode("overwrite").parquet(f"{self._path(name)}/tick_ms={tick}")
+
+    def _recent(self, spark: SparkSession, name: str, lo: int, tick: int, schema: str) -> DataFrame:
+        found = snapshot.latest(spark, self._path(name), KEYS[name], snapshot.days_between(lo, tick),
+                                where=(F.col("bucket_ms") >= lo) & (F.col("bucket_ms") <= tick))
+        return spark.createDataFrame([], schema) if found is None else found
 
     def trend(self, spark: SparkSession, tick: int) -> None:
         lo = tick - tick % C.MINUTE_MS - C.TREND_HOURS * C.HOUR_MS
-        days = snapshot.days_between(lo, tick)
-        tier = snapshot.latest(spark, self._path("topvideos_m"), KEYS["topvideos_m"], days,
-                               where=(F.col("bucket_ms") >= lo) & (F.col("bucket_ms") <= tick))
-        if tier is not None:
+        tier = self._recent(spark, "topvideos_m", lo, tick, "bucket_ms long, video string, n long, last_ms long")
+        if self.mode != "ttl":
+            self._publish(trend_at(tier, tick, tz=self.tz, mode=self.mode), C.TOP_VIDEOS_KEY, tick)
+            return
+        tier = tier.persist()       # bucket ages and counts from one scan
+        try:
             self._publish(trend_at(tier, tick, tz=self.tz, mode=self.mode), C.TOP_VIDEOS_KEY, tick)
+        finally:
+            tier.unpersist()
 
     def users(self, spark: SparkSession, tick: int) -> None:
         lo = tick - C.LAST_SEEN_HORIZON_MS - C.MINUTE_MS
-        days = snapshot.days_between(lo, tick)
-        seen = snapshot.latest(spark, self._path("last_seen"), KEYS["last_seen"], days,
-                               where=(F.col("bucket_ms") >= lo) & (F.col("bucket_ms") <= tick))
-        if seen is None:
-            return
+        seen = self._recent(spark, "last_seen", lo, tick, "metric string, uid string, bucket_ms long, last_ms long")
         seen = seen.persist()
         try:
             self._publish(users_at(seen, tick, "pageview"), C.ACTIVE_USERS_KEY, tick)
@@ -161,82 +181,134 @@ class MetricStreams:
             q.stop()
 
 
+#: files of a day in one batch's folder, and batches between two compactions
+TABLE_FILES = 4
+COMPACT_EVERY = 60
+
+
 def _start(df: DataFrame, name: str, out_root: str, ckpt_root: str, trigger: dict,
-           after=None) -> StreamingQuery:
+           after=None, files: int = TABLE_FILES, compact_every: int = COMPACT_EVERY) -> StreamingQuery:
     root = f"{out_root.rstrip('/')}/{name}"
 
     def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        snapshot.claim(spark, root, spark.sparkContext.getLocalProperty("sql.streaming.queryId"))
         batch = batch.persist()     # written, then read for the tick: one pass
         try:
-            snapshot.write(batch, root, batch_id, day_of="bucket_ms")
+            snapshot.write(batch, root, batch_id, day_of="bucket_ms", files=files)
             if after is not None:
-                after(batch)
+                after(batch, batch_id)
         finally:
             batch.unpersist()
+        if batch_id and batch_id % compact_every == 0:
+            snapshot.compact(spark, root, KEYS[name], batch_id - 1, compact_every)
 
+    ensure_checkpoint_dir(df.sparkSession)
     return (df.writeStream.queryName(name).outputMode("update")
             .option("checkpointLocation", f"{ckpt_root.rstrip('/')}/{name}")
             .trigger(**trigger).foreachBatch(sink).start())
 
 
-COMPACT_EVENT = "metric string, ts_ms bigint, video string, uid string"
+def start_counters(events: DataFrame, out_root: str, ckpt_root: str, trigger: dict, **kw) -> StreamingQuery:
+    """The minute counters alone (AGG-1..3)."""
+    return _start(minute_counters(events), "counters", out_root, ckpt_root, trigger, **kw)
+
+
+STAGED_EVENT = ("metric string, ts_ms bigint, video string, uid string, reject_reason string, topic string, "
+                "partition int, offset bigint, key string, value string, rejected boolean")
 
 
 def start_staging(msgs: DataFrame, stage_dir: str, ckpt_root: str,
-                  trigger: dict | None = None) -> StreamingQuery:
+                  trigger: dict | None = None, strict: bool = False) -> StreamingQuery:
     """Fan-out source: parse every message once and append the compact
-    events (``metric, ts_ms, video, uid``) as Parquet.  Stateless, and
-    exactly-once through the file sink's own log."""
-    ev = P.valid_events(msgs).select("metric", "ts_ms", "video", "uid")
-    return (ev.writeStream.queryName("stage_events").format("parquet")
-            .option("path", stage_dir)
-            .option("checkpointLocation", f"{ckpt_root.rstrip('/')}/stage_events")
-            .trigger(**(trigger or {"processingTime": "60 seconds"})).start())
+    events (``metric, ts_ms, video, uid``) as Parquet.  Rejected messages go to
+    a partition of their own with reason, coordinates, key and raw value
+    (``staged_rejects``).  Stateless, and exactly-once through the file sink's
+    own log."""
+    ev = P.parse_messages(msgs, strict, raw=True).withColumn("rejected", F.col("reject_reason").isNotNull())
+    names = [c.split()[0] for c in STAGED_EVENT.split(", ")]
+    query = (ev.select(*names).writeStream.queryName("stage_events").format("parquet")
+             .option("path", stage_dir).partitionBy("rejected")
+             .option("checkpointLocation", f"{ckpt_root.rstrip('/')}/stage_events")
+             .trigger(**(trigger or {"processingTime": "60 seconds"})).start())
+    try:    # the sink's log would skip the batches of another stream
+        snapshot.claim(msgs.sparkSession, stage_dir.rstrip("/"), str(query.id))
+    except Exception:
+        query.stop()
+        raise
+    return query
 
 
 def staged_events(spark: SparkSession, stage_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """The staged compact events as a stream, with the event-time instant."""
-    r = spark.readStream.schema(COMPACT_EVENT)
+    r = spark.readStream.schema(STAGED_EVENT)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(stage_dir).withColumn("ts", tm.ms_to_instant("ts_ms"))
+    return (r.parquet(stage_dir).where(~F.col("rejected")).select("metric", "ts_ms", "video", "uid")
+            .withColumn("ts", tm.ms_to_instant("ts_ms")))
+
+
+def staged_rejects(spark: SparkSession, stage_dir: str) -> DataFrame:
+    """Messages that count in no metric: reason, coordinates, key, raw value."""
+    return (spark.read.schema(STAGED_EVENT).parquet(stage_dir).where("rejected")
+            .select(F.col("reject_reason").alias("reason"), "topic", "partition", "offset", "key", "value"))
 
 
 def start(msgs: DataFrame | None, out_root: str, ckpt_root: str, trigger: dict | None = None,
           clock: str = "processing", trend_mode: str = "exact",
-          events: DataFrame | None = None) -> MetricStreams:
+          events: DataFrame | None = None, tz: str = C.LABEL_TZ, publish: bool = True,
+          files: int = TABLE_FILES, compact_every: int = COMPACT_EVERY, strict: bool = False) -> MetricStreams:
     """Start the four metric queries over one message stream.
 
     ``trigger`` defaults to ``{"processingTime": "60 seconds"}``; tests pass
     ``{"availableNow": True}``.  The checkpoint root must be on shared storage
     on a cluster.  Each query reads its input on its own; pass ``events``
     (``staged_events`` behind ``start_staging``) instead of ``msgs`` so the
-    JSON is parsed once for all four instead of once per query.
+    JSON is parsed once for all four instead of once per query.  ``publish=False``
+    leaves publication to ``start_ticker``.
     """
     trigger = trigger or {"processingTime": "60 seconds"}
-    ev = events if events is not None else events_stream(msgs)
-    pub = Publisher(out_root, clock, trend_mode)
+    ev = events if events is not None else events_stream(msgs, strict)
+    pub = Publisher(out_root, clock, trend_mode, tz)
 
-    def after_minutes(batch: DataFrame) -> None:
-        tick = _tick(batch, clock)
+    def after_minutes(batch: DataFrame, batch_id: int) -> None:
+        tick = pub.tick(batch, batch_id, "topvideos_m")
         if tick is not None:
             pub.trend(batch.sparkSession, tick)
 
-    def after_seen(batch: DataFrame) -> None:
-        tick = _tick(batch, clock)
+    def after_seen(batch: DataFrame, batch_id: int) -> None:
+        tick = pub.tick(batch, batch_id, "last_seen")
         if tick is not None:
             pub.users(batch.sparkSession, tick)
 
+    def query(df: DataFrame, name: str, after=None) -> StreamingQuery:
+        return _start(df, name, out_root, ckpt_root, trigger, after if publish else None, files, compact_every)
+
     return MetricStreams(
-        counters=_start(minute_counters(ev), "counters", out_root, ckpt_root, trigger),
-        video_minute=_start(video_tier(ev, "minute"), "topvideos_m", out_root, ckpt_root,
-                            trigger, after_minutes),
-        video_hour=_start(video_tier(ev, "hour"), "topvideos_h", out_root, ckpt_root, trigger),
-        last_seen=_start(last_seen_minutes(ev), "last_seen", out_root, ckpt_root, trigger,
-                         after_seen),
+        counters=query(minute_counters(ev), "counters"),
+        video_minute=query(video_tier(ev, "minute"), "topvideos_m", after_minutes),
+        video_hour=query(video_tier(ev, "hour", tz), "topvideos_h"),
+        last_seen=query(last_seen_minutes(ev), "last_seen", after_seen),
     )
 
 
+def start_ticker(spark: SparkSession, out_root: str, ckpt_root: str, seconds: int = 60,
+                 trend_mode: str = "exact", tz: str = C.LABEL_TZ) -> StreamingQuery:
+    """Publish trend and users by the wall clock every ``seconds``, whether or
+    not messages arrive (STR-3, STR-5); reads the snapshot tables only."""
+    pub = Publisher(out_root, "processing", trend_mode, tz)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        tick = pub.tick(batch, batch_id, "ticker")
+        pub.trend(batch.sparkSession, tick)
+        pub.users(batch.sparkSession, tick)
+
+    beat = spark.readStream.format("rate").option("rowsPerSecond", 1).option("numPartitions", 1).load()
+    return (beat.writeStream.queryName("ticker")
+            .option("checkpointLocation", f"{ckpt_root.rstrip('/')}/ticker")
+            .trigger(processingTime=f"{seconds} seconds").foreachBatch(sink).start())
+
+
 def read_table(spark: SparkSession, out_root: str, name: str) -> DataFrame:
     """Current content of a snapshot table written by ``start``."""
     return snapshot.latest(spark, f"{out_root.rstrip('/')}/{name}", KEYS[name])

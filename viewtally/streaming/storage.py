@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from viewtally.functions import parse as P
 from viewtally.sinks import jdbc as JS
 from viewtally.sinks import parquet as PS
+from viewtally.sources.json import EMPTY_SCHEMA, infer_schema, json_object
 
 BATCH_ROWS = "batch_rows"
 
@@ -44,6 +45,46 @@ def _split(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
+def start_typed_parquet(msgs: DataFrame, root: str, ckpt: str, trigger: dict | None = None,
+                        files: int | None = None, rejects: str | None = None, strict: bool = False,
+                        discovered: str | None = None) -> StreamingQuery:
+    """SNK-1 with the JSON fields as columns.  Known topics have one fixed
+    schema, so every batch's files agree.  Messages of other topics get the
+    schema found in their batch (SRC-7) and go to ``discovered`` (default
+    ``<root>_discovered``); read that with ``mergeSchema``."""
+    rejects = rejects or f"{root.rstrip('/')}_rejects"
+    discovered = discovered or f"{root.rstrip('/')}_discovered"
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        at = f"run={_run_of(batch)}/batch_id={batch_id}"
+        batch = batch.persist()
+        try:
+            reason = F.col("reject_reason")
+            good = batch.where(reason.isNull()).drop("reject_reason", "key", "value")
+            PS.write_logs(good, f"{root.rstrip('/')}/{at}", files, mode="overwrite")
+            # without a schema of its own, but with a metric, a date and valid JSON
+            other = (reason == "unknown metric") & (F.col("metric") != "") & json_object("value")
+            unknown = batch.where(other)
+            schema = infer_schema(unknown)
+            if schema != EMPTY_SCHEMA:
+                rows = unknown.select("metric", "log_date", "msg_id", "topic", "partition", "offset",
+                                      F.from_json("value", schema).alias("payload"))
+                PS.write_logs(rows, f"{discovered.rstrip('/')}/{at}", files, mode="overwrite")
+            bad = batch.where(reason.isNotNull() & ~other).select(
+                reason.alias("reason"), "topic", "partition", "offset", "key", "value")
+            PS.write_rejects(bad, f"{rejects}/{at}", "overwrite")
+        finally:
+            batch.unpersist()
+
+    # strict raises on unknown topics too, as there is no fixed schema for them
+    rows = P.typed_log_rows(msgs, strict).observe(
+        BATCH_ROWS, F.count(F.lit(1)).alias("rows"), F.count("reject_reason").alias("rejected"))
+    return (rows.writeStream.queryName("log_typed_parquet")
+            .option("checkpointLocation", ckpt)
+            .trigger(**(trigger or {"processingTime": "60 minutes"}))
+            .foreachBatch(sink).start())
+
+
 def start_parquet(msgs: DataFrame, root: str, ckpt: str, trigger: dict | None = None,
                   files: int | None = None, rejects: str | None = None, strict: bool = False) -> StreamingQuery:
     """Good rows under ``root``, rejected ones under ``rejects`` (default ``<root>_rejects``)."""
