@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from viewtally.llm import ann_hilbert, langid, queries, toxicity
+from viewtally.llm.common import bounded_sample
 
 SF = "/root/testdata/sf0.01"
 
@@ -39,6 +40,20 @@ def test_language_odd_rows(spark):
     assert langid.predict_languages(df.limit(0), model).count() == 0
 
 
+@pytest.mark.parametrize("most, cell_bits", [(1, 16), (7, 16), (40, 3), (40, 1), (10000, 16)])
+def test_bounded_sample_is_the_least_hashes(spark, most, cell_bits):
+    rows = spark.range(900).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 > 0, "big")
+                                   .when(F.col("id") % 2 > 0, "mid").alias("lang"), F.lit("x").alias("_n"))
+    got = bounded_sample(rows, "lang", "doc_id", most, cell_bits)
+    assert got.columns == rows.columns
+    hashed = rows.withColumn("h", F.xxhash64("doc_id")).collect()
+    want = {r.doc_id for g in ("big", "mid", None)
+            for r in sorted((r for r in hashed if r.lang == g), key=lambda r: r.h)[:most]}
+    found = [r.doc_id for r in got.collect()]
+    assert len(found) == len(want) and set(found) == want
+    assert bounded_sample(rows.limit(0), "lang", "doc_id", most, cell_bits).count() == 0
+
+
 def test_backoff_goes_to_shorter_grams():
     rows = np.array([[2.0, -2.0], [1.0, -1.0], [-3.0, 3.0], [0.0, 0.0]])
     m = langid.Model(["a", "b"], {"known": 0}, {4: {"<unk": 1}, 1: {"z": 2}}, rows)

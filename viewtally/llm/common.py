@@ -99,6 +99,27 @@ def positions(df: DataFrame, group: list[str], coarse: str, fine: str, ties: lis
             .drop("_blk", "_rn", "_start"))
 
 
+def bounded_sample(rows: DataFrame, group: str, key: str, most: int, cell_bits: int = 16) -> DataFrame:
+    """The ``most`` rows of each group with the least hash of ``key`` (a
+    repeatable random sample), columns unchanged.
+
+    No group goes to one task: rows are counted in cells of the hash's first
+    ``cell_bits`` bits, only cells that start below ``most`` are read again, and
+    only they are sorted, about ``most`` rows and one cell (a 65,536th of
+    the group) for each group.  ``rows`` is read twice; pass narrow rows.
+    """
+    cell = F.shiftright(F.xxhash64(key), 64 - cell_bits).cast("int")
+    sizes = rows.groupBy(F.col(group).alias("_g"), cell.alias("_c")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_g").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+    # a cell holds a row or more: at most ``most`` cells of a group are kept
+    kept = (sizes.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+            .filter(F.col("_start") < most).select("_g", "_c"))
+    near = rows.withColumn("_cell", cell).join(
+        F.broadcast(kept), F.col(group).eqNullSafe(F.col("_g")) & (F.col("_cell") == F.col("_c")), "left_semi")
+    pick = Window.partitionBy(group).orderBy(F.xxhash64(key), key)
+    return near.withColumn("_k", F.row_number().over(pick)).filter(F.col("_k") <= most).select(*rows.columns)
+
+
 def _signature(edges: DataFrame) -> tuple[int, int]:
     r = edges.agg(F.count(F.lit(1)).alias("n"),
                   F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 31))).alias("s")).first()

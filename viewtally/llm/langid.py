@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from viewtally.llm.common import stage, text_batches
+from viewtally.llm.common import bounded_sample, stage, text_batches
 
 SAMPLE = 1000       # labelled rows per language that the model is fitted on
 WORDS = 20000       # known words per language
@@ -118,13 +118,13 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams: in
     """Fit on ``labelled`` (doc_id, text, lang): rows with null lang or no
     letter teach nothing; languages tie by name."""
     rows = labelled.filter("lang is not null and text is not null").select("doc_id", "text", "lang")
-    known = [r["lang"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # ids and languages written once: choosing the sample reads no text again
+    ids = stage(rows.select("doc_id", "lang"), "labelled")
+    known = [r["lang"] for r in ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
              .orderBy(F.col("n").desc(), "lang").limit(LANGUAGES).collect()]
     if not known:
         return Model([], {}, {}, np.zeros((1, 0)))
-    pick = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (rows.select("doc_id", "lang").filter(F.col("lang").isin(known))
-              .withColumn("k", F.row_number().over(pick)).filter(F.col("k") <= sample).drop("k").distinct())
+    chosen = bounded_sample(ids.filter(F.col("lang").isin(known)), "lang", "doc_id", sample).distinct()
     # at most sample * LANGUAGES ids of two short columns
     docs = rows.join(F.broadcast(chosen), ["doc_id", "lang"])
     found = F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), F.lit(1)))

@@ -23,10 +23,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewtally.llm.common import stage, text_batches
+from viewtally.llm.common import bounded_sample, stage, text_batches
 
 SAMPLE = 10000      # labelled rows of each class that the model is fitted on
 TERMS = 50000       # tokens the model keeps, clearest first
@@ -179,8 +179,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE)
     A document with two labels counts once for each.  Without both classes
     every text gets the same low score."""
     rows = labels.filter(learn & F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").cast("int")).distinct()
-    pick = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rows.withColumn("k", F.row_number().over(pick)).filter(F.col("k") <= sample).drop("k")
+    chosen = bounded_sample(rows, "toxic", "doc_id", sample)
     # at most 2 * sample ids
     drawn = stage(docs.select("doc_id", F.col("text").cast("string").alias("text")).filter("text is not null")
                   .join(F.broadcast(chosen), "doc_id"), "sample")
