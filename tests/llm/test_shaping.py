@@ -156,6 +156,28 @@ def test_url_filter(spark):
     assert url_filter.url_verdicts(df.limit(0)).count() == 0
 
 
+def test_url_vocabulary_finds_spam_hosts(spark):
+    """Recall and false hits of the vocabulary alone, by the label of the host."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    spam = ("casino-win", "free-bets", "cheap-pills", "adult-x", "ads-track", "spam-farm")
+    label = F.regexp_extract("host", r"([^.]+)\.example\.", 1)
+    got = {r.label: r for r in url_filter.url_verdicts(pages, rules=()).groupBy(label.alias("label")).agg(
+        F.count("*").alias("n"), F.sum((F.col("verdict") == "block").cast("int")).alias("blocked")).collect()}
+    assert all(got[x].n == got[x].blocked for x in spam)
+    assert sum(got[x].n for x in spam) == 136 and not any(r.blocked for x, r in got.items() if x not in spam)
+
+
+def test_url_vocabulary_forms():
+    words = url_filter.Vocabulary(url_filter.STRICT, url_filter.SOFT, url_filter.SOFT_LIMIT)
+    block = ("payday-loans", "BETTING-bonuses", "cheap.pills", "adult_videos", "ads.tracker", "linkfarm", "casinos/jackpots")
+    allow = ("loan/loans", "win/winners", "adult-education", "free-ads", "music/free/track", "spam-free", "free-range-farm",
+             "alphabets", "casinos")
+    assert [u for u in block if not words.blocks(words.hits(f"http://{u}.org/"))] == []
+    assert [u for u in allow if words.blocks(words.hits(f"http://{u}.org/"))] == []
+    forms = [f for t in url_filter.STRICT + url_filter.SOFT for f in t.split()]
+    assert len(forms) == len(set(forms))
+
+
 def test_pipeline(spark):
     import corpus_pipeline as cp
     docs = spark.read.parquet(f"{SF}/documents.parquet")

@@ -2,21 +2,44 @@
 
 One automaton holds all strict and soft terms; one pass over a url finds every
 occurrence.  An occurrence counts if no letter or digit touches it, so ``bet``
-is not found in ``alphabet``.  A url is blocked on one strict term or on
-``soft_limit`` distinct soft ones.  Rules overrule the vocabulary.
+is not found in ``alphabet``; a term lists its inflected forms, which count as
+one.  A url is blocked on one strict term or on ``soft_limit`` distinct soft
+ones.  Rules overrule the vocabulary.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-STRICT = ("casino", "porn", "xxx", "viagra", "cialis", "escort", "warez", "malware")
-SOFT = ("adult", "bet", "bonus", "cheap", "crack", "dating", "free", "jackpot", "loan", "lottery",
-        "nude", "pill", "poker", "sex", "slots", "torrent", "win")
+def compounds(first: str, second: str) -> str:
+    """Every word of ``first`` with every word of ``second`` as one term: run
+    together, or with ``-``, ``_`` or ``.`` between."""
+    return " ".join(f"{a}{mark}{b}" for a in first.split() for b in second.split() for mark in ("", "-", "_", "."))
+
+
+#: A term is its forms with blanks between; forms of one term count once.
+#: General terms, no host names.  ``adult``, ``ads``, ``track`` and ``spam``
+#: alone are harmless (adult-education, free-ads, spam-free), so they are
+#: strict only beside a word that makes the trade plain.
+STRICT = ("casino", "porn porno pornos", "xxx", "viagra", "cialis", "levitra", "kamagra", "escort escorts",
+          "warez", "malware", "hentai", "milf milfs", "camgirl camgirls", "x-rated xrated", "keygen keygens",
+          compounds("adult adults", "x xx only cam cams chat content dating film films movie movies personals pics "
+                                    "shop site sites tube video videos"),
+          compounds("ad ads", "click clicks network networks server servers serving track tracker trackers tracking"),
+          compounds("spam", "blog blogs bot bots domain domains farm farms host hosts link links network networks "
+                            "page pages site sites"),
+          compounds("content link links", "farm farms"), "splog splogs")
+#: ``casinos`` alone passes, ``casino`` does not
+SOFT = ("adult adults", "bet bets betting bettor bettors", "blackjack", "bonus bonuses", "casinos", "cheap cheaper cheapest",
+        "crack cracks cracked", "dating", "free", "gamble gambler gamblers gambling", "hookup hookups",
+        "jackpot jackpots", "loan loans", "lottery lotteries lotto", "nude nudes", "payday", "pill pills", "poker",
+        "popunder popunders", "replica replicas", "roulette", "sex sexy", "slots", "spammer spammers",
+        "torrent torrents", "win wins winner winners winning")
 SOFT_LIMIT = 2
 #: (verdict, host, path)
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
@@ -67,7 +90,8 @@ class Vocabulary:
         self.strict = frozenset(t.translate(_LOWER) for t in strict)
         for weight, terms in ((1, soft), (soft_limit, self.strict)):
             for t in terms:
-                self.found.add_word(t.translate(_LOWER), (t.translate(_LOWER), weight))
+                for form in (t := t.translate(_LOWER)).split():
+                    self.found.add_word(form, (t, weight, len(form)))
         if len(self.found):
             self.found.make_automaton()
 
@@ -76,8 +100,8 @@ class Vocabulary:
         if not len(self.found):
             return {}
         url, out = url.translate(_LOWER), {}
-        for end, (term, weight) in self.found.iter(url):
-            start = end - len(term)
+        for end, (term, weight, length) in self.found.iter(url):
+            start = end - length
             if (start < 0 or url[start] not in _ALNUM) and (end + 1 == len(url) or url[end + 1] not in _ALNUM):
                 out[term] = weight
         return out
@@ -122,7 +146,8 @@ def url_verdicts(pages: DataFrame, rules=RULES, strict=STRICT, soft=SOFT,
 def oracle(rules=RULES, strict=STRICT, soft=SOFT, soft_limit: int = SOFT_LIMIT) -> str:
     """The same verdicts as DuckDB SQL."""
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    has = lambda t: f"regexp_matches(u, '(^|[^a-z0-9]){t}([^a-z0-9]|$)')::INT"
+    forms = lambda t: "|".join(map(re.escape, t.translate(_LOWER).split()))
+    has = lambda t: f"regexp_matches(u, '(^|[^a-z0-9])({forms(t)})([^a-z0-9]|$)')::INT"
     rule_rows = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in rules)
     return f"""
 WITH cut AS (
