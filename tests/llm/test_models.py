@@ -3,6 +3,7 @@
 import itertools
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -40,6 +41,40 @@ def test_language_odd_rows(spark):
     assert langid.predict_languages(df.limit(0), model).count() == 0
 
 
+def test_every_language_is_learnt(spark):
+    """More languages than 200; the rarest by rows is as good as any."""
+    rng = np.random.default_rng(5)
+    say = {f"l{i:03}": ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(5)] for i in range(230)}
+    rows = [(x, w) for x, w in say.items() for _ in range(3 if x < "l200" else 2)]
+    learn = spark.createDataFrame([(i, " ".join(w), x) for i, (x, w) in enumerate(rows)], "doc_id long, text string, lang string")
+    model = langid.fit(learn)
+    assert model.langs == sorted(say)
+    assert len(model.rows.lang) < len(model.rows) * 20  # not token x language
+    held = spark.createDataFrame([(i, " ".join(w[:3]), x) for i, (x, w) in enumerate(say.items())], learn.schema)
+    got = {r.doc_id: r.lang_pred for r in langid.predict_languages(held, model).collect()}
+    assert [got[i] for i in range(len(say))] == list(say)
+
+
+def test_sparse_scores_are_the_dense_ones(monkeypatch):
+    rng = np.random.default_rng(6)
+    counts = rng.integers(0, 3, (40, 7)) * rng.integers(1, 9, (40, 7))
+    counts[:, 0] += 1
+    langs, (t, x) = list("abcdefg"), np.nonzero(counts)
+    place, got = langid._scores(pa.table({"w": [f"w{i}" for i in t], "lang": [langs[i] for i in x], "n": counts[t, x]}), langs, "w")
+    assert place == {f"w{i}": i for i in range(40)}
+    want = np.log(counts + 0.5) - np.log(counts.sum(axis=0) + 20)
+    joined = langid._joined([got, got], 7)
+    sizes = np.array([1, 3, 40, 9])
+    ids = rng.integers(0, 80, sizes.sum())
+    ids[1:4], ids[4:44], ids[44:] = ids[1:4] % 40, ids[4:44] % 40 + 40, ids[44:] % 40
+    for cells in (langid.CELLS, 56 * 3):
+        monkeypatch.setattr(langid, "CELLS", cells)
+        for s, (a, b) in zip(joined.means(ids, sizes), ((0, 1), (1, 4), (4, 44), (44, 53))):
+            w = want[ids[a:b] % 40].mean(axis=0)
+            assert np.allclose(s - s.mean(), w - w.mean())
+    assert not joined.means(np.array([80]), np.array([1])).any()
+
+
 @pytest.mark.parametrize("most, cell_bits", [(1, 16), (7, 16), (40, 3), (40, 1), (10000, 16)])
 def test_bounded_sample_is_the_least_hashes(spark, most, cell_bits):
     rows = spark.range(900).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 > 0, "big")

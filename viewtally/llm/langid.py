@@ -3,11 +3,12 @@
 A word is a run of letters, lower-cased.  A known word is scored by its log
 frequency in each language; an unseen one by its character n-grams, longest
 order first: the first order of which any n-gram is known gives the score.
-Word scores are centred over the languages and summed over the whole text.
+Word scores are summed over the whole text.
 
-The model is fitted on a bounded sample of the labelled rows (``SAMPLE`` rows
-per language, by hash of the id), counted in Spark; the tables keep at most
-``WORDS`` words and ``GRAMS`` n-grams per order and language.
+The model knows every language that labels a row.  It is fitted on a bounded
+sample of the labelled rows (``SAMPLE`` rows per language, by hash of the id),
+counted in Spark; the tables keep at most ``WORDS`` words and ``GRAMS`` n-grams
+per order and language, and of a token only the languages that use it.
 """
 
 from __future__ import annotations
@@ -19,38 +20,78 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from viewtally.llm.common import bounded_sample, stage, text_batches
+from viewtally.llm.common import bounded_sample, ranges, stage, text_batches
 
 SAMPLE = 1000       # labelled rows per language that the model is fitted on
 WORDS = 20000       # known words per language
 GRAMS = 20000       # known n-grams per order and language
-LANGUAGES = 200     # languages, the most frequent
 ORDERS = (4, 3, 2, 1)
 NONE = "und"
 MIN_SCORE = 0.3     # below it the pipeline rejects a document
 CACHE = 300_000     # words a task remembers
+CELLS = 8_000_000   # at most: words a task remembers x languages
+BROADCAST_IDS = 5_000_000  # sampled ids; more meet their texts in a shuffle
 
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
+@dataclass
+class Scores:
+    """Sparse rows of log frequencies: a row is ``base`` of its table, and more
+    for the languages that use the token."""
+    base: np.ndarray    # table x language: an unused token
+    table: np.ndarray   # row -> table
+    start: np.ndarray   # row -> its first entry; then the number of entries
+    lang: np.ndarray    # entry -> language
+    more: np.ndarray    # entry -> what use adds
+
+    @classmethod
+    def of(cls, rows: np.ndarray) -> Scores:
+        n, m = rows.shape
+        return cls(np.zeros((1, m)), np.zeros(n, np.int32), np.arange(n + 1) * m, np.tile(np.arange(m), n), rows.ravel())
+
+    def __len__(self) -> int:
+        return len(self.table)
+
+    def means(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The mean of each run of ``sizes`` rows, of one table each."""
+        m = self.base.shape[1]
+        out, run = np.zeros((len(sizes), m)), np.repeat(np.arange(len(sizes)), sizes)
+        step = max(1, CELLS // (8 * m))  # bounds the entries held at a time
+        for k in range(0, len(ids), step):
+            some, owner = ids[k:k + step], run[k:k + step]
+            n = self.start[some + 1] - self.start[some]
+            at, first, rows = ranges(self.start[some], n), owner[0], owner[-1] - owner[0] + 1
+            cell = np.repeat((owner - first) * m, n) + self.lang[at]
+            out[first:first + rows] += np.bincount(cell, self.more[at], rows * m).reshape(rows, m)
+        return out / sizes[:, None] + self.base[self.table[ids[np.cumsum(sizes) - sizes]]]
+
+
 @dataclass
 class Model:
     langs: list[str]
     words: dict[str, int]               # known word -> row of ``rows``
     grams: dict[int, dict[str, int]]    # order -> n-gram -> row
-    rows: np.ndarray                    # centred log frequencies per language; the last row is zero
+    rows: Scores                        # log frequencies per language; the last row is zero
+
+    def __post_init__(self):
+        if isinstance(self.rows, np.ndarray):
+            self.rows = Scores.of(self.rows)
 
 
 class Reader:
-    """Predicts with a model; remembers the scores of up to ``CACHE`` words."""
+    """Predicts with a model; remembers the scores of up to ``CACHE`` words, of
+    fewer if the languages are many."""
 
     def __init__(self, model: Model):
         self.m, self.at = model, {}
-        self.scores = np.zeros((CACHE, len(model.langs)))
+        self.most = min(CACHE, max(1, CELLS // max(1, len(model.langs))))
+        self.scores = np.zeros((self.most, len(model.langs)))
 
     def _rows(self, w: str) -> list[int]:
         """Rows whose mean is the word's score."""
@@ -66,7 +107,7 @@ class Reader:
 
     def _sum(self, words: list[str], n: np.ndarray) -> np.ndarray:
         new = [w for w in words if w not in self.at]
-        if len(self.at) + len(new) > CACHE:
+        if len(self.at) + len(new) > self.most:
             self.at.clear()
             new = words
         if new:
@@ -76,9 +117,7 @@ class Reader:
                 ids += r
                 sizes.append(len(r))
                 self.at[w] = i
-            size = np.array(sizes)
-            starts = np.cumsum(size) - size
-            self.scores[first:first + len(new)] = np.add.reduceat(self.m.rows[ids], starts, axis=0) / size[:, None]
+            self.scores[first:first + len(new)] = self.m.rows.means(np.array(ids), np.array(sizes))
         at = self.at
         return n @ self.scores[[at[w] for w in words]]
 
@@ -89,29 +128,42 @@ class Reader:
             return NONE, 0.0
         words = list(counts)
         n = np.fromiter(counts.values(), np.float64, len(words))
-        total = sum(self._sum(words[k:k + CACHE], n[k:k + CACHE]) for k in range(0, len(words), CACHE))
+        total = sum(self._sum(words[k:k + self.most], n[k:k + self.most])
+                    for k in range(0, len(words), self.most))
         best = int(total.argmax())
         return self.m.langs[best], float(1 / np.exp(np.minimum(total - total[best], 0)).sum())
 
 
-def _table(counts: DataFrame, token: str, keep: int):
+def _table(counts: DataFrame, token: str, keep: int) -> pa.Table:
     """The ``keep`` most frequent tokens of each language (and order)."""
     groups = [c for c in counts.columns if c not in (token, "n")]
     top = Window.partitionBy(*groups).orderBy(F.col("n").desc(), token)
-    return (counts.withColumn("k", F.row_number().over(top)).filter(F.col("k") <= keep).drop("k")).collect()
+    return (counts.withColumn("k", F.row_number().over(top)).filter(F.col("k") <= keep).drop("k")).toArrow()
 
 
-def _scores(rows, langs: list[str], token: str) -> tuple[dict[str, int], np.ndarray]:
-    """Tokens by row, and their centred log frequencies, add-half smoothed."""
+def _scores(rows: pa.Table, langs: list[str], token: str) -> tuple[dict[str, int], Scores]:
+    """Tokens by row, and their log frequencies, add-half smoothed."""
     at = {x: i for i, x in enumerate(langs)}
-    place: dict[str, int] = {}
-    for r in rows:
-        place.setdefault(r[token], len(place))
-    counts = np.zeros((len(place), len(langs)))
-    for r in rows:
-        counts[place[r[token]], at[r["lang"]]] = r["n"]
-    s = np.log(counts + 0.5) - np.log(counts.sum(axis=0) + 0.5 * max(len(place), 1))
-    return place, s - s.mean(axis=1, keepdims=True)
+    tokens, names = (rows[c].combine_chunks().dictionary_encode() for c in (token, "lang"))
+    place = {t: i for i, t in enumerate(tokens.dictionary.to_pylist())}
+    row = tokens.indices.to_numpy(zero_copy_only=False)
+    lang = np.array([at[x] for x in names.dictionary.to_pylist()], np.int32)[names.indices.to_numpy(zero_copy_only=False)]
+    n = rows["n"].to_numpy().astype(np.float64)
+    base = np.log(0.5) - np.log(np.bincount(lang, n, len(langs)) + 0.5 * max(len(place), 1))
+    order = np.lexsort((lang, row))
+    start = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(place)))]).astype(np.int64)
+    return place, Scores((base - base.mean())[None], np.zeros(len(place), np.int32), start, lang[order],
+                         np.log(n[order] + 0.5) - np.log(0.5))
+
+
+def _joined(parts: list[Scores], langs: int) -> Scores:
+    """The rows of all tables, and a last row of zero."""
+    parts = [*parts, Scores.of(np.zeros((1, langs)))]
+    first = np.cumsum([0] + [len(p.lang) for p in parts])
+    return Scores(np.concatenate([p.base for p in parts]),
+                  np.concatenate([np.full(len(p), i, np.int32) for i, p in enumerate(parts)]),
+                  np.concatenate([*(p.start[:-1] + f for p, f in zip(parts, first)), first[-1:]]),
+                  np.concatenate([p.lang for p in parts]), np.concatenate([p.more for p in parts]))
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams: int = GRAMS) -> Model:
@@ -120,13 +172,12 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams: in
     rows = labelled.filter("lang is not null and text is not null").select("doc_id", "text", "lang")
     # ids and languages written once: choosing the sample reads no text again
     ids = stage(rows.select("doc_id", "lang"), "labelled")
-    known = [r["lang"] for r in ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-             .orderBy(F.col("n").desc(), "lang").limit(LANGUAGES).collect()]
-    if not known:
+    langs = sorted(r["lang"] for r in ids.select("lang").distinct().collect())
+    if not langs:
         return Model([], {}, {}, np.zeros((1, 0)))
-    chosen = bounded_sample(ids.filter(F.col("lang").isin(known)), "lang", "doc_id", sample).distinct()
-    # at most sample * LANGUAGES ids of two short columns
-    docs = rows.join(F.broadcast(chosen), ["doc_id", "lang"])
+    chosen = bounded_sample(ids, "lang", "doc_id", sample).distinct()
+    # at most so many ids of two short columns
+    docs = rows.join(F.broadcast(chosen) if sample * len(langs) <= BROADCAST_IDS else chosen, ["doc_id", "lang"])
     found = F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), F.lit(1)))
     counted = stage(docs.select("lang", found.alias("w")).groupBy("lang", "w").agg(F.count(F.lit(1)).alias("n")),
                     "words")
@@ -137,19 +188,15 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams: in
                               for n in ORDERS]))
     pieces = (counted.select("lang", "n", F.explode(cut).alias("c")).select("lang", "n", "c.o", "c.g")
               .filter("length(g) = o").groupBy("lang", "o", "g").agg(F.sum("n").alias("n")))
-    langs = sorted(known)
-    by_order: dict[int, list] = {}
-    for r in _table(pieces, "g", grams):
-        by_order.setdefault(r["o"], []).append(r)
     # words seen once say no more than their n-grams
-    vocabulary, tables = _scores(_table(counted.filter("n > 1"), "w", words), langs, "w")
-    parts, by_n = [tables], {}
-    for o, found in by_order.items():
-        place, table = _scores(found, langs, "g")
+    vocabulary, table = _scores(_table(counted.filter("n > 1"), "w", words), langs, "w")
+    parts, by_n, kept = [table], {}, _table(pieces, "g", grams)
+    for o in ORDERS:
+        place, table = _scores(kept.filter(pc.equal(kept["o"], o)), langs, "g")
         first = sum(map(len, parts))
         by_n[o] = {g: first + i for g, i in place.items()}
         parts.append(table)
-    return Model(langs, vocabulary, by_n, np.concatenate([*parts, np.zeros((1, len(langs)))]))
+    return Model(langs, vocabulary, by_n, _joined(parts, len(langs)))
 
 
 def _predicted(rows: DataFrame, model: Model) -> DataFrame:
