@@ -4,9 +4,10 @@ Each stage is a function (spark, docs, sf_dir) -> DataFrame.  ``run`` writes
 each result as Parquet in the shared folder and reads it back as the next
 stage's ``docs``.  All stages but the last return the columns of documents.
 
-* language_id drops documents without a letter and those whose language is unsure
-  (score below ``langid.MIN_SCORE``).  It learns from the rows with a
-  language of its own input; the column ``lang`` itself is not changed.
+* language_id drops documents without a letter and those written in none of the
+  languages learnt (known share of the letters below ``langid.MIN_KNOWN``).  It
+  learns from the rows with a language of its own input, and drops no document
+  with a letter if there are none; the column ``lang`` itself is not changed.
 * exact_dedup keeps the row with the largest doc_id of equal texts.
 * near_dedup keeps the row with the smallest doc_id of each group.
 * source_mix repeats or drops documents so that each source nears its target.

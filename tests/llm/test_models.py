@@ -55,6 +55,24 @@ def test_every_language_is_learnt(spark):
     assert [got[i] for i in range(len(say))] == list(say)
 
 
+@pytest.mark.parametrize("langs", [1, 3, 4, 5])
+def test_unknown_script_is_rejected_at_any_number_of_languages(spark, langs):
+    say = ["the cat and the dog", "der Hund und die Katze", "le chat et le chien", "il gatto e il cane", "a gata e o cachorro"]
+    learn = spark.createDataFrame([(i, t, f"l{i}") for i, t in enumerate(say[:langs])], "doc_id long, text string, lang string")
+    docs = learn.union(spark.createDataFrame([(10, "\u043a\u043e\u0442 \u0438 \u043f\u0451\u0441", None),
+                                              (11, "the cat", None), (12, "12", None)], learn.schema))
+    kept = {r.doc_id for r in langid.keep_identified(docs, langid.fit(learn)).collect()}
+    assert kept == {*range(langs), 11}
+    nothing = langid.fit(learn.limit(0))
+    assert {r.doc_id for r in langid.keep_identified(docs, nothing).collect()} == {*range(langs), 10, 11}
+
+
+def test_all_grams_of_a_word_are_learnt(spark):
+    model = langid.fit(spark.createDataFrame([(1, "katze", "de")], "doc_id long, text string, lang string"))
+    assert {n: set(g) for n, g in model.grams.items()} == {
+        n: {"<katze>"[i:i + n] for i in range(8 - n)} for n in langid.ORDERS}
+
+
 def test_sparse_scores_are_the_dense_ones(monkeypatch):
     rng = np.random.default_rng(6)
     counts = rng.integers(0, 3, (40, 7)) * rng.integers(1, 9, (40, 7))

@@ -32,7 +32,7 @@ WORDS = 20000       # known words per language
 GRAMS = 20000       # known n-grams per order and language
 ORDERS = (4, 3, 2, 1)
 NONE = "und"
-MIN_SCORE = 0.3     # below it the pipeline rejects a document
+MIN_KNOWN = 0.5     # known share of a text's letters; below it the pipeline rejects a document
 CACHE = 300_000     # words a task remembers
 CELLS = 8_000_000   # at most: words a task remembers x languages
 BROADCAST_IDS = 5_000_000  # sampled ids; more meet their texts in a shuffle
@@ -91,7 +91,8 @@ class Reader:
     def __init__(self, model: Model):
         self.m, self.at = model, {}
         self.most = min(CACHE, max(1, CELLS // max(1, len(model.langs))))
-        self.scores = np.zeros((self.most, len(model.langs)))
+        # scores, then letters and known letters
+        self.scores = np.zeros((self.most, len(model.langs) + 2))
 
     def _rows(self, w: str) -> list[int]:
         """Rows whose mean is the word's score."""
@@ -105,6 +106,15 @@ class Reader:
                 return hits
         return [len(self.m.rows) - 1]
 
+    def _letters(self, w: str) -> tuple[int, int]:
+        """Letters, and those in a known word or in a known n-gram of two or
+        more; longer n-grams are made of known ones of two."""
+        if w in self.m.words:
+            return len(w), len(w)
+        padded, two = f"<{w}>", self.m.grams.get(2, {})
+        pairs = [padded[i:i + 2] in two for i in range(len(w) + 1)]
+        return len(w), sum(a or b for a, b in zip(pairs, pairs[1:]))
+
     def _sum(self, words: list[str], n: np.ndarray) -> np.ndarray:
         new = [w for w in words if w not in self.at]
         if len(self.at) + len(new) > self.most:
@@ -117,21 +127,26 @@ class Reader:
                 ids += r
                 sizes.append(len(r))
                 self.at[w] = i
-            self.scores[first:first + len(new)] = self.m.rows.means(np.array(ids), np.array(sizes))
+            to = self.scores[first:first + len(new)]
+            to[:, :-2] = self.m.rows.means(np.array(ids), np.array(sizes))
+            to[:, -2:] = [self._letters(w) for w in new]
         at = self.at
         return n @ self.scores[[at[w] for w in words]]
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        """(language, posterior under equal priors); ``und``, 0 without a letter."""
+    def predict(self, text: str | None) -> tuple[str, float, float]:
+        """(language, posterior under equal priors, known share of the letters);
+        ``und``, 0, 0 without a letter.  A model without languages knows no
+        letter from another: ``und``, 0, 1."""
         counts = Counter(LETTERS.findall(text.lower())) if text else {}
         if not counts or not self.m.langs:
-            return NONE, 0.0
+            return NONE, 0.0, float(bool(counts))
         words = list(counts)
         n = np.fromiter(counts.values(), np.float64, len(words))
         total = sum(self._sum(words[k:k + self.most], n[k:k + self.most])
                     for k in range(0, len(words), self.most))
+        total, (letters, known) = total[:-2], total[-2:]
         best = int(total.argmax())
-        return self.m.langs[best], float(1 / np.exp(np.minimum(total - total[best], 0)).sum())
+        return self.m.langs[best], float(1 / np.exp(np.minimum(total - total[best], 0)).sum()), float(known / letters)
 
 
 def _table(counts: DataFrame, token: str, keep: int) -> pa.Table:
@@ -182,10 +197,13 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams: in
     counted = stage(docs.select("lang", found.alias("w")).groupBy("lang", "w").agg(F.count(F.lit(1)).alias("n")),
                     "words")
     padded = F.concat(F.lit("<"), "w", F.lit(">"))
-    cut = F.flatten(F.array(*[F.transform(F.sequence(F.lit(1), F.greatest(F.length(padded) - (n - 1), F.lit(1))),
-                                          lambda i, n=n: F.struct(F.lit(n).alias("o"),
-                                                                  F.substr(padded, i, F.lit(n)).alias("g")))
-                              for n in ORDERS]))
+
+    def pieces_of(n: int) -> Column:  # a lambda with a second argument would get the index
+        last = F.greatest(F.length(padded) - (n - 1), F.lit(1))
+        return F.transform(F.sequence(F.lit(1), last),
+                           lambda i: F.struct(F.lit(n).alias("o"), F.substr(padded, i, F.lit(n)).alias("g")))
+
+    cut = F.flatten(F.array(*map(pieces_of, ORDERS)))
     pieces = (counted.select("lang", "n", F.explode(cut).alias("c")).select("lang", "n", "c.o", "c.g")
               .filter("length(g) = o").groupBy("lang", "o", "g").agg(F.sum("n").alias("n")))
     # words seen once say no more than their n-grams
@@ -200,7 +218,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams: in
 
 
 def _predicted(rows: DataFrame, model: Model) -> DataFrame:
-    """``rows`` (first column the text) with lang_pred and score."""
+    """``rows`` (first column the text) with lang_pred, score and known."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,10 +227,11 @@ def _predicted(rows: DataFrame, model: Model) -> DataFrame:
             got = [reader.predict(t) for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array([g[0] for g in got], pa.string()),
-                 pa.array([g[1] for g in got], pa.float64())], names=[*b.schema.names, "lang_pred", "score"])
+                 *(pa.array([g[i] for g in got], pa.float64()) for i in (1, 2))],
+                names=[*b.schema.names, "lang_pred", "score", "known"])
 
     schema = T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()),
-                           T.StructField("score", T.DoubleType())])
+                           T.StructField("score", T.DoubleType()), T.StructField("known", T.DoubleType())])
     return rows.mapInArrow(run, schema)
 
 
@@ -231,14 +250,16 @@ def predict_languages(docs: DataFrame, model: Model) -> DataFrame:
     """
     rows = docs.select(F.col("text").cast("string").alias("_t"), "doc_id")
     with text_batches(docs.sparkSession):
-        return stage(_predicted(rows, model).drop("_t"), "languages")
+        return stage(_predicted(rows, model).drop("_t", "known"), "languages")
 
 
-def keep_identified(docs: DataFrame, model: Model, min_score: float = MIN_SCORE) -> DataFrame:
-    """``docs`` without the rows whose language is ``und`` or whose score is
-    below ``min_score``; columns unchanged, no shuffle."""
+def keep_identified(docs: DataFrame, model: Model, min_known: float = MIN_KNOWN) -> DataFrame:
+    """``docs`` without the rows that have no letter or of whose letters less
+    than ``min_known`` are known, whatever the number of languages; columns
+    unchanged, no shuffle.  If no language could be learnt, every row with a
+    letter stays."""
     names = [f"c{i}" for i in range(len(docs.columns))]
     rows = docs.select(F.col("text").cast("string").alias("t"),
                        *[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names)])
-    kept = _predicted(rows, model).filter((F.col("lang_pred") != NONE) & (F.col("score") >= min_score))
+    kept = _predicted(rows, model).filter((F.col("known") > 0) & (F.col("known") >= min_known))
     return kept.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names)])
