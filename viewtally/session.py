@@ -6,6 +6,7 @@ value that is already set, except where a test asks for it.
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -28,11 +29,19 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (local
-    tests) fall back to a fresh scratch folder."""
+    """The folder lineage cuts go to: the one the session has, else the one
+    ``spark.checkpoint.dir`` names.  Where neither is set, local runs (tests)
+    get a fresh scratch folder; a cluster must name a folder its executors
+    share.  ``setCheckpointDir`` opens a new folder below the one it is given,
+    so it is called once a session at most and the path never changes."""
     sc = spark.sparkContext
-    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    now = sc.getCheckpointDir()
+    if now:
+        return now
+    d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on {sc.master}")
         d = tempfile.mkdtemp(prefix="viewtally-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir()
