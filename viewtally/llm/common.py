@@ -72,31 +72,43 @@ def keep_rows(docs: DataFrame, keepers: DataFrame) -> DataFrame:
             .dropDuplicates(["_id", "_tk"]).select("_row.*"))
 
 
-def positions(df: DataFrame, group: list[str], coarse: str, fine: str, ties: list[str] = (),
-              out: str = "pos", block: int = 1 << 16) -> DataFrame:
-    """Add the 1-based position of each row in its group by (coarse, fine, ties).
-
-    No group goes to one task: rows are numbered inside cells (group, coarse,
-    fine // block), and start after the totals of earlier cells.  Totals are
-    summed in two steps, over the coarse values of a group and over the blocks
-    of a coarse value, so neither window sees more than those.  None of the
-    columns may be null; ``coarse`` and ``fine`` are integers.
+def ordered(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """``df`` range-partitioned and sorted by ``keys`` (nulls first), written
+    once, with ``_at``: a number that grows in that order over the whole table.
+
+    The ranges come from a sample of the rows themselves, so they are even
+    whatever the values look like; rows equal in every key are told apart by
+    where they were read, so not even those meet in one task.
     """
-    keyed = df.withColumn("_blk", F.floor(F.col(fine) / F.lit(block)).cast("bigint"))
-    cells = keyed.groupBy(*group, coarse, "_blk").agg(F.count(F.lit(1)).alias("_n"))
-    before = (Window.unboundedPreceding, -1)
-    w1 = Window.partitionBy(*group).orderBy(coarse).rowsBetween(*before)
-    w2 = Window.partitionBy(*group, coarse).orderBy("_blk").rowsBetween(*before)
-    tops = (cells.groupBy(*group, coarse).agg(F.sum("_n").alias("_n"))
-            .select(*group, coarse, F.coalesce(F.sum("_n").over(w1), F.lit(0)).alias("_top")))
-    starts = (cells.withColumn("_in", F.coalesce(F.sum("_n").over(w2), F.lit(0)))
-              .join(tops, [*group, coarse])
-              .select(*group, coarse, "_blk", (F.col("_top") + F.col("_in")).alias("_start")))
-    w3 = Window.partitionBy(*group, coarse, "_blk").orderBy(fine, *ties)
-    return (keyed.withColumn("_rn", F.row_number().over(w3))
-            .join(starts, [*group, coarse, "_blk"])
-            .withColumn(out, (F.col("_start") + F.col("_rn")).cast("bigint"))
-            .drop("_blk", "_rn", "_start"))
+    kept = df.columns
+    tied = df.withColumn("_tie", F.monotonically_increasing_id())
+    return stage(tied.repartitionByRange(*keys, "_tie").sortWithinPartitions(*keys, "_tie")
+                 .select(*kept, F.monotonically_increasing_id().alias("_at")), name)
+
+
+def ranks(placed: DataFrame, group: list[str], out: str, runs_of: DataFrame | None = None) -> DataFrame:
+    """Add the 1-based position of each row in its group to rows that
+    ``ordered`` numbered, ``group`` being its first keys and never null.
+
+    In a range partition the rows of a group follow each other without a gap,
+    so a position is the row's place in its (group, partition) run and the rows
+    of the group's earlier runs.  Only the run table (partitions and groups
+    together bound it) passes through a window.  ``runs_of``: the same rows,
+    where ``placed`` is costly to read twice."""
+    cell = F.shiftright("_at", 33).alias("_cell")
+    runs = (placed if runs_of is None else runs_of).groupBy(*group, cell) \
+        .agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*group).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select(*group, "_cell", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    return (placed.withColumn("_cell", F.shiftright("_at", 33)).join(runs, [*group, "_cell"])
+            .withColumn(out, (F.col("_start") + F.col("_at") - F.col("_first") + 1).cast("bigint"))
+            .drop("_cell", "_first", "_start"))
+
+
+def positions(df: DataFrame, group: list[str], order: list[str], out: str = "pos") -> DataFrame:
+    """Add the 1-based position of each row in its group by ``order``; ties in
+    any order.  No group goes to one task."""
+    return ranks(ordered(df, [*group, *order], "placed"), group, out).drop("_at")
 
 
 def bounded_sample(rows: DataFrame, group: str, key: str, most: int, cell_bits: int = 16) -> DataFrame:

@@ -50,7 +50,7 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int =
 
 
 def _mixed(rows: DataFrame, weights, share: float, cap: int, seed: str) -> DataFrame:
-    """``rows``: _row, _id, source, size.  Adds source_size, target, copies."""
+    """``rows``: _id, source, size.  Adds source_size, target, copies."""
     sized = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap)
     # a fixed offset in [0, 1) for each source
     offset = F.conv(F.substring(F.md5(F.concat_ws("/", F.lit(seed), F.lit("source"), "source")), 1, 8),
@@ -60,7 +60,7 @@ def _mixed(rows: DataFrame, weights, share: float, cap: int, seed: str) -> DataF
                          .otherwise(F.lit(0.0)).alias("_rate"))
     ranked = positions(rows.withColumns({"_null": F.col("source").isNull(),
                                          "_name": F.coalesce("source", F.lit(""))}),
-                       ["_null", "_name"], "size", "_id")
+                       ["_null", "_name"], ["size", "_id"])
     up_to = lambda n: F.floor(n * F.col("_rate") + F.col("_u"))
     # at most `cap` by arithmetic; least() keeps rounding from adding one
     copies = F.least(up_to(F.col("pos")) - up_to(F.col("pos") - 1), F.lit(cap).cast("bigint"))
@@ -86,8 +86,12 @@ def mix_plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int =
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int = CAP, seed: str = SEED) -> DataFrame:
-    """The mix itself: every row of ``docs`` as often as it is taken, all columns."""
-    rows = docs.select(whole_row(docs), id_key("doc_id").alias("_id"), "source", word_count("text").alias("size"))
-    return (_mixed(rows, weights, share, cap, seed).filter("copies > 0")
+    """The mix itself: every row of ``docs`` as often as it is taken, all columns.
+    Whole rows are written once with a number of their own, ranked without
+    their texts, and joined back by that number."""
+    rows = stage(docs.select(whole_row(docs), F.monotonically_increasing_id().alias("_rid"), id_key("doc_id").alias("_id"),
+                             "source", word_count("text").alias("size")), "rows")
+    taken = (_mixed(rows.drop("_row"), weights, share, cap, seed).filter("copies > 0").select("_rid", "copies"))
+    return (rows.select("_rid", "_row").join(taken, "_rid")
             .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
             .select("_row.*"))

@@ -5,7 +5,7 @@ gives the histogram of all piece lengths: at most ``max_len`` rows whatever
 the input, which is all the driver sees.  A dynamic programme over it chooses
 the bucket boundaries with the least total padding.  Inside a bucket pieces
 are numbered in (length, doc_id, piece) order without any bucket meeting in
-one task, and every ``budget // boundary`` consecutive pieces are a batch.
+one task (range-partitioned ranks), and every ``budget // boundary`` consecutive pieces are a batch.
 """
 
 from __future__ import annotations
@@ -85,7 +85,7 @@ def pack(docs: DataFrame, max_len: int = MAX_LEN, buckets: int = BUCKETS, budget
     bounds = boundaries(found, buckets) or [max_len]
     bucket = F.coalesce(*[F.when(F.col("length") <= b, F.lit(b)) for b in bounds]).cast("bigint")
     placed = positions(cut.withColumns({"bucket_len": bucket, "_id": id_key("doc_id")}),
-                       ["bucket_len"], "length", "_id", ["piece"])
+                       ["bucket_len"], ["length", "_id", "piece"])
     room = F.greatest(F.lit(1).cast("bigint"), F.expr(f"{int(budget)}L div bucket_len"))
     place = F.col("pos") - 1
     return placed.select("doc_id", "piece", "start", "length", "bucket_len",
