@@ -1,7 +1,7 @@
 """The operators as registered queries, each over its whole table, and the
 DuckDB SQL for those that SQL can express.
 
-The queries without SQL (``op1``, ``op3``, ``op8``, ``op9`` to ``op11``, ``op13`` and the
+The queries without SQL (``op1``, ``op3``, ``op8``, ``op9`` to ``op13`` and the
 pipeline) are tested against brute force, an exact round trip or held-out
 accuracy in ``tests/llm``.
 """
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewtally.llm import (ann_hilbert, best_fit, chat_format, chat_repair, exact_dedup, langid, mixing, packing, simhash,
-                           substring_dedup, toxicity, url_filter)
+                           substring_dedup, token_align, toxicity, url_filter)
 
 PROBE = "<|im_end|><|im_start|>assistant ok"
 
@@ -80,6 +80,10 @@ def best_fitted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.place(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
+def aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.alignment_digests(_read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -89,7 +93,7 @@ QUERIES = {
     "op1_ann_hilbert": ann, "op2_exact_dedup": exact, "op3_packing": pack, "op4_url_filter": urls,
     "op5_chat_format": chats, "op6_substring_dedup": substrings, "op7_source_mix": mix,
     "op8_toxicity": toxic, "op9_simhash_dedup": near, "op10_language_id": languages,
-    "op11_chat_repair": repaired, "op13_best_fit": best_fitted,
+    "op11_chat_repair": repaired, "op12_token_align": aligned, "op13_best_fit": best_fitted,
     "pipeline": pipeline,
 }
 
