@@ -39,3 +39,26 @@ def test_parser_covers_all_jobs():
                                      "store": ["--checkpoint", "c"],
                                      "ingest": [],
                                      "backfill": ["--input", "i", "--out", "o"]}[job]).job == job
+
+
+def test_ingest_reads_the_planned_ranges_of_the_broker(spark, tmp, monkeypatch):
+    """Without a broker here: its readers are stand-ins, the job is real."""
+    from pyspark.sql import functions as F
+    from viewtally import schemas as S
+    from viewtally.operators import ledger as L
+    from viewtally.sources import kafka as KF
+    msgs = M.messages(spark, SF001).select(*S.MESSAGE.fieldNames())
+    asked = []
+
+    def ranges(spark_, brokers, plan):
+        asked.append(KF.range_options(plan))
+        return L.select_range(upto, spark.createDataFrame(plan))
+
+    monkeypatch.setattr(KF, "read_latest", lambda spark_, brokers, topics: L.latest_offsets(upto.where(F.col("topic").isin(*topics))))
+    monkeypatch.setattr(KF, "read_ranges", ranges)
+    args = ["ingest", "--brokers", "b:1", "--prefix", "test", "--ledger", os.path.join(tmp, "led"), "--out", os.path.join(tmp, "logs")]
+    upto = msgs.where("offset < 40")
+    assert jobs.main([*args, "--bootstrap"], spark).rows_written == upto.count()
+    before, upto = upto.count(), msgs
+    assert jobs.main(args, spark).rows_written == msgs.count() - before
+    assert '"0": 40' in asked[1]["startingOffsets"] and spark.read.parquet(os.path.join(tmp, "logs")).count() == msgs.count()

@@ -16,7 +16,6 @@ session is the caller's (``spark-submit`` sets master, resources and
 from __future__ import annotations
 
 import argparse
-import json
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
@@ -87,27 +86,22 @@ def job_ingest(spark: SparkSession, args):
     from viewtally.plans import ingest as I
     props = dict(p.split("=", 1) for p in args.jdbc_prop)
     if args.jdbc_url:
-        ledger = I.JdbcLedger(spark, args.jdbc_url, args.ledger_table, props)
-        sink = I.jdbc_sink(spark, args.jdbc_url, args.table, props, args.num_partitions)
+        ledger = I.StagedJdbc(spark, args.jdbc_url, args.table, args.ledger_table, props, args.num_partitions)
+        sink = ledger.save
     else:
-        ledger = I.ParquetLedger(spark, args.ledger)
+        ledger = I.LogLedger(spark, args.ledger)
         sink = I.parquet_sink(args.out)
     topics = topics_for(args.prefix, [args.metric] if args.metric else C.METRICS)
+    msgs = latest = read = None
     if args.input:
         msgs = _table(spark, args)
     else:
-        # read only what is new: from the committed offsets to the latest
-        led = ledger.read().where(F.col("topic").isin(*topics)).collect()
-        start: dict = {}
-        for r in led:
-            start.setdefault(r["topic"], {})[str(r["part"])] = int(r["off"])
-        opts = {"kafka.bootstrap.servers": args.brokers, "subscribe": ",".join(topics),
-                "startingOffsets": json.dumps(start) if start and not args.bootstrap else "earliest",
-                "endingOffsets": "latest"}
-        msgs = spark.read.format("kafka").options(**opts).load().select(*KF.message_columns())
+        # one plan from the broker's offsets and the ledger, then just its ranges
+        latest = KF.read_latest(spark, args.brokers, topics)
+        read = lambda plan: KF.read_ranges(spark, args.brokers, plan)
     rejects = args.rejects or (f"{args.out.rstrip('/')}_rejects" if args.out else None)
     return I.run(spark, msgs, ledger, sink, topics=topics, bootstrap=args.bootstrap, strict=args.strict,
-                 dense=args.dense, save_rejects=I.parquet_rejects(rejects) if rejects else None)
+                 dense=args.dense, save_rejects=I.parquet_rejects(rejects) if rejects else None, latest=latest, read=read)
 
 
 def job_backfill(spark: SparkSession, args):

@@ -3,6 +3,11 @@ per task; an anti-join on the message id makes a retried write idempotent."""
 
 from __future__ import annotations
 
+import re
+import time
+import uuid
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,6 +98,122 @@ def upsert_offsets(spark: SparkSession, rows: list, url: str, table: str, props:
         con.close()
 
 
+def _quoted(con, name: str) -> str:
+    """A column name as Spark's writer creates it (quoted, case kept)."""
+    q = con.getMetaData().getIdentifierQuoteString().strip()
+    return f"{q}{name}{q}"
+
+
+@contextmanager
+def transaction(spark: SparkSession, url: str, props: dict | None = None):
+    """A driver-side connection whose statements are kept all or none."""
+    con = _connect(spark, url, props)
+    try:
+        con.setAutoCommit(False)
+        yield con
+        con.commit()
+    except BaseException:
+        con.rollback()
+        raise
+    finally:
+        con.close()
+
+
+def execute(spark: SparkSession, url: str, sql: str, props: dict | None = None) -> None:
+    with transaction(spark, url, props) as con:
+        con.createStatement().execute(sql)
+
+
+def _count(con, sql: str, *values) -> int:
+    """Rows that a statement changes; integers and strings as parameters."""
+    statement = con.prepareStatement(sql)
+    for i, v in enumerate(values, 1):
+        (statement.setString if isinstance(v, str) else statement.setLong)(i, v)
+    return statement.executeUpdate()
+
+
+def ensure_log_table(spark: SparkSession, rows: DataFrame, url: str, table: str, props: dict | None = None) -> None:
+    """Create the log table with a unique message id, unless it is there."""
+    if table_exists(spark, url, table, props):
+        return
+    try:
+        # (an empty table of that schema: ``rows`` may be observed, and is read once)
+        append(spark.createDataFrame([], rows.schema), url, table, props, column_types=LOG_COLUMN_TYPES)
+        with transaction(spark, url, props) as con:
+            name = table.replace(".", "_")
+            con.createStatement().execute(f"CREATE UNIQUE INDEX {name}_msg_id ON {table} ({_quoted(con, 'msg_id')})")
+    except Exception:
+        if not table_exists(spark, url, table, props):      # else another job made it meanwhile
+            raise
+
+
+def stage_name(table: str) -> str:
+    """A staging table of its own for a run: ``<table>_stage_<seconds>_<random>``."""
+    return f"{table}_stage_{int(time.time())}_{uuid.uuid4().hex[:8]}"
+
+
+def with_copy(rows: DataFrame) -> DataFrame:
+    """Add ``copy``, another for each time a row is computed, so that the rows
+    of a task that ran twice can be told apart."""
+    return rows.withColumn("copy", F.reflect(F.lit("java.util.UUID"), F.lit("randomUUID")))
+
+
+def move_offset(con, table: str, topic: str, part: int, before: int | None, after: int) -> bool:
+    """Compare-and-set of one ledger row; ``before`` None: there must be none.
+    The row stays locked until the transaction ends."""
+    c = {x: _quoted(con, x) for x in ("topic", "part", "off")}
+    if before is not None:
+        return _count(con, f"UPDATE {table} SET {c['off']} = ? WHERE {c['topic']} = ? AND {c['part']} = ? AND {c['off']} = ?",
+                      after, topic, part, before) == 1
+    found = con.prepareStatement(f"SELECT 1 FROM {table} WHERE {c['topic']} = ? AND {c['part']} = ?")
+    found.setString(1, topic)
+    found.setLong(2, part)
+    if found.executeQuery().next():
+        return False
+    return _count(con, f"INSERT INTO {table} ({c['off']}, {c['topic']}, {c['part']}) VALUES (?, ?, ?)",
+                  after, topic, part) == 1
+
+
+def merge_staged(con, stage: str, table: str, key: str = "msg_id") -> int:
+    """Copy the rows of ``stage`` that ``table`` lacks, one of each key; all
+    inside the database.  Returns their number."""
+    info = con.createStatement().executeQuery(f"SELECT * FROM {stage} WHERE 1 = 0").getMetaData()
+    names = [info.getColumnName(i) for i in range(1, info.getColumnCount() + 1)]
+    cols = ", ".join(_quoted(con, n) for n in names if n.lower() != "copy")
+    key, copy = _quoted(con, key), _quoted(con, "copy")
+    return _count(con, f"INSERT INTO {table} ({cols}) SELECT {cols} FROM {stage} s "
+                       f"WHERE s.{copy} IN (SELECT MIN({copy}) FROM {stage} GROUP BY {key}) "
+                       f"AND NOT EXISTS (SELECT 1 FROM {table} t WHERE t.{key} = s.{key})")
+
+
+def drop(spark: SparkSession, url: str, table: str, props: dict | None = None) -> None:
+    if table_exists(spark, url, table, props):
+        execute(spark, url, f"DROP TABLE {table}", props)
+
+
+def stages_of(spark: SparkSession, url: str, table: str, props: dict | None = None) -> dict[str, int]:
+    """Staging tables of ``table`` that exist, with the second they were named."""
+    schema, _, name = table.rpartition(".")
+    pattern = re.compile(re.escape(name) + r"_stage_(\d+)_[0-9a-f]{8}", re.IGNORECASE)
+    con = _connect(spark, url, props)
+    try:
+        found, rows = {}, con.getMetaData().getTables(None, None, "%", None)
+        while rows.next():
+            m = pattern.fullmatch(rows.getString("TABLE_NAME"))
+            if m and (not schema or (rows.getString("TABLE_SCHEM") or "").lower() == schema.lower()):
+                found[(f"{schema}." if schema else "") + rows.getString("TABLE_NAME")] = int(m[1])
+        return found
+    finally:
+        con.close()
+
+
+def drop_stale(spark: SparkSession, url: str, table: str, keep_hours: float, props: dict | None = None) -> None:
+    """Drop what crashed runs left behind."""
+    for stage, made in stages_of(spark, url, table, props).items():
+        if made < time.time() - keep_hours * 3600:
+            drop(spark, url, stage, props)
+
+
 def overwrite(df: DataFrame, url: str, table: str, props: dict | None = None) -> None:
     """Replace a small table (the ledger) keeping its definition (truncate)."""
     w = df.write.mode("overwrite").format("jdbc").option("url", url).option("dbtable", table) \

@@ -20,10 +20,13 @@ def read_table(spark: SparkSession, url: str, table: str, props: dict | None = N
     return r.load()
 
 
-def read_ledger(spark: SparkSession, url: str, table: str, topic: str | None = None,
+def read_ledger(spark: SparkSession, url: str, table: str, topics: str | list[str] | None = None,
                 props: dict | None = None) -> DataFrame:
-    """SRC-5: the ledger (``topic, part, off``), filtered by topic in the database."""
-    df = read_table(spark, url, table, props).select(
-        F.trim(F.col("topic")).alias("topic"), F.col("part").cast("int").alias("part"),
-        F.col("off").cast("bigint").alias("off"))
-    return df.where(F.col("topic") == topic) if topic else df
+    """SRC-5: the ledger (``topic, part, off``), filtered by topic in the
+    database: the filter is on the column as it is stored, blanks of a padded
+    column are cut behind it."""
+    df = read_table(spark, url, table, props)
+    if topics:
+        df = df.where(F.col("topic").isin([topics] if isinstance(topics, str) else list(topics)))
+    return df.select(F.trim(F.col("topic")).alias("topic"), F.col("part").cast("int").alias("part"),
+                     F.col("off").cast("bigint").alias("off"))
