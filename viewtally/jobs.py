@@ -63,7 +63,7 @@ def job_metrics(spark: SparkSession, args) -> list:
         if args.once:
             stage.processAllAvailable()
         queries = [stage] + SM.start(None, args.out, args.checkpoint, _trigger(args), publish=not timer,
-                                     events=SM.staged_events(spark, stage_dir), **kw).all()
+                                     events=SM.staged_events(spark, stage_dir), stage_dir=stage_dir, **kw).all()
     if timer:
         queries.append(SM.start_ticker(spark, args.out, args.checkpoint, args.batch_seconds, args.trend_mode, args.tz))
     return queries

@@ -28,6 +28,8 @@ from viewtally.session import ensure_checkpoint_dir
 from viewtally.sinks import parquet as PS
 from viewtally.sources import json as SJ
 from viewtally.sources import messages as M
+from viewtally.streaming import keyed as KD
+from viewtally.streaming import late as LT
 from viewtally.streaming import metrics as SM
 
 PREFIX = "test"
@@ -45,6 +47,8 @@ CORRUPT_EVERY = 10
 APPROX_TOLERANCE = 0.05
 MINUTES_BACK = 5
 STORED_DAY = "2024_01_15"
+LATE_EVERY = 10
+HEARTBEAT = "heartbeat"
 
 
 def _events(spark, sf_dir) -> DataFrame:
@@ -332,6 +336,53 @@ def stream_minute_counters(spark, sf_dir):
         "metric", tm.ms_to_ntz("bucket_ms").alias("bucket"), "n")
 
 
+def late_rows(spark, sf_dir):
+    """STR-7: every tenth event arrives behind all others.  Minute counters of
+    the live table, late rows added, and how many rows of each came too late for
+    the stream."""
+    folder = _work_folder(spark, "late")
+    msgs = _messages(spark, sf_dir, with_offsets=False)
+    held, early = F.col("event_id") % LATE_EVERY == 0, tm.key_to_ms("key") < PREVIOUS_RUN_CUTOFF_MS
+    columns = [f for f in S.MESSAGE.fieldNames() if f in msgs.columns]
+    for arrived in (~held & early, ~held & ~early, held):
+        msgs.where(arrived).select(*columns).write.mode("append").parquet(f"{folder}/in")
+        live = spark.readStream.schema(S.MESSAGE).parquet(f"{folder}/in")
+        staging = SM.start_staging(live, f"{folder}/staged", f"{folder}/checkpoint", {"availableNow": True})
+        _finish(staging)
+        _finish(SM.start_counters(SM.staged_events(spark, f"{folder}/staged"), f"{folder}/out", f"{folder}/checkpoint",
+                                  {"availableNow": True}, late=SM.late_of(spark, "counters", f"{folder}/staged")))
+    keys = ["metric", "bucket_ms"]
+    late = LT.late_rows(spark, f"{folder}/out", "counters").groupBy("metric", LT.bucket_start(C.MINUTE_MS).alias("bucket_ms")) \
+        .agg(F.count(F.lit(1)).alias("n_late"))
+    return (SM.read_table(spark, f"{folder}/out", "counters").join(late, keys, "left")
+            .select("metric", tm.ms_to_ntz("bucket_ms").alias("bucket"), "n", F.coalesce("n_late", F.lit(0)).alias("n_late")))
+
+
+def active_periods(spark, sf_dir):
+    """STR-5, AGG-7, AGG-8 by keyed state: the periods in which a user was in
+    the active (or ordering) set, over two runs from one checkpoint.  A heartbeat
+    a day behind the last event lets the timers of all users expire."""
+    folder = _work_folder(spark, "active")
+    ev = _parsed(spark, sf_dir).select("metric", "ts_ms", "uid")
+    before = F.col("ts_ms") < PREVIOUS_RUN_CUTOFF_MS
+    beat = ev.agg((F.max("ts_ms") + C.DAY_MS).alias("ts_ms")).select(
+        F.lit("pageview").alias("metric"), "ts_ms", F.lit(HEARTBEAT).alias("uid"))
+    for arrived in (ev.where(before), ev.where(~before), beat):
+        arrived.write.mode("append").parquet(f"{folder}/in")
+        live = spark.readStream.schema("metric string, ts_ms bigint, uid string").parquet(f"{folder}/in")
+        _finish(KD.start_active_users(live.withColumn("ts", tm.ms_to_instant("ts_ms")), f"{folder}/out",
+                                      f"{folder}/checkpoint", {"availableNow": True}))
+    return KD.read_periods(spark, f"{folder}/out").where(F.col("uid") != HEARTBEAT).select(
+        "metric", "uid", tm.ms_to_ntz("since_ms").alias("since"), tm.ms_to_ntz("last_ms").alias("last"), "n")
+
+
+def _finish(query) -> None:
+    try:
+        query.awaitTermination()
+    finally:
+        query.stop()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "views_per_minute": views_per_minute,
     "clicks_per_minute": clicks_per_minute,
@@ -366,4 +417,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_schema_columns": json_schema_columns,
     "parquet_round_trip": parquet_round_trip,
     "stream_minute_counters": stream_minute_counters,
+    "late_rows": late_rows,
+    "active_periods": active_periods,
 }

@@ -7,7 +7,7 @@ The label zone (UTC+7, no DST since 1975) is a fixed 7-hour shift here.
 
 from __future__ import annotations
 
-from viewtally.plans.catalog import (CORRUPT_EVERY, LEX_RANGE, MINUTES_BACK, PREVIOUS_RUN_CUTOFF_MS, PURGE_AT_MS,
+from viewtally.plans.catalog import (CORRUPT_EVERY, LATE_EVERY, LEX_RANGE, MINUTES_BACK, PREVIOUS_RUN_CUTOFF_MS, PURGE_AT_MS,
                                      STORED_DAY, TOP_K, UNLEDGERED)
 
 ALT_SHIFT_MS = 5 * 3_600_000 + 30 * 60_000   # the alternative zone, UTC+5:30 (no DST)
@@ -231,4 +231,17 @@ FROM msgs WHERE strftime({_ts('ts_ms')}, '%Y_%m_%d') = '{STORED_DAY}'""",
     "stream_minute_counters": f"""WITH {EV}
 SELECT metric, {_ts('(ts_ms // 60000) * 60000')} AS bucket, count(*) AS n
 FROM ev GROUP BY metric, (ts_ms // 60000) * 60000""",
+    "late_rows": f"""WITH {EV},
+mark AS (SELECT max(ts_ms) - 1800000 AS ms FROM ev WHERE event_id % {LATE_EVERY} <> 0)
+SELECT metric, {_ts('(ts_ms // 60000) * 60000')} AS bucket, count(*) AS n,
+       count(*) FILTER (event_id % {LATE_EVERY} = 0 AND (ts_ms // 60000) * 60000 + 60000 <= mark.ms) AS n_late
+FROM ev, mark GROUP BY metric, (ts_ms // 60000) * 60000""",
+    "active_periods": f"""WITH {EV},
+seen AS (SELECT metric, uid, ts_ms FROM ev WHERE metric IN ('pageview', 'order') AND uid IS NOT NULL),
+starts AS (
+  SELECT *, CASE WHEN ts_ms - lag(ts_ms) OVER w < 360000 THEN 0 ELSE 1 END AS fresh
+  FROM seen WINDOW w AS (PARTITION BY metric, uid ORDER BY ts_ms)),
+periods AS (SELECT *, sum(fresh) OVER (PARTITION BY metric, uid ORDER BY ts_ms ROWS UNBOUNDED PRECEDING) AS k FROM starts)
+SELECT metric, uid, {_ts('min(ts_ms)')} AS since, {_ts('max(ts_ms)')} AS last, count(*) AS n
+FROM periods GROUP BY metric, uid, k""",
 }

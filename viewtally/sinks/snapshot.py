@@ -28,6 +28,11 @@ def _day(ms) -> F.Column:
     return F.date_format(tm.ms_to_ntz(ms), "yyyy-MM-dd")
 
 
+def day_of_ms(col: str) -> F.Column:
+    """The day partition of an epoch-ms column."""
+    return _day(F.col(col))
+
+
 def write(df: DataFrame, root: str, batch_id: int, day_of: str | None = None,
           files: int | None = None) -> None:
     """Write one batch; ``day_of`` names the epoch-ms column that picks the

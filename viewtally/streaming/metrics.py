@@ -4,9 +4,10 @@ Several independent queries in one session (STR-8), each a stateful
 aggregation in ``update`` mode — counters are visible as soon as a batch
 ends, as with the key store — whose changed rows go to a day-partitioned
 snapshot table per micro-batch (``sinks.snapshot``).  Watermarks equal the
-key TTLs, so state stays bounded; rows later than the watermark are dropped
-and show up in ``numRowsDroppedByWatermark`` (the key store would have
-restarted an expired bucket at 1 instead).
+key TTLs, so state stays bounded.  Rows later than the watermark, which Spark
+drops, are looked up again over a staged stream, kept and added to their
+buckets (``streaming.late``); over other sources they are only counted, in
+``numRowsDroppedByWatermark``.
 
 At the end of every batch the trend (STR-3) and the active / ordering users
 (STR-5) are published for the batch's tick, reading only the snapshot days
@@ -33,6 +34,7 @@ from viewtally.functions import time as tm
 from viewtally.operators.trending import trend_at
 from viewtally.session import ensure_checkpoint_dir
 from viewtally.sinks import snapshot
+from viewtally.streaming import late as LT
 
 KEYS = {"counters": ["metric", "bucket_ms"], "topvideos_m": ["bucket_ms", "video"],
         "topvideos_h": ["bucket_ms", "video"], "last_seen": ["metric", "uid", "bucket_ms"]}
@@ -187,15 +189,29 @@ COMPACT_EVERY = 60
 
 
 def _start(df: DataFrame, name: str, out_root: str, ckpt_root: str, trigger: dict,
-           after=None, files: int = TABLE_FILES, compact_every: int = COMPACT_EVERY) -> StreamingQuery:
+           after=None, files: int = TABLE_FILES, compact_every: int = COMPACT_EVERY,
+           late: LT.LateRows | None = None) -> StreamingQuery:
     root = f"{out_root.rstrip('/')}/{name}"
+    ckpt = f"{ckpt_root.rstrip('/')}/{name}"
+
+    def with_late(batch: DataFrame, batch_id: int) -> DataFrame:
+        """The batch's rows and the buckets that its late rows changed."""
+        spark = batch.sparkSession
+        found = late.find(spark, ckpt, batch_id)
+        if found is None or late.cells(found).isEmpty():
+            return batch
+        LT.keep(found, out_root, name, batch_id)
+        # computed before the folder it reads is written
+        repaired = late.repaired(spark, found, root, batch_id).checkpoint()
+        return batch.unionByName(repaired)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         snapshot.claim(spark, root, spark.sparkContext.getLocalProperty("sql.streaming.queryId"))
         batch = batch.persist()     # written, then read for the tick: one pass
         try:
-            snapshot.write(batch, root, batch_id, day_of="bucket_ms", files=files)
+            rows = with_late(batch, batch_id) if late is not None else batch
+            snapshot.write(rows, root, batch_id, day_of="bucket_ms", files=files)
             if after is not None:
                 after(batch, batch_id)
         finally:
@@ -205,10 +221,24 @@ def _start(df: DataFrame, name: str, out_root: str, ckpt_root: str, trigger: dic
 
     ensure_checkpoint_dir(df.sparkSession)
     return (df.writeStream.queryName(name).outputMode("update")
-            .option("checkpointLocation", f"{ckpt_root.rstrip('/')}/{name}")
+            .option("checkpointLocation", ckpt)
             .trigger(**trigger).foreachBatch(sink).start())
 
 
+def late_of(spark: SparkSession, name: str, stage_dir: str, tz: str = C.LABEL_TZ) -> LT.LateRows:
+    """How the table takes in the late rows of a staged stream."""
+    def reread(files: list[str]) -> DataFrame:
+        return _staged(spark.read.schema(STAGED_EVENT).option("basePath", stage_dir).parquet(*files))
+
+    start = int(hour_window_start(tz).split()[0]) * C.MINUTE_MS
+    cells, width, start = {
+        "counters": (minute_counters, C.MINUTE_MS, 0),
+        "topvideos_m": (lambda ev: video_tier(ev, "minute"), C.MINUTE_MS, 0),
+        "topvideos_h": (lambda ev: video_tier(ev, "hour", tz), C.HOUR_MS, start),
+        "last_seen": (last_seen_minutes, C.MINUTE_MS, 0)}[name]
+    return LT.LateRows(reread, cells, KEYS[name], width, start)
+
+
 def start_counters(events: DataFrame, out_root: str, ckpt_root: str, trigger: dict, **kw) -> StreamingQuery:
     """The minute counters alone (AGG-1..3)."""
     return _start(minute_counters(events), "counters", out_root, ckpt_root, trigger, **kw)
@@ -244,7 +274,11 @@ def staged_events(spark: SparkSession, stage_dir: str, max_files_per_trigger: in
     r = spark.readStream.schema(STAGED_EVENT)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return (r.parquet(stage_dir).where(~F.col("rejected")).select("metric", "ts_ms", "video", "uid")
+    return _staged(r.parquet(stage_dir))
+
+
+def _staged(rows: DataFrame) -> DataFrame:
+    return (rows.where(~F.col("rejected")).select("metric", "ts_ms", "video", "uid")
             .withColumn("ts", tm.ms_to_instant("ts_ms")))
 
 
@@ -257,7 +291,8 @@ def staged_rejects(spark: SparkSession, stage_dir: str) -> DataFrame:
 def start(msgs: DataFrame | None, out_root: str, ckpt_root: str, trigger: dict | None = None,
           clock: str = "processing", trend_mode: str = "exact",
           events: DataFrame | None = None, tz: str = C.LABEL_TZ, publish: bool = True,
-          files: int = TABLE_FILES, compact_every: int = COMPACT_EVERY, strict: bool = False) -> MetricStreams:
+          files: int = TABLE_FILES, compact_every: int = COMPACT_EVERY, strict: bool = False,
+          stage_dir: str | None = None) -> MetricStreams:
     """Start the four metric queries over one message stream.
 
     ``trigger`` defaults to ``{"processingTime": "60 seconds"}``; tests pass
@@ -265,7 +300,8 @@ def start(msgs: DataFrame | None, out_root: str, ckpt_root: str, trigger: dict |
     on a cluster.  Each query reads its input on its own; pass ``events``
     (``staged_events`` behind ``start_staging``) instead of ``msgs`` so the
     JSON is parsed once for all four instead of once per query.  ``publish=False``
-    leaves publication to ``start_ticker``.
+    leaves publication to ``start_ticker``.  ``stage_dir``: the folder ``events``
+    come from; late rows are then looked up there and added (``streaming.late``).
     """
     trigger = trigger or {"processingTime": "60 seconds"}
     ev = events if events is not None else events_stream(msgs, strict)
@@ -282,7 +318,8 @@ def start(msgs: DataFrame | None, out_root: str, ckpt_root: str, trigger: dict |
             pub.users(batch.sparkSession, tick)
 
     def query(df: DataFrame, name: str, after=None) -> StreamingQuery:
-        return _start(df, name, out_root, ckpt_root, trigger, after if publish else None, files, compact_every)
+        late = late_of(ev.sparkSession, name, stage_dir, tz) if stage_dir else None
+        return _start(df, name, out_root, ckpt_root, trigger, after if publish else None, files, compact_every, late)
 
     return MetricStreams(
         counters=query(minute_counters(ev), "counters"),
