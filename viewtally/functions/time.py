@@ -7,6 +7,8 @@ independent of ``spark.sql.session.timeZone``.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -149,3 +151,8 @@ def minute_list_of_hour_ago(ms, hour_ago: int, tz: str = C.LABEL_TZ) -> Column:
     last = hour_start(start, tz) + F.lit(C.HOUR_MS - C.MINUTE_MS).cast("bigint")
     arr = F.sequence(last, start, F.lit(-C.MINUTE_MS).cast("bigint"))
     return F.transform(arr, lambda x: minute_label(x, tz))
+
+
+def now_ms() -> int:
+    """The driver's wall clock."""
+    return int(time.time() * 1000)

@@ -21,6 +21,7 @@ from viewtally.operators import audience as A
 from viewtally.operators import counters as K
 from viewtally.operators import ledger as L
 from viewtally.operators import trending as TR
+from viewtally.operators.ranking import rank_members
 from viewtally.operators.ticks import TickGrid, every_minutes, hourly_at
 from viewtally.plans import ingest as I
 from viewtally.plans.sizing import share
@@ -31,6 +32,7 @@ from viewtally.sources import messages as M
 from viewtally.streaming import keyed as KD
 from viewtally.streaming import late as LT
 from viewtally.streaming import metrics as SM
+from viewtally.streaming import running as RT
 
 PREFIX = "test"
 # A previous ingestion run stopped here (2024-01-15 00:00 UTC); one partition
@@ -46,7 +48,6 @@ ALT_TZ = "Asia/Kolkata"
 CORRUPT_EVERY = 10
 APPROX_TOLERANCE = 0.05
 MINUTES_BACK = 5
-STORED_DAY = "2024_01_15"
 LATE_EVERY = 10
 HEARTBEAT = "heartbeat"
 
@@ -309,13 +310,12 @@ def json_schema_columns(spark, sf_dir):
 
 
 def parquet_round_trip(spark, sf_dir):
-    """SNK-1, SNK-5: typed rows of all days to the day-partitioned store, one
-    day read back (a directory filter)."""
+    """SNK-1, SNK-5: typed rows of all days to the day-partitioned store and
+    back."""
     path = f"{_work_folder(spark, 'logs')}/typed"
     rows = P.typed_log_rows(_messages(spark, sf_dir))
     PS.write_logs(rows.where(F.col("reject_reason").isNull()).drop("reject_reason", "key", "value"), path)
-    return (PS.read_logs(spark, path).where(F.col("log_day") == STORED_DAY)
-            .select("metric", "log_date", "viewer", "video", "order", "msg_id"))
+    return PS.read_logs(spark, path).select("log_day", "metric", "log_date", "viewer", "video", "order", "msg_id")
 
 
 def stream_minute_counters(spark, sf_dir):
@@ -376,6 +376,27 @@ def active_periods(spark, sf_dir):
         "metric", "uid", tm.ms_to_ntz("since_ms").alias("since"), tm.ms_to_ntz("last_ms").alias("last"), "n")
 
 
+def trend_rank(spark, sf_dir):
+    """RNK-1: every video's rank at every hourly tick."""
+    grid = _grid(spark, sf_dir, hourly_at(30))
+    ranked = rank_members(TR.trending(_views(spark, sf_dir), grid, mode="exact"))
+    return ranked.select(tm.ms_to_ntz("tick_ms").alias("tick"), "video", "n", "rank")
+
+
+def live_trend(spark, sf_dir):
+    """STR-3 live: the running trend at the newest event, over two runs from
+    one checkpoint, every video ranked."""
+    folder = _work_folder(spark, "trend")
+    ev = _parsed(spark, sf_dir).select("metric", "ts_ms", "video")
+    before = F.col("ts_ms") < PREVIOUS_RUN_CUTOFF_MS
+    for arrived in (before, ~before):
+        ev.where(arrived).write.mode("append").parquet(f"{folder}/in")
+        live = spark.readStream.schema("metric string, ts_ms bigint, video string").parquet(f"{folder}/in")
+        _finish(RT.start(live, f"{folder}/out", f"{folder}/checkpoint", {"availableNow": True}, clock="event"))
+    return RT.RunningTrend(spark, f"{folder}/out/trend").ranked().select(
+        tm.ms_to_ntz("tick_ms").alias("tick"), "video", "n", "rank")
+
+
 def _finish(query) -> None:
     try:
         query.awaitTermination()
@@ -419,4 +440,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_minute_counters": stream_minute_counters,
     "late_rows": late_rows,
     "active_periods": active_periods,
+    "trend_rank": trend_rank,
+    "live_trend": live_trend,
 }

@@ -8,7 +8,7 @@ The label zone (UTC+7, no DST since 1975) is a fixed 7-hour shift here.
 from __future__ import annotations
 
 from viewtally.plans.catalog import (CORRUPT_EVERY, LATE_EVERY, LEX_RANGE, MINUTES_BACK, PREVIOUS_RUN_CUTOFF_MS, PURGE_AT_MS,
-                                     STORED_DAY, TOP_K, UNLEDGERED)
+                                     TOP_K, UNLEDGERED)
 
 ALT_SHIFT_MS = 5 * 3_600_000 + 30 * 60_000   # the alternative zone, UTC+5:30 (no DST)
 
@@ -224,10 +224,10 @@ SELECT topic, partition, count(*) AS n, count(*) AS n_ids FROM msgs GROUP BY ALL
     "json_schema_columns": f"""WITH {MSGS}, keyed AS (SELECT topic, unnest(json_keys(value)) AS "column" FROM msgs)
 SELECT topic, "column", count(*) AS n FROM keyed GROUP BY ALL""",
     "parquet_round_trip": f"""WITH {MSGS}
-SELECT metric, {_ts('ts_ms')} AS log_date, json_extract_string(value, '$.viewer') AS viewer,
-       json_extract_string(value, '$.video') AS video, json_extract_string(value, '$.order') AS "order",
+SELECT strftime({_ts('ts_ms')}, '%Y_%m_%d') AS log_day, metric, {_ts('ts_ms')} AS log_date,
+       json_extract_string(value, '$.viewer') AS viewer, json_extract_string(value, '$.video') AS video, json_extract_string(value, '$.order') AS "order",
        topic || '-' || CAST(partition AS VARCHAR) || '-' || CAST("offset" AS VARCHAR) AS msg_id
-FROM msgs WHERE strftime({_ts('ts_ms')}, '%Y_%m_%d') = '{STORED_DAY}'""",
+FROM msgs""",
     "stream_minute_counters": f"""WITH {EV}
 SELECT metric, {_ts('(ts_ms // 60000) * 60000')} AS bucket, count(*) AS n
 FROM ev GROUP BY metric, (ts_ms // 60000) * 60000""",
@@ -244,4 +244,12 @@ starts AS (
 periods AS (SELECT *, sum(fresh) OVER (PARTITION BY metric, uid ORDER BY ts_ms ROWS UNBOUNDED PRECEDING) AS k FROM starts)
 SELECT metric, uid, {_ts('min(ts_ms)')} AS since, {_ts('max(ts_ms)')} AS last, count(*) AS n
 FROM periods GROUP BY metric, uid, k""",
+    "trend_rank": f"""WITH {EV}, {BOUNDS}, {TICKS30}, tr AS ({TREND_EXACT_BODY})
+SELECT {_ts('tick_ms')} AS tick, video, n,
+       row_number() OVER (PARTITION BY tick_ms ORDER BY n DESC, video DESC) AS rank FROM tr""",
+    "live_trend": f"""WITH {EV},
+views AS (SELECT video, ts_ms, max(ts_ms) OVER () AS tick_ms FROM ev WHERE metric = 'pageview'),
+tr AS (SELECT tick_ms, video, count(*) AS n FROM views
+       WHERE ts_ms >= (tick_ms // 60000) * 60000 - 5 * 3600000 GROUP BY tick_ms, video)
+SELECT {_ts('tick_ms')} AS tick, video, n, row_number() OVER (ORDER BY n DESC, video DESC) AS rank FROM tr""",
 }

@@ -66,7 +66,8 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def _names(spark: SparkSession, path: str) -> list[str]:
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, ascending; none if it is not there."""
     fs, p = _fs(spark, path)
     return sorted(f.getPath().getName() for f in fs.listStatus(p)) if fs.exists(p) else []
 
@@ -76,7 +77,7 @@ def _make(spark: SparkSession, path: str) -> None:
     fs.mkdirs(p)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
 
@@ -84,18 +85,18 @@ def _remove(spark: SparkSession, path: str) -> None:
 def claim(spark: SparkSession, root: str, owner: str) -> None:
     """Mark the table as the stream's own.  Another stream (a new checkpoint
     counts its batches from 0 again, so older rows would win) is refused."""
-    owners = _names(spark, f"{root}/_owner")
+    owners = names(spark, f"{root}/_owner")
     if not owners:
         _make(spark, f"{root}/_owner/{owner}")
-        owners = _names(spark, f"{root}/_owner")
+        owners = names(spark, f"{root}/_owner")
     if owners != [owner]:
         raise RuntimeError(f"{root} belongs to stream {owners}: keep its checkpoint or write to another folder")
 
 
 def _day_batches(spark: SparkSession, root: str) -> dict[str, list[int]]:
     """Batch numbers of the folders of each day."""
-    return {day: sorted(int(n.split("=")[1]) for n in _names(spark, f"{root}/{day}") if n.startswith("batch_id="))
-            for day in _names(spark, root) if day.startswith("day=")}
+    return {day: sorted(int(n.split("=")[1]) for n in names(spark, f"{root}/{day}") if n.startswith("batch_id="))
+            for day in names(spark, root) if day.startswith("day=")}
 
 
 def compact(spark: SparkSession, root: str, keys: list[str], upto: int, every: int) -> None:
@@ -108,14 +109,14 @@ def compact(spark: SparkSession, root: str, keys: list[str], upto: int, every: i
     if a crash repeats a merge, rows are there twice under numbers that read the same.
     """
     days = _day_batches(spark, root)
-    for mark in _names(spark, f"{root}/_merged"):
+    for mark in names(spark, f"{root}/_merged"):
         lo, hi = map(int, mark.split("-"))
         if hi >= upto:
             continue
         for day, ids in days.items():
             for i in [i for i in ids if lo <= i <= hi][:-1]:
-                _remove(spark, f"{root}/{day}/batch_id={i}")
-        _remove(spark, f"{root}/_merged/{mark}")
+                remove(spark, f"{root}/{day}/batch_id={i}")
+        remove(spark, f"{root}/_merged/{mark}")
     lo = upto - every + 1
     for day, ids in days.items():
         paths = [f"{root}/{day}/batch_id={i}" for i in ids if lo <= i <= upto]
@@ -130,7 +131,7 @@ def compact(spark: SparkSession, root: str, keys: list[str], upto: int, every: i
 def remember(spark: SparkSession, path: str, batch_id: int, value) -> int | None:
     """``value(previous)`` of a batch, computed once: a replayed batch gets the
     stored one.  ``previous`` is that of the batch before (None: there is none)."""
-    seen = {int(n.split(".")[0]): int(n.split(".")[1]) for n in _names(spark, path)}
+    seen = {int(n.split(".")[0]): int(n.split(".")[1]) for n in names(spark, path)}
     if batch_id in seen:
         return seen[batch_id]
     earlier = [b for b in seen if b < batch_id]
@@ -138,7 +139,7 @@ def remember(spark: SparkSession, path: str, batch_id: int, value) -> int | None
     if got is not None:
         _make(spark, f"{path}/{batch_id}.{got}")
         for b in sorted(earlier)[:-1]:      # the two newest are enough for a replay
-            _remove(spark, f"{path}/{b}.{seen[b]}")
+            remove(spark, f"{path}/{b}.{seen[b]}")
     return got
 
 
