@@ -18,6 +18,7 @@ meets in one task.
 from __future__ import annotations
 
 import functools
+import gc
 import os
 import re
 from collections.abc import Iterator
@@ -34,8 +35,8 @@ CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 0              # closes a document
 
-#: words whose ids a Python worker remembers, and the longest it does (bytes)
-CACHE_WORDS, CACHE_LENGTH = 1 << 19, 64
+#: parts of words whose ids a Python worker remembers, and the longest it does
+CACHE_WORDS, CACHE_LENGTH = 600_000, 64
 #: rows of the plan that are broadcast; a plan is joined beyond that
 PLAN_ROWS = 2_000_000
 DIGIT_SIZE = 4          # bytes of a stored id
@@ -49,76 +50,74 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 class WordIds:
     """Token ids of texts as little-endian 32-bit numbers.
 
-    The tokenizer cuts texts at white space before anything else and drops it,
-    so a text's ids are those of its words.  It composes and lower-cases a word
-    and cuts it into runs of letters, single digits and runs of anything else
-    before it merges.  For a word of ASCII and of composed Western letters, without
-    the start of a special token, that is done here, so that words which differ
-    in case or punctuation share their parts.  Words and parts are encoded once
-    while remembered; any other word goes through the tokenizer whole."""
+    The tokenizer composes and lower-cases a text, drops white space and cuts
+    the rest into runs of letters, single digits and runs of anything else; each
+    part is merged on its own.  For a text of ASCII and of composed Western letters
+    without the start of a special token that is done here, and a part is
+    encoded once while remembered.  Other texts are cut at white space only, and
+    of their words those that are not plain go through the tokenizer whole."""
 
-    #: words cut here, and the tokenizer's own cut of them in lower case
+    #: what is cut here, and the tokenizer's own cut of it in lower case
     PLAIN = re.compile("[\x00-\x7f\xc0-\xd6\xd8-\xf6\xf8-\xff]*")
-    PART = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff]+")
+    PART = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^\t-\r a-z0-9\xdf-\xf6\xf8-\xff]+")
+    WORD = re.compile("[^\t-\r ]+")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"     # one task, one core
         from tokenizers import Tokenizer
         self.model = Tokenizer.from_file(path)
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def plain(self, text: str) -> bool:
+        return self.PLAIN.fullmatch(text) is not None and "<|" not in text
+
+    def cut(self, text: str) -> list[str]:
+        """Parts, and words that are none, in order."""
+        if self.plain(text):
+            return self.PART.findall(text.lower())
+        return [x for w in self.WORD.findall(text) for x in (self.PART.findall(w.lower()) if self.plain(w) else (w,))]
 
     def _whole(self, word: str) -> bytes:
         return np.array(self.model.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _encode_parts(self, parts: list[str]) -> None:
-        """Many parts in one call: each is one word to the tokenizer, which
-        tells the word of every id."""
+    def encode(self, new: list[str]) -> None:
+        """Learn parts and words.  Many parts go in one call: each is one word
+        to the tokenizer, which tells the word of every id."""
+        parts = [x for x in new if self.plain(x)]
         for at in range(0, len(parts), 4096):
             some = parts[at:at + 4096]
             e = self.model.encode(" ".join(some), add_special_tokens=False)
             cuts = np.flatnonzero(np.diff(np.array(e.word_ids, dtype=np.int64))) + 1
             told, cuts = np.array(e.ids, dtype="<u4").tobytes(), [0, *cuts.tolist(), len(e.ids)]
             if len(cuts) == len(some) + 1:
-                self.parts.update((p, told[4 * a:4 * b]) for p, a, b in zip(some, cuts, cuts[1:]))
-            else:
-                self.parts.update((p, self._whole(p)) for p in some)
-
-    def learn(self, words: set[bytes]) -> None:
-        cut, get = {}, self.parts.__getitem__
-        for w in words:
-            text = w.decode()
-            if self.PLAIN.fullmatch(text) and "<|" not in text:
-                cut[w] = self.PART.findall(text.lower())
+                self.known.update((p, told[4 * a:4 * b]) for p, a, b in zip(some, cuts, cuts[1:]))
             else:
-                self.words[w] = self._whole(text)
-        need = {p for parts in cut.values() for p in parts if p not in self.parts}
-        if len(self.parts) + len(need) > CACHE_WORDS:
-            self.parts.clear()
-            need = {p for parts in cut.values() for p in parts}
-        self._encode_parts(list(need))
-        self.words.update((w, b"".join(map(get, parts))) for w, parts in cut.items())
-        for p in need:
-            if len(p) > CACHE_LENGTH:
-                del self.parts[p]
-
-    def ids(self, text: str) -> bytes:
-        words = text.encode().split()
-        new = {w for w in words if w not in self.words}
-        if len(self.words) + len(new) > CACHE_WORDS:
-            self.words.clear()
-            new = set(words)
-        if new:
-            self.learn(new)
-        out = b"".join(map(self.words.__getitem__, words))
-        for w in new:
-            if len(w) > CACHE_LENGTH:
-                del self.words[w]
+                self.known.update((p, self._whole(p)) for p in some)
+        self.known.update((x, self._whole(x)) for x in new if x not in self.known)
+
+    def ids(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text.  What is new to the worker is encoded together; it
+        is forgotten when two halves of the memory have filled without it."""
+        if len(self.known) > CACHE_WORDS // 2:
+            self.known, self.older = {}, self.known
+        cut = [self.cut(t) if t else [] for t in texts]
+        new = set().union(*cut).difference(self.known)
+        again = new & self.older.keys()
+        self.known.update((x, self.older[x]) for x in again)
+        new = list(new - again)
+        self.encode(new)
+        get = self.known.__getitem__
+        out = [b"".join(map(get, parts)) for parts in cut]
+        for x in new:
+            if len(x) > CACHE_LENGTH:
+                del self.known[x]
         return out
 
 
 @functools.lru_cache(2)
 def _word_ids(path: str) -> WordIds:
+    gc.disable()    # in a worker: many small objects, no cycles
     return WordIds(path)
 
 
@@ -137,8 +136,8 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = No
         for batch in batches:
             rows = batch.to_pydict()
             doc, piece, start, length, ids = [], [], [], [], []
-            for d, text in zip(rows["doc_id"], rows["text"]):
-                told = words.ids(text or "") + end
+            for d, told in zip(rows["doc_id"], words.ids(rows["text"])):
+                told += end
                 for k, at in enumerate(range(0, len(told), step)):
                     part = told[at:at + step]
                     doc.append(d)
