@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 from viewtally.llm.common import bounded_sample, stage, text_batches
 
 SAMPLE = 10000      # labelled rows of each class that the model is fitted on
-TERMS = 50000       # tokens the model keeps, clearest first
 CLEAR = 3.0         # least |z| of a kept token
 PRIOR = 0.05        # weight of the prior, as a share of the training documents
 DRIFT = 0.05        # taken off for every token
@@ -153,7 +152,8 @@ def _terms(sample: DataFrame, n0: int, n1: int) -> dict[str, float]:
     odds = lambda c, n: F.log((c + a) / (n + a0 - c - a))
     scored = (counts.withColumn("s", odds(F.col("c1"), float(n1)) - odds(F.col("c0"), float(n0)))
               .withColumn("z", F.col("s") / F.sqrt(1 / (F.col("c1") + a) + 1 / (F.col("c0") + a))))
-    clear = scored.filter(F.abs("z") >= CLEAR).orderBy(F.abs("z").desc(), "w").limit(TERMS)
+    # every clear token; the sample of rows is what bounds them
+    clear = scored.filter(F.abs("z") >= CLEAR)
     return {r["w"]: r["s"] for r in clear.select("w", "s").collect()}
 
 
@@ -176,13 +176,17 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, rounds: int = 5
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE) -> Model:
     """Fit on the rows of ``docs`` that ``learn`` admits and ``labels``
     (doc_id, toxic 0 or 1) covers; null texts and other labels teach nothing.
-    A document with two labels counts once for each.  Without both classes
-    every text gets the same low score."""
+    A document with two labels counts once for each, and a doc_id that repeats
+    is one document (of several texts the one with the least hash), so at most
+    ``2 * sample`` rows are learnt from.  Without both classes every text gets the same
+    low score."""
     rows = labels.filter(learn & F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").cast("int")).distinct()
     chosen = bounded_sample(rows, "toxic", "doc_id", sample)
     # at most 2 * sample ids
     drawn = stage(docs.select("doc_id", F.col("text").cast("string").alias("text")).filter("text is not null")
-                  .join(F.broadcast(chosen), "doc_id"), "sample")
+                  .join(F.broadcast(chosen), "doc_id")
+                  # kept before the shuffle: an id on many rows moves once a task
+                  .groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text")), "sample")
     n = {r["toxic"]: r["n"] for r in drawn.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n0, n1 = n.get(0, 0), n.get(1, 0)
     if not n0 or not n1:
