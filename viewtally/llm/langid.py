@@ -7,8 +7,9 @@ Word scores are summed over the whole text.
 
 The model knows every language that labels a row.  It is fitted on a bounded
 sample of the labelled rows (``SAMPLE`` rows per language, by hash of the id),
-counted in Spark; the tables keep at most ``WORDS`` words and ``GRAMS`` n-grams
-per order and language, and of a token only the languages that use it.
+counted in Spark; the tables keep all words and n-grams of the sample, and of a
+token only the languages that use it.  Their entries are counted before they are
+collected and broadcast: a sample that gives more than ``ENTRIES`` is halved.
 """
 
 from __future__ import annotations
@@ -21,15 +22,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from viewtally.llm.common import bounded_sample, ranges, stage, text_batches
 
 SAMPLE = 1000       # labelled rows per language that the model is fitted on
-WORDS = 20000       # known words per language
-GRAMS = 20000       # known n-grams per order and language
+ENTRIES = 10_000_000    # (token, language) pairs of the model at most; 20 bytes each and the tokens
 ORDERS = (4, 3, 2, 1)
 NONE = "und"
 MIN_KNOWN = 0.5     # known share of a text's letters; below it the pipeline rejects a document
@@ -88,8 +88,8 @@ class Reader:
     """Predicts with a model; remembers the scores of up to ``CACHE`` words, of
     fewer if the languages are many."""
 
-    def __init__(self, model: Model):
-        self.m, self.at = model, {}
+    def __init__(self, model: Model, letters: bool = True):
+        self.m, self.at, self.letters = model, {}, letters
         self.most = min(CACHE, max(1, CELLS // max(1, len(model.langs))))
         # scores, then letters and known letters
         self.scores = np.zeros((self.most, len(model.langs) + 2))
@@ -129,7 +129,8 @@ class Reader:
                 self.at[w] = i
             to = self.scores[first:first + len(new)]
             to[:, :-2] = self.m.rows.means(np.array(ids), np.array(sizes))
-            to[:, -2:] = [self._letters(w) for w in new]
+            if self.letters:
+                to[:, -2:] = [self._letters(w) for w in new]
         at = self.at
         return n @ self.scores[[at[w] for w in words]]
 
@@ -146,14 +147,8 @@ class Reader:
                     for k in range(0, len(words), self.most))
         total, (letters, known) = total[:-2], total[-2:]
         best = int(total.argmax())
-        return self.m.langs[best], float(1 / np.exp(np.minimum(total - total[best], 0)).sum()), float(known / letters)
-
-
-def _table(counts: DataFrame, token: str, keep: int) -> pa.Table:
-    """The ``keep`` most frequent tokens of each language (and order)."""
-    groups = [c for c in counts.columns if c not in (token, "n")]
-    top = Window.partitionBy(*groups).orderBy(F.col("n").desc(), token)
-    return (counts.withColumn("k", F.row_number().over(top)).filter(F.col("k") <= keep).drop("k")).toArrow()
+        return self.m.langs[best], float(1 / np.exp(np.minimum(total - total[best], 0)).sum()), \
+            float(known / letters) if self.letters else 0.0
 
 
 def _scores(rows: pa.Table, langs: list[str], token: str) -> tuple[dict[str, int], Scores]:
@@ -181,18 +176,38 @@ def _joined(parts: list[Scores], langs: int) -> Scores:
                   np.concatenate([p.lang for p in parts]), np.concatenate([p.more for p in parts]))
 
 
-def fit(labelled: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams: int = GRAMS) -> Model:
+def fit(labelled: DataFrame, sample: int = SAMPLE, entries: int = ENTRIES) -> Model:
     """Fit on ``labelled`` (doc_id, text, lang): rows with null lang or no
-    letter teach nothing; languages tie by name."""
+    letter teach nothing; languages tie by name.  At most ``sample`` rows of a
+    language are learnt from, half as many for as long as the model would have more
+    than ``entries`` (token, language) pairs."""
     rows = labelled.filter("lang is not null and text is not null").select("doc_id", "text", "lang")
     # ids and languages written once: choosing the sample reads no text again
     ids = stage(rows.select("doc_id", "lang"), "labelled")
     langs = sorted(r["lang"] for r in ids.select("lang").distinct().collect())
     if not langs:
         return Model([], {}, {}, np.zeros((1, 0)))
+    while True:
+        counted, pieces = _counts(rows, ids, sample, len(langs))
+        if sample == 1 or counted.filter("n > 1").count() + pieces.count() <= entries:
+            break
+        sample = max(1, sample // 2)
+    # words seen once say no more than their n-grams
+    vocabulary, table = _scores(counted.filter("n > 1").toArrow(), langs, "w")
+    parts, by_n, kept = [table], {}, pieces.toArrow()
+    for o in ORDERS:
+        place, table = _scores(kept.filter(pc.equal(kept["o"], o)), langs, "g")
+        first = sum(map(len, parts))
+        by_n[o] = {g: first + i for g, i in place.items()}
+        parts.append(table)
+    return Model(langs, vocabulary, by_n, _joined(parts, len(langs)))
+
+
+def _counts(rows: DataFrame, ids: DataFrame, sample: int, langs: int) -> tuple[DataFrame, DataFrame]:
+    """Words (lang, w, n) and n-grams (lang, o, g, n) of the sample."""
     chosen = bounded_sample(ids, "lang", "doc_id", sample).distinct()
     # at most so many ids of two short columns
-    docs = rows.join(F.broadcast(chosen) if sample * len(langs) <= BROADCAST_IDS else chosen, ["doc_id", "lang"])
+    docs = rows.join(F.broadcast(chosen) if sample * langs <= BROADCAST_IDS else chosen, ["doc_id", "lang"])
     found = F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), F.lit(1)))
     counted = stage(docs.select("lang", found.alias("w")).groupBy("lang", "w").agg(F.count(F.lit(1)).alias("n")),
                     "words")
@@ -206,23 +221,17 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams: in
     cut = F.flatten(F.array(*map(pieces_of, ORDERS)))
     pieces = (counted.select("lang", "n", F.explode(cut).alias("c")).select("lang", "n", "c.o", "c.g")
               .filter("length(g) = o").groupBy("lang", "o", "g").agg(F.sum("n").alias("n")))
-    # words seen once say no more than their n-grams
-    vocabulary, table = _scores(_table(counted.filter("n > 1"), "w", words), langs, "w")
-    parts, by_n, kept = [table], {}, _table(pieces, "g", grams)
-    for o in ORDERS:
-        place, table = _scores(kept.filter(pc.equal(kept["o"], o)), langs, "g")
-        first = sum(map(len, parts))
-        by_n[o] = {g: first + i for g, i in place.items()}
-        parts.append(table)
-    return Model(langs, vocabulary, by_n, _joined(parts, len(langs)))
+    return counted, stage(pieces, "grams")
 
 
-def _predicted(rows: DataFrame, model: Model) -> DataFrame:
-    """``rows`` (first column the text) with lang_pred, score and known."""
+def _predicted(rows: DataFrame, model: Model, letters: bool = True) -> DataFrame:
+    """``rows`` (first column the text) with lang_pred, score and known (the
+    share of known letters, which costs a look at every new word's; 0 without
+    ``letters``)."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(shared.value)
+        reader = Reader(shared.value, letters)
         for b in it:
             got = [reader.predict(t) for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -250,7 +259,7 @@ def predict_languages(docs: DataFrame, model: Model) -> DataFrame:
     """
     rows = docs.select(F.col("text").cast("string").alias("_t"), "doc_id")
     with text_batches(docs.sparkSession):
-        return stage(_predicted(rows, model).drop("_t", "known"), "languages")
+        return stage(_predicted(rows, model, letters=False).drop("_t", "known"), "languages")
 
 
 def keep_identified(docs: DataFrame, model: Model, min_known: float = MIN_KNOWN) -> DataFrame:
