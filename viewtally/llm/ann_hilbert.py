@@ -18,6 +18,7 @@ Equal vectors are indexed once, with their ``k + 1`` smallest ids.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -80,15 +81,12 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """_id, v of the vectors that take part: of the most frequent length, no
-    null or non-finite component, not all zero, id not null."""
-    rows = vectors.select(F.col("vec_id").cast("bigint").alias("_id"), F.col("embedding").alias("v")).filter(
+    """_id, v of the vectors that take part: no null or non-finite component,
+    not all zero, id not null."""
+    return vectors.select(F.col("vec_id").cast("bigint").alias("_id"), F.col("embedding").alias("v")).filter(
         F.col("_id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0)
         & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
         & F.exists("v", lambda x: x != 0))
-    size = rows.groupBy(F.size("v").alias("n")).agg(F.count(F.lit(1)).alias("c")) \
-        .orderBy(F.col("c").desc(), "n").first()
-    return rows.filter(F.size("v") == (size["n"] if size else 0))
 
 
 def _ranked(reps: DataFrame, dim: int, partitions: int) -> DataFrame:
@@ -188,17 +186,22 @@ def nearest(vectors: DataFrame, k: int = K, every: int = 50, block: int = BLOCK,
 
     ``vectors`` has vec_id and embedding; other columns are not looked at.
     Rows that take no part, as query or candidate: null ids, vectors that are null, empty, zero, or
-    hold null or non-finite components, and vectors of another length than
-    most.  A repeated vec_id is one row, with the least vector.  Fewer
+    hold null or non-finite components.  Vectors are compared with those of
+    their own length, by an index for each length.  A repeated vec_id is one row, with the least vector.  Fewer
     candidates than ``k`` are all returned; an empty table gives no rows.
     """
-    spark = vectors.sparkSession
-    schema = "query_id long, rank int, vec_id long, score double"
     rows = stage(usable(vectors).groupBy("_id").agg(F.min("v").alias("v")), "vectors")
-    one = rows.select(F.size("v").alias("n")).first()
-    if one is None:
-        return spark.createDataFrame([], schema)
-    dim = one["n"]
+    lengths = sorted(r["n"] for r in rows.select(F.size("v").alias("n")).distinct().collect())
+    found = [_nearest_of(rows.filter(F.size("v") == n) if len(lengths) > 1 else rows, n, k, every, block, sample, target)
+             for n in lengths]
+    if not found:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return reduce(DataFrame.union, found)
+
+
+def _nearest_of(rows: DataFrame, dim: int, k: int, every: int, block: int, sample: int, target: float) -> DataFrame:
+    """``nearest`` among vectors (_id, v) of one length."""
+    spark = rows.sparkSession
     # equal vectors once, with as many of their ids as a result can show
     least = Window.partitionBy("v").orderBy("_id")
     reps = (rows.withColumn("n", F.row_number().over(least)).filter(F.col("n") <= k + 1)
