@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF001
+from viewtally.plans.catalog import QUERIES
 from viewtally.sources import kafka as KF
 
 
@@ -12,7 +13,7 @@ def plan_text(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_nested_loop_or_cartesian(spark, name):
     p = plan_text(E.queries()[name](spark, SF001))
     assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p

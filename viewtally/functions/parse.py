@@ -137,6 +137,13 @@ def typed_log_rows(msgs: DataFrame, strict: bool = False) -> DataFrame:
                          message_id().alias("msg_id"), "topic", "partition", "offset", "reject_reason", "key", "value")
 
 
+def with_variant(rows: DataFrame, col: str = "data") -> DataFrame:
+    """Valid JSON text as a variant column ``payload`` (FLT-4: the database's
+    ``json`` type): parsed once at write, fields are read by path and type with
+    ``variant_get``, and rows with other fields or types share the schema."""
+    return rows.withColumn("payload", F.try_parse_json(col)).drop(col)
+
+
 def json_valid(col="data") -> Column:
     """JSON validity check of a text column (FLT-4)."""
     c = F.col(col) if isinstance(col, str) else col

@@ -25,6 +25,7 @@ from viewtally import config as C
 from viewtally import schemas as S
 from viewtally.functions.parse import topics_for
 from viewtally.sources import kafka as KF
+from viewtally.sources import log as LG
 from viewtally.sources import messages as M
 
 
@@ -48,11 +49,17 @@ def _table(spark: SparkSession, args) -> DataFrame:
 
 
 def job_metrics(spark: SparkSession, args) -> list:
+    from viewtally.streaming import keyed as KD
     from viewtally.streaming import metrics as SM
+    from viewtally.streaming import running as RT
+    from viewtally.streaming import sketches as SK
+    from viewtally.streaming.progress import ProgressTable, pool
     kw = dict(clock=args.clock, trend_mode=args.trend_mode, tz=args.tz, files=args.table_files,
               compact_every=args.compact_every)
     # by the wall clock a timer publishes, so an idle stream still moves on
     timer = args.clock == "processing" and not args.once
+    if args.progress:
+        spark.streams.addListener(ProgressTable(spark, args.progress))
     if args.direct:
         queries = SM.start(_stream(spark, args), args.out, args.checkpoint, _trigger(args), publish=not timer,
                            strict=args.strict, **kw).all()
@@ -64,6 +71,14 @@ def job_metrics(spark: SparkSession, args) -> list:
             stage.processAllAvailable()
         queries = [stage] + SM.start(None, args.out, args.checkpoint, _trigger(args), publish=not timer,
                                      events=SM.staged_events(spark, stage_dir), stage_dir=stage_dir, **kw).all()
+        events = SM.staged_events(spark, stage_dir)
+        more = {"trend": lambda: RT.start(events, args.out, args.checkpoint, _trigger(args), args.clock, args.compact_every),
+                "sketches": lambda: SK.start(events, args.out, args.checkpoint, _trigger(args), files=args.table_files),
+                "active": lambda: KD.start_active_users(events, args.out, args.checkpoint, _trigger(args),
+                                                        event_time=args.clock == "event")}
+        for name in args.also:
+            with pool(spark, name):
+                queries.append(more[name]())
     if timer:
         queries.append(SM.start_ticker(spark, args.out, args.checkpoint, args.batch_seconds, args.trend_mode, args.tz))
     return queries
@@ -79,7 +94,8 @@ def job_store(spark: SparkSession, args) -> list:
     if args.typed:
         return [SS.start_typed_parquet(msgs, args.out, args.checkpoint, _trigger(args), args.files, args.rejects,
                                        args.strict)]
-    return [SS.start_parquet(msgs, args.out, args.checkpoint, _trigger(args), args.files, args.rejects, args.strict)]
+    return [SS.start_parquet(msgs, args.out, args.checkpoint, _trigger(args), args.files, args.rejects, args.strict,
+                             args.variant)]
 
 
 def job_ingest(spark: SparkSession, args):
@@ -93,7 +109,10 @@ def job_ingest(spark: SparkSession, args):
         sink = I.parquet_sink(args.out)
     topics = topics_for(args.prefix, [args.metric] if args.metric else C.METRICS)
     msgs = latest = read = None
-    if args.input:
+    if args.input and args.format == "log":
+        latest = LG.latest_offsets(spark, args.input, topics)
+        read = lambda plan: LG.read_ranges(spark, args.input, plan)
+    elif args.input:
         msgs = _table(spark, args)
     else:
         # one plan from the broker's offsets and the ledger, then just its ranges
@@ -131,6 +150,9 @@ def parser() -> argparse.ArgumentParser:
     m.add_argument("--trend-mode", choices=["exact", "ttl"], default="exact")
     m.add_argument("--stage", help="folder for parsed compact events and rejects (default: <out>/_staged)")
     m.add_argument("--direct", action="store_true", help="no staging: each query parses the messages, rejects are dropped")
+    m.add_argument("--also", action="append", default=[], choices=["trend", "sketches", "active"],
+                   help="further tables from the staged stream: running trend, user sketches, active set by timers")
+    m.add_argument("--progress", help="folder for one row per query and batch")
     m.add_argument("--strict", action="store_true", help="fail on the first bad message")
     m.add_argument("--tz", default=C.LABEL_TZ, help="zone of the hour buckets")
     m.add_argument("--table-files", type=int, default=4, help="files of a table's day in one batch")
@@ -141,6 +163,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--out")
     s.add_argument("--files", type=int, help="files of a batch (default: by size)")
     s.add_argument("--typed", action="store_true", help="JSON fields as columns (Parquet only)")
+    s.add_argument("--variant", action="store_true", help="JSON as a variant column (Parquet only)")
     s.add_argument("--rejects", help="Parquet folder of rejected messages")
     s.add_argument("--strict", action="store_true", help="fail on the first bad message")
     s.add_argument("--jdbc-url")
@@ -152,7 +175,8 @@ def parser() -> argparse.ArgumentParser:
     i.add_argument("--prefix", default="prod")
     i.add_argument("--metric", choices=list(C.METRICS))
     i.add_argument("--input", help="message table instead of Kafka")
-    i.add_argument("--format", choices=["parquet", "json"], help="of --input (default: by its ending)")
+    i.add_argument("--format", choices=["parquet", "json", "log"],
+                   help="of --input (default: by its ending); log: Parquet laid out by topic and partition")
     i.add_argument("--rejects", help="Parquet folder of rejected messages (default: beside --out)")
     i.add_argument("--strict", action="store_true", help="fail on the first bad message")
     i.add_argument("--dense", action="store_true", help="fail if fewer messages are read than planned")
@@ -182,7 +206,8 @@ JOBS = {"metrics": job_metrics, "store": job_store, "ingest": job_ingest, "backf
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None):
     args = parser().parse_args(argv)
-    spark = spark or SparkSession.builder.appName(f"viewtally-{args.job}").getOrCreate()
+    spark = spark or (SparkSession.builder.appName(f"viewtally-{args.job}")
+                      .config("spark.scheduler.mode", "FAIR").getOrCreate())
     result = JOBS[args.job](spark, args)
     if args.job in ("metrics", "store") and not args.once:
         spark.streams.awaitAnyTermination()

@@ -26,13 +26,18 @@ from viewtally.operators.ticks import TickGrid, every_minutes, hourly_at
 from viewtally.plans import ingest as I
 from viewtally.plans.sizing import share
 from viewtally.session import ensure_checkpoint_dir
+from viewtally.sinks import by_key as BK
 from viewtally.sinks import parquet as PS
 from viewtally.sources import json as SJ
+from viewtally.sources import log as LG
 from viewtally.sources import messages as M
 from viewtally.streaming import keyed as KD
 from viewtally.streaming import late as LT
 from viewtally.streaming import metrics as SM
+from viewtally.streaming import progress as PG
 from viewtally.streaming import running as RT
+from viewtally.streaming import sketches as SK
+from viewtally.streaming import storage as SS
 
 PREFIX = "test"
 # A previous ingestion run stopped here (2024-01-15 00:00 UTC); one partition
@@ -397,6 +402,104 @@ def live_trend(spark, sf_dir):
         tm.ms_to_ntz("tick_ms").alias("tick"), "video", "n", "rank")
 
 
+def footer_offsets(spark, sf_dir):
+    """SRC-4, AGG-11: newest offsets of a laid-out log from its file footers."""
+    folder = _work_folder(spark, "log")
+    LG.write_log(_messages(spark, sf_dir), f"{folder}/log")
+    return LG.latest_offsets(spark, f"{folder}/log")
+
+
+def planned_read(spark, sf_dir):
+    """SRC-3, JOIN-1: what a previous run left, read from the laid-out log by
+    its plan's ranges."""
+    folder = _work_folder(spark, "log")
+    LG.write_log(_messages(spark, sf_dir), f"{folder}/log")
+    _latest, previous = _offsets(spark, sf_dir)
+    plan = L.check_plan(L.offset_plan(LG.latest_offsets(spark, f"{folder}/log"), previous), bootstrap=True)
+    return LG.read_ranges(spark, f"{folder}/log", plan).select(
+        "topic", "partition", "offset", P.metric_of_topic("topic").alias("metric"),
+        tm.ms_to_ntz(tm.key_to_ms("key")).alias("log_date"), P.message_id().alias("msg_id"))
+
+
+def sketch_users(spark, sf_dir):
+    """AGG-10: users per 6 minutes, hour and day from the sketches that a stream
+    stored over two runs: whether each estimate is within ``APPROX_TOLERANCE``
+    of the exact count, which stands beside it."""
+    folder = _work_folder(spark, "sketches")
+    ev = _parsed(spark, sf_dir).where(F.col("metric") == "pageview").select("metric", "ts_ms", "uid")
+    before = F.col("ts_ms") < PREVIOUS_RUN_CUTOFF_MS
+    for arrived in (before, ~before):
+        ev.where(arrived).write.mode("append").parquet(f"{folder}/in")
+        live = spark.readStream.schema("metric string, ts_ms bigint, uid string").parquet(f"{folder}/in")
+        _finish(SK.start(live.withColumn("ts", tm.ms_to_instant("ts_ms")), f"{folder}/out", f"{folder}/checkpoint",
+                         {"availableNow": True}))
+    stored, out = SK.read(spark, f"{folder}/out"), []
+    for label, grain in (("6 minutes", C.LAST_SEEN_HORIZON_MS), ("hour", C.HOUR_MS), ("day", C.DAY_MS)):
+        exact = ev.groupBy("metric", tm.floor_ms("ts_ms", grain).alias("period_ms")).agg(F.countDistinct("uid").alias("users"))
+        off = F.abs(F.col("approx_users") - F.col("users"))
+        out.append(exact.join(SK.users_per(stored, grain), ["metric", "period_ms"], "left").select(
+            F.lit(label).alias("grain"), tm.ms_to_ntz("period_ms").alias("period"), "users",
+            F.coalesce(off <= F.col("users") * APPROX_TOLERANCE, F.lit(False)).alias("close")))
+    return out[0].union(out[1]).union(out[2])
+
+
+def key_lookup(spark, sf_dir):
+    """SNK-8: one video's minute counts over all days, by key, from a table
+    written in three batches and compacted."""
+    folder = _work_folder(spark, "keys")
+    root, keys = f"{folder}/topvideos_m", ["bucket_ms", "video"]
+    cells = (_views(spark, sf_dir).groupBy((F.col("ts_ms") - F.pmod("ts_ms", F.lit(C.MINUTE_MS))).alias("bucket_ms"), "video")
+             .agg(F.count(F.lit(1)).alias("n"))).persist()
+    try:
+        third = F.pmod(F.xxhash64("bucket_ms", "video"), F.lit(3))
+        # earlier batches hold counts that later ones replace
+        for b in range(3):
+            BK.write(cells.where(third >= b).withColumn("n", F.when(third == b, F.col("n")).otherwise(F.lit(0))), root, b, "video",
+                     "bucket_ms")
+        BK.compact(spark, root, keys, "video", 1, 2)
+        wanted = cells.agg(F.min("video")).first()[0]
+    finally:
+        cells.unpersist()
+    return BK.lookup(spark, root, "video", wanted, keys, "bucket_ms bigint, video string, n bigint").select(
+        tm.ms_to_ntz("bucket_ms").alias("bucket"), "video", "n")
+
+
+def variant_fields(spark, sf_dir):
+    """FLT-4, SNK-1: payloads stored as variants in two batches, the second
+    with a number where the first has text, read back together by path."""
+    path = f"{_work_folder(spark, 'variant')}/logs"
+    rows = P.checked_log_rows(_messages(spark, sf_dir)).where(F.col("reject_reason").isNull()).drop("reject_reason", "key")
+    late = F.col("log_date") >= tm.ms_to_ntz(F.lit(PREVIOUS_RUN_CUTOFF_MS))
+    bare = F.regexp_replace("data", r'"timestamp":"(\d+)"', r'"timestamp":$1')
+    for batch in (rows.where(~late), rows.where(late).withColumn("data", bare)):
+        PS.write_logs(P.with_variant(batch), path)
+    field = lambda name, kind: F.variant_get("payload", f"$.{name}", kind)
+    return PS.read_logs(spark, path).select("metric", "msg_id", field("video", "string").alias("video"),
+                                            field("viewer", "string").alias("viewer"),
+                                            field("timestamp", "bigint").alias("sent_ms"))
+
+
+def progress_rows(spark, sf_dir):
+    """SNK-4, AGG-9: rows counted and rejected by the log stream, from its
+    progress table, over two runs from one checkpoint."""
+    folder = _work_folder(spark, "progress")
+    msgs = _messages(spark, sf_dir, corrupt_every=CORRUPT_EVERY).select(*S.MESSAGE.fieldNames())
+    before = tm.key_to_ms("key") < PREVIOUS_RUN_CUTOFF_MS
+    listener = PG.ProgressTable(spark, f"{folder}/progress")
+    spark.streams.addListener(listener)
+    try:
+        for arrived in (before, ~before):
+            msgs.where(arrived).write.mode("append").parquet(f"{folder}/in")
+            query = SS.start_parquet(spark.readStream.schema(S.MESSAGE).parquet(f"{folder}/in"), f"{folder}/out",
+                                     f"{folder}/checkpoint", {"availableNow": True})
+            _finish(query)
+        PG.wait_for(spark, f"{folder}/progress", query)
+    finally:
+        spark.streams.removeListener(listener)
+    own = PG.read_progress(spark, f"{folder}/progress").where(F.col("stream_id") == str(query.id))
+    return own.groupBy("query").agg(*[F.sum(c).cast("bigint").alias(c) for c in ("input_rows", "rows", "rejected", "dropped_late")])
+
+
 def _finish(query) -> None:
     try:
         query.awaitTermination()
@@ -442,4 +545,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "active_periods": active_periods,
     "trend_rank": trend_rank,
     "live_trend": live_trend,
+    "footer_offsets": footer_offsets,
+    "planned_read": planned_read,
+    "sketch_users": sketch_users,
+    "key_lookup": key_lookup,
+    "variant_fields": variant_fields,
+    "progress_rows": progress_rows,
 }

@@ -252,4 +252,25 @@ views AS (SELECT video, ts_ms, max(ts_ms) OVER () AS tick_ms FROM ev WHERE metri
 tr AS (SELECT tick_ms, video, count(*) AS n FROM views
        WHERE ts_ms >= (tick_ms // 60000) * 60000 - 5 * 3600000 GROUP BY tick_ms, video)
 SELECT {_ts('tick_ms')} AS tick, video, n, row_number() OVER (ORDER BY n DESC, video DESC) AS rank FROM tr""",
+    "footer_offsets": f"""WITH {MSGS}
+SELECT topic, part, CAST(until_off AS BIGINT) AS until_off FROM latest""",
+    "planned_read": f"""WITH {MSGS}
+SELECT m.topic, m.partition, m."offset", m.metric, {_ts('m.ts_ms')} AS log_date,
+       m.topic || '-' || CAST(m.partition AS VARCHAR) || '-' || CAST(m."offset" AS VARCHAR) AS msg_id
+FROM msgs m JOIN plan p ON m.topic = p.topic AND m.partition = p.part
+  AND m."offset" >= p.from_off AND m."offset" < p.until_off""",
+    "sketch_users": f"""WITH {EV}, grains AS (SELECT unnest(['6 minutes', 'hour', 'day']) AS grain, unnest([360000, 3600000, 86400000]) AS ms)
+SELECT grain, {_ts('(ts_ms // ms) * ms')} AS period, count(DISTINCT uid) AS users, true AS close
+FROM ev, grains WHERE metric = 'pageview' GROUP BY grain, ms, ts_ms // ms""",
+    "key_lookup": f"""WITH {EV}
+SELECT {_ts('(ts_ms // 60000) * 60000')} AS bucket, video, count(*) AS n
+FROM ev WHERE metric = 'pageview' AND video = (SELECT min(video) FROM ev WHERE metric = 'pageview')
+GROUP BY ts_ms // 60000, video""",
+    "variant_fields": f"""WITH {MSGS}
+SELECT metric, topic || '-' || CAST(partition AS VARCHAR) || '-' || CAST("offset" AS VARCHAR) AS msg_id,
+       json_extract_string(value, '$.video') AS video, json_extract_string(value, '$.viewer') AS viewer, ts_ms AS sent_ms
+FROM msgs""",
+    "progress_rows": f"""WITH {EV}
+SELECT 'log_parquet' AS "query", count(*) AS input_rows, count(*) AS "rows",
+       count(*) FILTER (event_id % {CORRUPT_EVERY} = 0) AS rejected, CAST(0 AS BIGINT) AS dropped_late FROM ev""",
 }

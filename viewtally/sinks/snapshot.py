@@ -82,6 +82,16 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file, replacing an older one."""
+    fs, p = _fs(spark, path)
+    stream = fs.create(p, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
 def claim(spark: SparkSession, root: str, owner: str) -> None:
     """Mark the table as the stream's own.  Another stream (a new checkpoint
     counts its batches from 0 again, so older rows would win) is refused."""
@@ -93,13 +103,14 @@ def claim(spark: SparkSession, root: str, owner: str) -> None:
         raise RuntimeError(f"{root} belongs to stream {owners}: keep its checkpoint or write to another folder")
 
 
-def _day_batches(spark: SparkSession, root: str) -> dict[str, list[int]]:
+def day_batches(spark: SparkSession, root: str) -> dict[str, list[int]]:
     """Batch numbers of the folders of each day."""
     return {day: sorted(int(n.split("=")[1]) for n in names(spark, f"{root}/{day}") if n.startswith("batch_id="))
             for day in names(spark, root) if day.startswith("day=")}
 
 
-def compact(spark: SparkSession, root: str, keys: list[str], upto: int, every: int) -> None:
+def compact(spark: SparkSession, root: str, keys: list[str], upto: int, every: int, layout=None,
+            options: dict | None = None) -> tuple[list[tuple[str, int]], list[tuple[str, int]]]:
     """Merge the folders of batches ``(upto - every, upto]`` of each day into
     that of the newest.  ``upto`` must be committed: no replay writes its
     folder again.
@@ -107,8 +118,12 @@ def compact(spark: SparkSession, root: str, keys: list[str], upto: int, every: i
     Merged rows are added to the newest folder, and the merged folders go one
     compaction later, when no reader can still have them open.  Until then, and
     if a crash repeats a merge, rows are there twice under numbers that read the same.
+
+    ``layout`` places the merged rows (by size without it), ``options`` go to
+    their writer.  Returns the (day, batch) folders removed and those merged into.
     """
-    days = _day_batches(spark, root)
+    removed, into = [], []
+    days = day_batches(spark, root)
     for mark in names(spark, f"{root}/_merged"):
         lo, hi = map(int, mark.split("-"))
         if hi >= upto:
@@ -116,6 +131,7 @@ def compact(spark: SparkSession, root: str, keys: list[str], upto: int, every: i
         for day, ids in days.items():
             for i in [i for i in ids if lo <= i <= hi][:-1]:
                 remove(spark, f"{root}/{day}/batch_id={i}")
+                removed.append((day, i))
         remove(spark, f"{root}/_merged/{mark}")
     lo = upto - every + 1
     for day, ids in days.items():
@@ -124,8 +140,11 @@ def compact(spark: SparkSession, root: str, keys: list[str], upto: int, every: i
             continue
         # computed before the folder it reads grows
         merged = newest(spark.read.option("basePath", root).parquet(*paths), keys).checkpoint()
-        merged.coalesce(1 + merged.count() // COMPACT_ROWS).write.mode("append").parquet(paths[-1])
+        merged = layout(merged) if layout else merged.coalesce(1 + merged.count() // COMPACT_ROWS)
+        merged.write.mode("append").options(**(options or {})).parquet(paths[-1])
+        into.append((day, max(i for i in ids if lo <= i <= upto)))
     _make(spark, f"{root}/_merged/{lo}-{upto}")
+    return removed, into
 
 
 def remember(spark: SparkSession, path: str, batch_id: int, value) -> int | None:

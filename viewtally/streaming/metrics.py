@@ -35,6 +35,7 @@ from viewtally.operators.trending import trend_at
 from viewtally.session import ensure_checkpoint_dir
 from viewtally.sinks import snapshot
 from viewtally.streaming import late as LT
+from viewtally.streaming.progress import pool
 
 KEYS = {"counters": ["metric", "bucket_ms"], "topvideos_m": ["bucket_ms", "video"],
         "topvideos_h": ["bucket_ms", "video"], "last_seen": ["metric", "uid", "bucket_ms"]}
@@ -123,7 +124,7 @@ class Publisher:
     clock: str = "processing"
     mode: str = "exact"
     tz: str = C.LABEL_TZ
-    files: int = 1      # of a published table
+    keep: int = 1440    # newest ticks of a published table that stay
 
     def _path(self, name: str) -> str:
         return f"{self.out_root.rstrip('/')}/{name}"
@@ -133,8 +134,13 @@ class Publisher:
         return snapshot.remember(batch.sparkSession, self._path(f"_ticks/{name}"), batch_id, value)
 
     def _publish(self, df: DataFrame, name: str, tick: int) -> None:
-        # one directory per tick (read back as the ``tick_ms`` column), overwritten on replay
-        df.repartition(self.files).write.mode("overwrite").parquet(f"{self._path(name)}/tick_ms={tick}")
+        # one directory per tick (read back as the ``tick_ms`` column), overwritten on replay;
+        # files by size: a large table is written by many tasks, a small one by one
+        df.hint("rebalance").write.mode("overwrite").parquet(f"{self._path(name)}/tick_ms={tick}")
+        spark = df.sparkSession
+        ticks = sorted(int(n.split("=")[1]) for n in snapshot.names(spark, self._path(name)) if n.startswith("tick_ms="))
+        for old in ticks[:-self.keep]:
+            snapshot.remove(spark, f"{self._path(name)}/tick_ms={old}")
 
     def _recent(self, spark: SparkSession, name: str, lo: int, tick: int, schema: str) -> DataFrame:
         found = snapshot.latest(spark, self._path(name), KEYS[name], snapshot.days_between(lo, tick),
@@ -220,9 +226,10 @@ def _start(df: DataFrame, name: str, out_root: str, ckpt_root: str, trigger: dic
             snapshot.compact(spark, root, KEYS[name], batch_id - 1, compact_every)
 
     ensure_checkpoint_dir(df.sparkSession)
-    return (df.writeStream.queryName(name).outputMode("update")
-            .option("checkpointLocation", ckpt)
-            .trigger(**trigger).foreachBatch(sink).start())
+    with pool(df.sparkSession, name):
+        return (df.writeStream.queryName(name).outputMode("update")
+                .option("checkpointLocation", ckpt)
+                .trigger(**trigger).foreachBatch(sink).start())
 
 
 def late_of(spark: SparkSession, name: str, stage_dir: str, tz: str = C.LABEL_TZ) -> LT.LateRows:

@@ -86,8 +86,11 @@ def start_typed_parquet(msgs: DataFrame, root: str, ckpt: str, trigger: dict | N
 
 
 def start_parquet(msgs: DataFrame, root: str, ckpt: str, trigger: dict | None = None,
-                  files: int | None = None, rejects: str | None = None, strict: bool = False) -> StreamingQuery:
-    """Good rows under ``root``, rejected ones under ``rejects`` (default ``<root>_rejects``)."""
+                  files: int | None = None, rejects: str | None = None, strict: bool = False,
+                  variant: bool = False) -> StreamingQuery:
+    """Good rows under ``root``, rejected ones under ``rejects`` (default ``<root>_rejects``).
+    ``variant``: the JSON as a ``payload`` column of type variant instead of text;
+    one schema for all topics and batches, whatever the fields' types."""
     rejects = rejects or f"{root.rstrip('/')}_rejects"
 
     def sink(batch: DataFrame, batch_id: int) -> None:
@@ -95,6 +98,7 @@ def start_parquet(msgs: DataFrame, root: str, ckpt: str, trigger: dict | None =
         batch = batch.persist()
         try:
             good, bad = _split(batch)
+            good = P.with_variant(good) if variant else good
             PS.write_batch(good, root, batch_id, files, skip_empty=False, run=run)
             PS.write_rejects(bad, f"{rejects}/run={run}/batch_id={batch_id}", "overwrite")
         finally:
