@@ -16,8 +16,8 @@ count.  Functions, keys and counts are broadcast while there are at most
 
 Both tokenizers cut before white space that follows anything else (but for the
 few characters, such as carriage returns, that pieces hold behind others), so a
-text's tokens are those of its chunks (white space and what follows it), and a
-chunk is encoded and aligned once while remembered.
+text's tokens are those of its chunks (white space and what follows it up to the
+end of a word), and a chunk is encoded and aligned once while remembered.
 """
 
 from __future__ import annotations
@@ -40,8 +40,10 @@ from viewtally.llm.common import stage, text_batches
 
 BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
+#: texts that a Python worker holds at a time
+BATCH_ROWS = 250
 #: chunks a Python worker remembers, and the longest it does (characters)
-CACHE_CHUNKS, CACHE_LENGTH = 400_000, 64
+CACHE_CHUNKS, CACHE_LENGTH = 300_000, 64
 #: pairs of a shard, about
 SHARD_PAIRS = 1 << 16
 #: counted rows of a dense vector's slice, about
@@ -54,6 +56,10 @@ FLUSH = 1 << 20     # pairs a task holds before it hands them on
 
 # Characters with the Unicode property White_Space.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# Letters and marks between which both tokenizers cut: ASCII and composed
+# Western letters, ASCII punctuation.
+LETTER = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
+MARK = r"!-/:-@\[-`{-~"
 
 
 def tokenizer_path(name: str) -> str:
@@ -118,7 +124,7 @@ class PieceTokens:
         from sentencepiece import SentencePieceProcessor
         self.model = m = SentencePieceProcessor(model_file=path)
         n = m.get_piece_size()
-        self.bytes_of, glue = {}, set()
+        self.bytes_of, glue, mixed = {}, set(), False
         inner = re.compile(f"(?<=[^{SPACE}])[{SPACE}]")
         for i in range(n):
             piece = m.id_to_piece(i)
@@ -130,12 +136,15 @@ class PieceTokens:
                 text = piece.replace("\u2581", " ")
                 self.bytes_of[i] = text.encode()
                 glue.update(inner.findall(text))
+                mixed = mixed or re.search(f"[{LETTER}][{MARK}]", text)
         self.sizes, self.spelt, self.spelt_last = _tables(self.bytes_of, ";")
         self.before = len(m.encode("x"))
         # white space that some piece holds behind something else cuts no chunk
         glue = "".join(f"\\x{ord(c):02x}" if ord(c) < 256 else c for c in sorted(glue))
         more = f"(?:[{glue}][{SPACE}]*[^{SPACE}]*)*" if glue else ""
-        self.chunks = re.compile(f"[{SPACE}]*[^{SPACE}]+{more}|[{SPACE}]+")
+        # nor does any piece hold a letter and what follows a word: words end chunks, too
+        word = f"[{SPACE}]*[{LETTER}]+(?=[{MARK}])|" if not mixed else ""
+        self.chunks = re.compile(f"{word}[{SPACE}]*[^{SPACE}]+{more}|[{SPACE}]+")
 
     def whole(self, text: str) -> list[int]:
         return self.model.encode(text)
@@ -151,6 +160,8 @@ class Aligner:
     def __init__(self, byte_path: str, piece_path: str):
         self.a, self.b = ByteTokens(byte_path), PieceTokens(piece_path)
         self.known: dict[str, Aligned | None] = {}
+        self.older: dict[str, Aligned | None] = {}
+        self.seen: set[int] = set()
 
     def align(self, a: list[int], b: list[int], want: bytes) -> Aligned | None:
         """None: the tokens of one don't spell ``want``."""
@@ -216,29 +227,47 @@ class Aligner:
             w0, g0, a0, b0 = w1, g1, a1, b1
         return out
 
+    def links(self, texts: list[str | None]) -> bytes:
+        """The links of all texts, without their groups."""
+        return self._read(texts, lambda found: b"".join([x[4] for x in found]), lambda x: x.links, b"".join)
+
     def texts(self, texts: list[str | None]) -> list[Aligned]:
-        """The alignment of each text; chunks new to the worker are encoded
-        together."""
-        known, out = self.known, []
-        if len(known) > CACHE_CHUNKS:
-            known.clear()
+        """The alignment of each text."""
+        def whole(found: list[Aligned]) -> Aligned:
+            n_a, n_b, n_groups, groups, links = zip(*found)
+            return Aligned(sum(n_a), sum(n_b), sum(n_groups), ";".join(groups), b"".join(links))
+        return self._read(texts, whole, lambda x: x, list)
+
+    def _read(self, texts: list[str | None], joined, single, collected):
+        """``collected`` over the texts: ``joined`` of their chunks, or
+        ``single`` of a text that is aligned whole.  Chunks new to the worker are encoded
+        together; one is remembered when it comes for the second time, and
+        forgotten when two halves of the memory have filled without it."""
+        if len(self.known) > CACHE_CHUNKS // 2:
+            self.known, self.older = {}, self.known
+        if len(self.seen) > CACHE_CHUNKS:
+            self.seen.clear()
+        known, older, out = self.known, self.older, []
         cut = [self.b.chunks.findall(" " + t) if t else [] for t in texts]
-        new = list({c for parts in cut for c in parts if c not in known})
+        new = set().union(*cut).difference(known)
+        again = new & older.keys()
+        known.update((c, older[c]) for c in again)
+        new = list(new - again)
         known.update(zip(new, self.align_all(new, self.a.all_ids(new), self.b.all_ids(new))))
         for text, parts in zip(texts, cut):
             found = [known[c] for c in parts]
             if not found:
-                out.append(NOTHING)
+                out.append(single(NOTHING))
             elif None not in found:
-                n_a, n_b, n_groups, groups, links = zip(*found)
-                out.append(Aligned(sum(n_a), sum(n_b), sum(n_groups), ";".join(groups), b"".join(links)))
+                out.append(joined(found))
             else:
                 text = " " + text
-                out.append(self.align(self.a.ids(text), self.b.whole(text[1:]), text.encode()) or NOTHING)
+                out.append(single(self.align(self.a.ids(text), self.b.whole(text[1:]), text.encode()) or NOTHING))
         for c in new:
-            if len(c) > CACHE_LENGTH:
+            if hash(c) not in self.seen or len(c) > CACHE_LENGTH:
+                self.seen.add(hash(c))
                 del known[c]
-        return out
+        return collected(out)
 
 
 @functools.lru_cache(2)
@@ -350,7 +379,7 @@ def pair_counts(docs: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
                                     pa.array(keys), pa.array(counts)], ["task", "cell", "key", "n"])
 
         for batch in batches:
-            links = np.frombuffer(b"".join([x.links for x in aligner.texts(batch.column(0).to_pylist())]), np.int64)
+            links = np.frombuffer(aligner.links(batch.column(0).to_pylist()), np.int64)
             k, n = np.unique(links, return_counts=True)
             keys, at = np.unique(np.concatenate((keys, k)), return_inverse=True)
             counts = np.bincount(at, np.concatenate((counts, n)), len(keys)).astype(np.int64) \
@@ -376,7 +405,7 @@ class PairTable(NamedTuple):
 def count_pairs(docs: DataFrame, byte_path: str, piece_path: str, shard_pairs: int = SHARD_PAIRS,
                 slice_rows: int = SLICE_ROWS) -> PairTable:
     spark = docs.sparkSession
-    with text_batches(spark):
+    with text_batches(spark, BATCH_ROWS):
         told = stage(pair_counts(docs, byte_path, piece_path), "pairs")
     keys = stage(told.select("cell", "key").distinct(), "keys")
     n_pairs, n_rows = keys.count(), told.count()
@@ -493,7 +522,7 @@ def _by_shards(docs: DataFrame, table: PairTable, byte_path: str, piece_path: st
                              for ks, ms in links], pa.list_(pa.struct([("cell", pa.int32()), ("key", pa.int64()), ("m", pa.int64())])))
             yield pa.record_batch([*columns, told], [*names, "links"])
 
-    with text_batches(docs.sparkSession):
+    with text_batches(docs.sparkSession, BATCH_ROWS):
         rows = stage(docs.mapInArrow(spell, _OWN + ", links array<struct<cell:int,key:bigint,m:bigint>>")
                      .withColumn("_rid", F.monotonically_increasing_id()), "links")
     links = rows.select("_rid", F.explode("links").alias("l")).select(
@@ -538,7 +567,7 @@ def align(docs: DataFrame, byte_path: str | None = None, piece_path: str | None
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     table = count_pairs(docs, byte_path, piece_path, shard_pairs, slice_rows)
     if table.n_pairs <= broadcast_pairs:
-        with text_batches(docs.sparkSession):
+        with text_batches(docs.sparkSession, BATCH_ROWS):
             return stage(_by_broadcast(docs, table, byte_path, piece_path), "aligned")
     return _by_shards(docs, table, byte_path, piece_path, slice_rows)
 
