@@ -73,6 +73,15 @@ def test_vectors_of_two_lengths_are_all_answered(spark):
         assert cos[r["rank"] - 1][1] == r.vec_id
 
 
+def test_of_rows_with_equal_id_and_text_one_stays_always_the_same(spark):
+    rows = [(1, "a", lang, src) for lang in ("de", "en", None) for src in ("x", "y", None)] + [(None, None, "en", "x"), (None, "", "de", "y")]
+    kept = []
+    for order in (rows, rows[::-1], rows[3:] + rows[:3]):
+        df = spark.createDataFrame(order, "doc_id long, text string, lang string, source string").repartition(len(kept) + 1)
+        kept.append(sorted(map(str, common.keep_rows(df, df.select(common.id_key("doc_id").alias("_id"), common.text_key().alias("_tk"))).collect())))
+    assert kept[0] == kept[1] == kept[2] and len(kept[0]) == 2
+
+
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_no_nested_loop_or_cartesian(spark, name):
     p = queries.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()

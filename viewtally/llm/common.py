@@ -66,10 +66,11 @@ def whole_row(docs: DataFrame) -> Column:
 
 def keep_rows(docs: DataFrame, keepers: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose (``_id``, ``_tk``) is in ``keepers``, one row
-    for each pair; all columns of ``docs``.  Texts move once, to the join."""
+    for each pair, all columns of ``docs``: of rows with equal id and text the
+    one whose columns have the least hash.  Texts move once, to the join."""
     keyed = docs.select(whole_row(docs), id_key("doc_id").alias("_id"), text_key().alias("_tk"))
     return (keyed.join(keepers.select("_id", "_tk"), ["_id", "_tk"], "left_semi")
-            .dropDuplicates(["_id", "_tk"]).select("_row.*"))
+            .groupBy("_id", "_tk").agg(F.min_by("_row", F.xxhash64("_row")).alias("_row")).select("_row.*"))
 
 
 def ordered(df: DataFrame, keys: list[str], name: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """Exact dedup: 128-bit content hash, then bytes compared inside the groups.
 
-DataFrame functions only.  Hashes travel first; texts move only for the join
-with the groups that hold two rows or more, which is where bytes are compared.
+DataFrame functions only.  Hashes travel first; then every text moves once, to a
+merge join with the groups that hold two rows or more (the same plan at every
+size), which is where bytes are compared.
 A row whose bytes differ from its group's representative (a hash collision)
 is regrouped by hash and full text, so it never merges with the others.
 """
