@@ -23,9 +23,10 @@ LG_K = 12
 
 def minute_sketches(events: DataFrame, lg_k: int = LG_K) -> DataFrame:
     """``metric, bucket_ms, sketch, last_ms`` per minute (of a stream: in
-    update mode, the counters' watermark bounds its state)."""
+    update mode, the counters' watermark bounds its state).  A null or empty
+    uid is no user."""
     ttl = max(s for _k, s in C.COUNTER_OF_METRIC.values())
-    return (events.where(F.col("uid").isNotNull()).withWatermark("ts", f"{ttl} seconds")
+    return (events.where(F.col("uid") != "").withWatermark("ts", f"{ttl} seconds")
             .groupBy("metric", F.window("ts", "1 minute"))
             .agg(F.hll_sketch_agg("uid", F.lit(lg_k)).alias("sketch"), F.max("ts_ms").alias("last_ms"))
             .select("metric", F.unix_millis("window.start").alias("bucket_ms"), "sketch", "last_ms"))
