@@ -102,6 +102,39 @@ def test_an_incomplete_merge_is_not_read(spark, tmp):
     assert run._cells(0, 1 << 62, 3).agg(F.sum("n")).first()[0] == 3
 
 
+def test_a_batch_of_many_hours_is_written_by_few_jobs(spark, tmp):
+    run = RT.RunningTrend(spark, os.path.join(tmp, "trend"), clock="event")
+    start = 1_700_000_000_000 - 1_700_000_000_000 % H
+    rows = [("pageview", start + h * H + k * M, f"v{k % 3}") for h in range(60) for k in range(5)]
+    spark.sparkContext.setJobGroup("many hours", "")
+    try:
+        run.update(spark.createDataFrame(rows, EVENTS), 0)
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("many hours")) < 30
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # only the horizon's hours are opened, and the next tick finds its cells in them
+    tick = rows[-1][1]
+    assert len(run.opened) == 6 and sums(run) == brute(rows, tick)
+    assert len(run._hours(0, 1 << 62)) == 60 and run._cells(0, 1 << 62, 1).agg(F.sum("n")).first()[0] == 300
+    run.update(spark.createDataFrame([("pageview", tick + 2 * H, "v9")], EVENTS), 1)
+    assert sums(run) == brute([*rows, ("pageview", tick + 2 * H, "v9")], tick + 2 * H)
+
+
+def test_an_hour_of_many_cells_is_written_by_several_tasks(spark, tmp, monkeypatch):
+    monkeypatch.setattr(RT, "HOUR_ROWS", 20)
+    run = RT.RunningTrend(spark, os.path.join(tmp, "trend"), clock="event")
+    rows = [("pageview", 1_700_000_000_000, f"v{k}") for k in range(200)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")    # small tasks stay apart
+    try:
+        for _ in range(2):      # a replay
+            run.update(spark.createDataFrame(rows, EVENTS), 0)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    [folder] = run._folders(run._hours(0, 1 << 62)[0], 1)
+    assert len([f for f in os.listdir(folder) if f.endswith(".parquet")]) > 1
+    assert run._cells(0, 1 << 62, 1).agg(F.sum("n")).first()[0] == 200 and sums(run) == brute(rows, rows[0][1])
+
+
 def test_ranks_of_all_members(spark):
     rng = random.Random(9)
     rows = [(t, f"v{i}", rng.randrange(5)) for t in range(4) for i in range(rng.randrange(0, 400))] + [(9, None, 1)]

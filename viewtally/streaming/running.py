@@ -13,8 +13,8 @@ its tick and bounds in a commit log before anything else depends on them; a repl
 repeats them and overwrites its own folders, nothing is added twice.
 
 Cells add up, so merging them must never show a row in two folders: a folder is
-named by the batches it holds (``b<first>_<last>``), counts once it is complete,
-and hides the folders of the batches inside it.
+named by the batches it holds (``b<first>_<last>``, ``b=<n>_<n>`` as a batch writes
+it), counts once it is complete, and hides the folders of the batches inside it.
 """
 
 from __future__ import annotations
@@ -35,10 +35,12 @@ from viewtally.sinks.commit_log import CommitLog, Conflict
 
 CELLS = "bucket_ms bigint, video string, n bigint"
 SUMS = "video string, n bigint"
-FOLDER = re.compile(r"b(\d+)_(\d+)")
+FOLDER = re.compile(r"b=?(\d+)_(\d+)")
 
 #: batches whose sums stay readable, and batches between two merges of cells
 KEEP, COMPACT_EVERY = 60, 60
+#: cells of a batch and hour that one task writes, about
+HOUR_ROWS = 2_000_000
 
 
 @dataclass
@@ -102,6 +104,12 @@ class RunningTrend:
         found = [int(n[5:]) for n in snapshot.names(self.spark, f"{self.root}/cells") if n.startswith("hour=")]
         return [h for h in found if lo < h + C.HOUR_MS and h < hi]
 
+    @staticmethod
+    def _of_hours(paths: list[str], lo: int, hi: int) -> list[str]:
+        """Folders of the hours that meet [lo, hi)."""
+        hour = lambda p: int(p.rsplit("/", 2)[1][5:])
+        return [p for p in paths if lo < hour(p) + C.HOUR_MS and hour(p) < hi]
+
     def _cells(self, lo: int, hi: int, below: int) -> DataFrame:
         """Cells of the minutes [lo, hi) that batches below ``below`` wrote."""
         paths = [p for h in self._hours(lo, hi) for p in self._folders(h, below)]
@@ -111,16 +119,21 @@ class RunningTrend:
         return self.spark.read.schema(CELLS).parquet(*paths).where((F.col("bucket_ms") >= lo) & (F.col("bucket_ms") < hi))
 
     def _write_cells(self, cells: DataFrame, batch_id: int) -> list[str]:
-        """A folder for each hour of the batch, as paths."""
-        cells = cells.withColumn("hour", F.col("bucket_ms") - F.pmod("bucket_ms", F.lit(C.HOUR_MS))).persist()
-        try:
-            hours = [r["hour"] for r in cells.select("hour").distinct().collect()]     # hours a batch reaches
-            paths = [f"{self.root}/cells/hour={h}/b{batch_id}_{batch_id}" for h in sorted(hours)]
-            for h, path in zip(sorted(hours), paths):
-                cells.where(F.col("hour") == h).drop("hour").hint("rebalance").write.mode("overwrite").parquet(path)
-            return paths
-        finally:
-            cells.unpersist()
+        """A folder for each hour of the batch, as paths.  One job writes them
+        all; each is marked complete when every one of them is in its place."""
+        cells = cells.withColumn("hour", F.col("bucket_ms") - F.pmod("bucket_ms", F.lit(C.HOUR_MS)))
+        sizes = {r["hour"]: r["count"] for r in cells.groupBy("hour").count().collect()}     # hours a batch reaches
+        if not sizes:
+            return []
+        # an hour of many cells is written by several tasks
+        files = F.pmod(F.xxhash64("bucket_ms", "video"), F.lit(1 + max(sizes.values()) // HOUR_ROWS))
+        (cells.repartition("hour", files).withColumn("b", F.lit(f"{batch_id}_{batch_id}"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("hour", "b").parquet(f"{self.root}/cells"))
+        paths = [f"{self.root}/cells/hour={h}/b={batch_id}_{batch_id}" for h in sorted(sizes)]
+        for path in paths:
+            snapshot.put_text(self.spark, f"{path}/_SUCCESS", "")
+        return paths
 
     # ---- a batch
 
@@ -139,6 +152,7 @@ class RunningTrend:
         finally:
             cells.unpersist()
         low, tick = self._low(state["tick"]), state["tick"]
+        own = self._of_hours(own, low, tick + 1)
         self.opened += own
         new = self.spark.read.schema(CELLS).parquet(*own) if own else self.spark.createDataFrame([], CELLS)
         parts = [new.where((F.col("bucket_ms") >= low) & (F.col("bucket_ms") <= tick)).select("video", "n")]
