@@ -7,6 +7,7 @@ import time
 
 import numpy as np
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from viewtally.streaming import keyed as KD
@@ -34,6 +35,77 @@ def test_spans_in_any_order_and_chunks():
         assert spans == brute_spans(ts, 10)
 
 
+class OneKey:
+    """A key's state and timers in memory; counts what would be calls to the JVM."""
+
+    def __init__(self):
+        self.held, self.timers, self.calls = [], set(), 0
+
+    def getListState(self, *_):
+        return self
+
+    def exists(self):
+        self.calls += 1
+        return bool(self.held)
+
+    def get(self):
+        self.calls += 1
+        return iter(self.held)
+
+    def put(self, rows):
+        self.calls, self.held = self.calls + 1, list(rows)
+
+    def clear(self):
+        self.calls, self.held = self.calls + 1, []
+
+    def listTimers(self):
+        self.calls += 1
+        return iter(self.timers)
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.calls += 1
+        self.timers.remove(at)
+
+
+class At:
+    def __init__(self, now):
+        self.now = now
+
+    def getCurrentWatermarkInMs(self):
+        return self.now
+
+
+def test_a_key_needs_few_calls_and_no_frame(monkeypatch):
+    monkeypatch.setattr(KD, "CHUNK", 4)
+    rng = random.Random(6)
+    for _ in range(100):
+        state, users, now, seen, ended = OneKey(), KD.ActiveUsers(10, True), 0, [], []
+        users.init(state)
+        for _ in range(rng.randrange(1, 8)):
+            ts = [now + rng.randrange(60) for _ in range(rng.randrange(1, 15))]
+            seen += ts
+            new, state.calls = not state.held, 0
+            rows = iter([Row(metric="order", uid="u", ts_ms=t) for t in ts])
+            [told] = users.handleInputRows(("order", "u"), rows, At(now))
+            assert state.calls <= (3 if new else 4)
+            assert (told.metric, told.uid, told.active) == ("order", "u", True)
+            assert (told.since_ms, told.last_ms, told.n) == state.held[-1]
+            now += rng.choice([0, 5, 40, 100])
+            while state.timers and min(state.timers) <= now:
+                state.calls, fired = 0, min(state.timers)
+                gone = list(users.handleExpiredTimer(("order", "u"), At(now), None))
+                assert state.calls <= 3 and not any(r.active for r in gone)
+                ended += [(r.since_ms, r.last_ms, r.n) for r in gone]
+                state.timers.discard(fired)     # Spark does
+            # one timer, at the end of the first period
+            assert state.timers == ({min(last for _, last, _ in state.held) + 10} if state.held else set())
+        assert sorted(ended + state.held) == brute_spans(seen, 10)
+
+
 def source(spark, folder):
     os.makedirs(folder, exist_ok=True)
     schema = "metric string, ts_ms bigint, uid string"

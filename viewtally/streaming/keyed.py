@@ -19,10 +19,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from itertools import islice
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -33,8 +34,12 @@ STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 ACTIVE = "metric string, uid string, since_ms bigint, last_ms bigint, n bigint, active boolean"
+SEEN = Row("metric", "uid", "since_ms", "last_ms", "n", "active")
 COUNTER = "metric string, bucket_ms bigint, n bigint"
 
+#: events of a key that a task holds at a time
+CHUNK = 10_000
+
 Span = tuple[int, int, int]     # first event, last event, events
 
 
@@ -68,38 +73,40 @@ class ActiveUsers(StatefulProcessor):
         self.handle = handle
         self.open = handle.getListState("open", "since_ms bigint, last_ms bigint, n bigint")
 
-    def _wake(self, spans: list[Span]) -> None:
-        at = min(last for _, last, _ in spans) + self.horizon_ms
-        for old in list(self.handle.listTimers()):
-            if old != at:
-                self.handle.deleteTimer(old)
-        self.handle.registerTimer(at)
+    def _read(self) -> list[Span]:
+        return [tuple(map(int, s)) for s in self.open.get()]
 
-    @staticmethod
-    def _rows(key, spans: list[Span], active: bool) -> pd.DataFrame:
-        return pd.DataFrame([(*key, *s, active) for s in spans],
-                            columns=["metric", "uid", "since_ms", "last_ms", "n", "active"])
+    def _timer(self, spans: list[Span]) -> int:
+        """When the first of the spans ends: the one timer that a key has."""
+        return min(last for _, last, _ in spans) + self.horizon_ms
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        spans = [tuple(map(int, s)) for s in self.open.get()] if self.open.exists() else []
-        for chunk in rows:
-            spans = merge_spans(spans + spans_of(chunk["ts_ms"].to_numpy(), self.horizon_ms), self.horizon_ms)
+    @staticmethod
+    def _rows(key, spans: list[Span], active: bool) -> Iterator[Row]:
+        return (SEEN(*key, *s, active) for s in spans)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        spans = self._read()
+        old = self._timer(spans) if spans else None     # as it was set beside these spans
+        while ts := [row["ts_ms"] for row in islice(rows, CHUNK)]:
+            spans = merge_spans(spans + spans_of(np.array(ts), self.horizon_ms), self.horizon_ms)
         self.open.put(spans)
-        self._wake(spans)
-        yield self._rows(key, spans[-1:], True)
+        if (at := self._timer(spans)) != old:
+            if old is not None:
+                self.handle.deleteTimer(old)
+            self.handle.registerTimer(at)
+        yield from self._rows(key, spans[-1:], True)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = timerValues.getCurrentWatermarkInMs() if self.event_time else timerValues.getCurrentProcessingTimeInMs()
-        spans = [tuple(map(int, s)) for s in self.open.get()]
+        spans = self._read()
         gone = [s for s in spans if s[1] + self.horizon_ms <= now]
         stay = [s for s in spans if s[1] + self.horizon_ms > now]
         if stay:
             self.open.put(stay)
-            self._wake(stay)
+            self.handle.registerTimer(self._timer(stay))    # the one that fired goes by itself
         else:
             self.open.clear()
-        if gone:
-            yield self._rows(key, gone, False)
+        yield from self._rows(key, gone, False)
 
     def close(self) -> None:
         pass
@@ -148,7 +155,7 @@ def active_users(events: DataFrame, horizon_ms: int = C.LAST_SEEN_HORIZON_MS, ev
         .select("metric", "uid", "ts_ms", "ts")
     if event_time:
         seen = seen.withWatermark("ts", f"{delay_ms} milliseconds")
-    return seen.groupBy("metric", "uid").transformWithStateInPandas(
+    return seen.groupBy("metric", "uid").transformWithState(
         statefulProcessor=ActiveUsers(horizon_ms, event_time), outputStructType=ACTIVE, outputMode="update",
         timeMode="EventTime" if event_time else "ProcessingTime")
 
