@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -68,6 +69,30 @@ def test_alignment_equals_brute_force(spark, paths, limits):
     assert token_align.align(df.limit(0), **limits).count() == 0
 
 
+def test_a_text_is_encoded_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def told(text):
+        read.add(1)
+        return text
+
+    rows = [(i, t) for i, t in enumerate(ODD[:20])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("text", told("text"))
+    assert len(token_align.align(df).collect()) == 20 and read.value == 20
+
+
+def test_slices_hold_every_link_once(monkeypatch):
+    monkeypatch.setattr(token_align, "LOOK_LINKS", 10)
+    rng = random.Random(2)
+    for _ in range(200):
+        links = [np.array([rng.randrange(9) for _ in range(rng.choice([0, 0, 1, 3, 25]))], np.int64) for _ in range(rng.randrange(0, 30))]
+        got = list(token_align._slices(pa.array([x.tobytes() for x in links], pa.binary())))
+        assert [x for lo, hi, _ in got for x in range(lo, hi)] == list(range(len(links)))
+        for lo, hi, flat in got:
+            assert flat.tolist() == [int(x) for doc in links[lo:hi] for x in doc] and sum(map(len, links[lo:hi - 1])) < 20
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 1000, 50_000])
 def test_perfect_hash_is_minimal_and_keys_are_verified(n):
     rng = np.random.default_rng(n)

@@ -23,13 +23,14 @@ NULL_ID = -(1 << 63)
 TEXT_BATCH_ROWS = 1000
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder that
     ``spark.checkpoint.dir`` names, and read it back: lineage is cut, later
-    steps survive the loss of any executor, and columns prune."""
+    steps survive the loss of any executor, and columns prune.  ``codec``: how
+    its pages are packed, the session's way without it."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 

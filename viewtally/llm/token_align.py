@@ -3,16 +3,16 @@
 Two tokenizers cut the same bytes.  Offsets where tokens of both end cut them
 into groups, and an A and a B token that end together are a link.
 
-First pass: texts are aligned and the distinct pairs (a, b) of each task, with
-their counts, are written.  The distinct pairs of all tasks, dealt into shards of some
-65,536 by hash, get a minimal perfect hash function each (a cascade of bit
-vectors: a key that shares its place with none is settled, the others go on to
-the next vector).  Counts are dense vectors indexed by that hash: a vector
+First pass: texts are aligned once and written with their links.  The distinct
+pairs (a, b) of each task, with their counts, are counted from the written links and
+dealt into shards of some 65,536 by hash; each gets a minimal perfect hash function (a
+cascade of bit vectors: a key that shares its place with none is settled, the others go
+on to the next vector).  Counts are dense vectors indexed by that hash: a vector
 for each (shard, slice of the tasks), then summed as a tree.  Beside the counts
 lie the keys, so that a pair that was never counted is told from those that
-were.  Second pass: texts are aligned again and every link looks up its
-count.  Functions, keys and counts are broadcast while there are at most
-``BROADCAST_PAIRS`` pairs; beyond that the links go to the shards instead.
+were.  Second pass: every written link looks up its count.  Functions, keys and counts
+are broadcast while there are at most ``BROADCAST_PAIRS`` pairs; beyond that the
+links go to the shards instead.
 
 Both tokenizers cut before white space that follows anything else (but for the
 few characters, such as carriage returns, that pieces hold behind others), so a
@@ -28,11 +28,12 @@ import json
 import re
 import struct
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, pairwise
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,6 +54,7 @@ BROADCAST_PAIRS = 4_000_000
 FAN = 16            # vectors summed together
 CELL_BITS = 20      # of the hash that deals pairs into shards
 FLUSH = 1 << 20     # pairs a task holds before it hands them on
+LOOK_LINKS = 1 << 19    # links counted or looked up at once, about
 
 # Characters with the Unicode property White_Space.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -227,20 +229,8 @@ class Aligner:
             w0, g0, a0, b0 = w1, g1, a1, b1
         return out
 
-    def links(self, texts: list[str | None]) -> bytes:
-        """The links of all texts, without their groups."""
-        return self._read(texts, lambda found: b"".join([x[4] for x in found]), lambda x: x.links, b"".join)
-
     def texts(self, texts: list[str | None]) -> list[Aligned]:
-        """The alignment of each text."""
-        def whole(found: list[Aligned]) -> Aligned:
-            n_a, n_b, n_groups, groups, links = zip(*found)
-            return Aligned(sum(n_a), sum(n_b), sum(n_groups), ";".join(groups), b"".join(links))
-        return self._read(texts, whole, lambda x: x, list)
-
-    def _read(self, texts: list[str | None], joined, single, collected):
-        """``collected`` over the texts: ``joined`` of their chunks, or
-        ``single`` of a text that is aligned whole.  Chunks new to the worker are encoded
+        """The alignment of each text.  Chunks new to the worker are encoded
         together; one is remembered when it comes for the second time, and
         forgotten when two halves of the memory have filled without it."""
         if len(self.known) > CACHE_CHUNKS // 2:
@@ -257,17 +247,18 @@ class Aligner:
         for text, parts in zip(texts, cut):
             found = [known[c] for c in parts]
             if not found:
-                out.append(single(NOTHING))
+                out.append(NOTHING)
             elif None not in found:
-                out.append(joined(found))
+                n_a, n_b, n_groups, groups, links = zip(*found)
+                out.append(Aligned(sum(n_a), sum(n_b), sum(n_groups), ";".join(groups), b"".join(links)))
             else:
                 text = " " + text
-                out.append(single(self.align(self.a.ids(text), self.b.whole(text[1:]), text.encode()) or NOTHING))
+                out.append(self.align(self.a.ids(text), self.b.whole(text[1:]), text.encode()) or NOTHING)
         for c in new:
             if hash(c) not in self.seen or len(c) > CACHE_LENGTH:
                 self.seen.add(hash(c))
                 del known[c]
-        return collected(out)
+        return out
 
 
 @functools.lru_cache(2)
@@ -367,19 +358,49 @@ class Counts(NamedTuple):
 
 # ---- first pass -------------------------------------------------------------
 
-def pair_counts(docs: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
-    """Links of all texts, counted within tasks: task, cell, key, n."""
+_OWN = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups"]
+
+
+def spelled(docs: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
+    """Every row's alignment, written once: ``_OWN``, links (int64 keys in
+    order) and a number of the row."""
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        aligner = _aligner(byte_path, piece_path)
+        long = lambda xs: pa.array(xs, pa.int64())
+        for batch in batches:
+            found = aligner.texts(batch.column(1).to_pylist())
+            yield pa.record_batch([batch.column(0), long([x.n_a for x in found]), long([x.n_b for x in found]),
+                                   long([x.n_groups for x in found]), long([len(x.links) // 8 for x in found]),
+                                   pa.array([x.groups for x in found], pa.string()),
+                                   pa.array([x.links for x in found], pa.binary())], [*_OWN, "links"])
+
+    schema = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups string, links binary"
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(spell, schema)
+    with text_batches(docs.sparkSession, BATCH_ROWS):
+        return stage(rows.withColumn("_rid", F.monotonically_increasing_id()), "spelled", "zstd")
+
+
+def _slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Rows from, rows to and their links, about ``LOOK_LINKS`` at a time."""
+    ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False), dtype=np.int64) // 8
+    cuts = np.flatnonzero(np.diff(ends // LOOK_LINKS, prepend=0)) + 1
+    for lo, hi in pairwise([0, *cuts[cuts < len(column)].tolist(), len(column)]):
+        yield lo, hi, np.frombuffer(b"".join(column.slice(lo, hi - lo).to_pylist()), np.int64)
+
+
+def pair_counts(rows: DataFrame) -> DataFrame:
+    """Links of all rows of ``spelled``, counted within tasks: task, cell, key, n."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        aligner, task = _aligner(byte_path, piece_path), TaskContext.get().partitionId()
+        _aligner.cache_clear()      # of this worker's first pass
+        task = TaskContext.get().partitionId()
         keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
 
         def rows(keys, counts):
             return pa.record_batch([pa.array(np.full(len(keys), task, np.int32)), pa.array(cell(keys)),
                                     pa.array(keys), pa.array(counts)], ["task", "cell", "key", "n"])
 
-        for batch in batches:
-            links = np.frombuffer(aligner.links(batch.column(0).to_pylist()), np.int64)
+        for _, _, links in chain.from_iterable(_slices(b.column(0)) for b in batches):
             k, n = np.unique(links, return_counts=True)
             keys, at = np.unique(np.concatenate((keys, k)), return_inverse=True)
             counts = np.bincount(at, np.concatenate((counts, n)), len(keys)).astype(np.int64) \
@@ -390,7 +411,7 @@ def pair_counts(docs: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
         if len(keys):
             yield rows(keys, counts)
 
-    return docs.select("text").mapInArrow(count, "task int, cell int, key bigint, n bigint")
+    return rows.select("links").mapInArrow(count, "task int, cell int, key bigint, n bigint")
 
 
 class PairTable(NamedTuple):
@@ -404,9 +425,13 @@ class PairTable(NamedTuple):
 
 def count_pairs(docs: DataFrame, byte_path: str, piece_path: str, shard_pairs: int = SHARD_PAIRS,
                 slice_rows: int = SLICE_ROWS) -> PairTable:
-    spark = docs.sparkSession
-    with text_batches(spark, BATCH_ROWS):
-        told = stage(pair_counts(docs, byte_path, piece_path), "pairs")
+    return count_links(spelled(docs, byte_path, piece_path), shard_pairs, slice_rows)
+
+
+def count_links(rows: DataFrame, shard_pairs: int = SHARD_PAIRS, slice_rows: int = SLICE_ROWS) -> PairTable:
+    """The counted links of ``spelled``."""
+    with text_batches(rows.sparkSession):
+        told = stage(pair_counts(rows), "pairs")
     keys = stage(told.select("cell", "key").distinct(), "keys")
     n_pairs, n_rows = keys.count(), told.count()
     bits = min(CELL_BITS, max(0, (max(n_pairs, 1) - 1) // shard_pairs).bit_length())
@@ -475,58 +500,47 @@ def pairs(table: PairTable) -> DataFrame:
 
 # ---- second pass ------------------------------------------------------------
 
-_OWN = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups string"
-
-
-def _own(ids: pa.Array, found: list[Aligned]) -> tuple[list[pa.Array], list[str]]:
-    long = lambda xs: pa.array(xs, pa.int64())
-    return ([ids, long([x.n_a for x in found]), long([x.n_b for x in found]), long([x.n_groups for x in found]),
-             long([len(x.links) // 8 for x in found]), pa.array([x.groups for x in found], pa.string())],
-            ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups"])
-
-
-def _by_broadcast(docs: DataFrame, table: PairTable, byte_path: str, piece_path: str) -> DataFrame:
+def _by_broadcast(rows: DataFrame, table: PairTable) -> DataFrame:
     most = {r["b"]: r["most"] for r in table.best.collect()}
     best = np.zeros(max(most, default=0) + 1, np.int64)
     best[list(most)] = list(most.values())
     shards = {r["shard"]: (bytes(r["fn"]), bytes(r["keys"]), bytes(r["counts"])) for r in table.shards.collect()}
-    shared = docs.sparkSession.sparkContext.broadcast((table.bits, shards, best))
+    shared = rows.sparkSession.sparkContext.broadcast((table.bits, shards, best))
 
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("struct<n_best bigint, count_sum bigint>")
+    def find(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        _aligner.cache_clear()
         bits, raw, best = shared.value
         counts = Counts(bits, {s: Shard(PerfectHash.load(f), np.frombuffer(k, np.int64), np.frombuffer(c, np.int64))
                                for s, (f, k, c) in raw.items()}, best)
-        aligner = _aligner(byte_path, piece_path)
-        for batch in batches:
-            found = aligner.texts(batch.column(1).to_pylist())
-            keys = np.frombuffer(b"".join(x.links for x in found), np.int64)
-            n = counts.look_up(keys)
-            top = n == best[keys & 0xFFFFFFFF]
-            ends = np.cumsum([len(x.links) // 8 for x in found], dtype=np.int64)
-            total = lambda x: np.diff(np.concatenate(([0], np.cumsum(x, dtype=np.int64)))[np.concatenate(([0], ends))])
-            columns, names = _own(batch.column(0), found)
-            yield pa.record_batch([*columns, pa.array(total(top)), pa.array(total(n))], [*names, "n_best", "count_sum"])
-
-    return docs.mapInArrow(find, _OWN + ", n_best bigint, count_sum bigint")
-
-
-def _by_shards(docs: DataFrame, table: PairTable, byte_path: str, piece_path: str, slice_rows: int) -> DataFrame:
+        for column in columns:
+            sizes = pc.binary_length(column).to_numpy(zero_copy_only=False) // 8
+            out = np.zeros((2, len(column)), np.int64)
+            for lo, hi, links in _slices(column):
+                keys, at = np.unique(links, return_inverse=True)
+                n = counts.look_up(keys)
+                top = n == best[keys & 0xFFFFFFFF]
+                starts = np.concatenate(([0], np.cumsum(sizes[lo:hi], dtype=np.int64)))
+                for total, x in zip(out, (top, n)):
+                    total[lo:hi] = np.diff(np.concatenate(([0], np.cumsum(x[at], dtype=np.int64)))[starts])
+            yield pa.StructArray.from_arrays([pa.array(x) for x in out], ["n_best", "count_sum"])
+
+    found = rows.select(*_OWN, find("links").alias("_found")).select(*_OWN, "_found.n_best", "_found.count_sum")
+    with text_batches(rows.sparkSession):
+        return stage(found, "aligned", "zstd")
+
+
+def _by_shards(rows: DataFrame, table: PairTable, slice_rows: int) -> DataFrame:
     """The same with the links sent to the shards: nothing is broadcast."""
-    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = _aligner(byte_path, piece_path)
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = aligner.texts(batch.column(1).to_pylist())
-            columns, names = _own(batch.column(0), found)
-            links = [np.unique(np.frombuffer(x.links, np.int64), return_counts=True) for x in found]
-            told = pa.array([[{"cell": c, "key": k, "m": m} for c, k, m in zip(cell(ks).tolist(), ks.tolist(), ms.tolist())]
-                             for ks, ms in links], pa.list_(pa.struct([("cell", pa.int32()), ("key", pa.int64()), ("m", pa.int64())])))
-            yield pa.record_batch([*columns, told], [*names, "links"])
+            for rid, links in zip(batch.column(0).to_pylist(), batch.column(1)):
+                ks, ms = np.unique(np.frombuffer(links.as_py(), np.int64), return_counts=True)
+                yield pa.record_batch([pa.array(np.full(len(ks), rid, np.int64)), pa.array(cell(ks)), pa.array(ks), pa.array(ms)],
+                                      ["_rid", "cell", "key", "m"])
 
-    with text_batches(docs.sparkSession, BATCH_ROWS):
-        rows = stage(docs.mapInArrow(spell, _OWN + ", links array<struct<cell:int,key:bigint,m:bigint>>")
-                     .withColumn("_rid", F.monotonically_increasing_id()), "links")
-    links = rows.select("_rid", F.explode("links").alias("l")).select(
-        "_rid", F.shiftright("l.cell", CELL_BITS - table.bits).alias("shard"), "l.key", "l.m")
+    links = rows.select("_rid", "links").mapInArrow(tell, "_rid bigint, cell int, key bigint, m bigint").select(
+        "_rid", F.shiftright("cell", CELL_BITS - table.bits).alias("shard"), "key", "m")
     n = links.count()
     slices = max(1, -(-n // (slice_rows << table.bits)))
     links = links.withColumn("part", F.pmod(F.xxhash64("_rid"), F.lit(slices)).cast("int"))
@@ -564,12 +578,9 @@ def align(docs: DataFrame, byte_path: str | None = None, piece_path: str | None
     text are not looked at.
     """
     byte_path, piece_path = byte_path or tokenizer_path(BYTE_BPE), piece_path or tokenizer_path(PIECE_BPE)
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    table = count_pairs(docs, byte_path, piece_path, shard_pairs, slice_rows)
-    if table.n_pairs <= broadcast_pairs:
-        with text_batches(docs.sparkSession, BATCH_ROWS):
-            return stage(_by_broadcast(docs, table, byte_path, piece_path), "aligned")
-    return _by_shards(docs, table, byte_path, piece_path, slice_rows)
+    rows = spelled(docs, byte_path, piece_path)
+    table = count_links(rows, shard_pairs, slice_rows)
+    return _by_broadcast(rows, table) if table.n_pairs <= broadcast_pairs else _by_shards(rows, table, slice_rows)
 
 
 def alignment_digests(docs: DataFrame) -> DataFrame:
