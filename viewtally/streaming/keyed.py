@@ -107,6 +107,8 @@ class ActiveUsers(StatefulProcessor):
         else:
             self.open.clear()
         yield from self._rows(key, gone, False)
+        if gone and stay:       # the user has not left
+            yield from self._rows(key, stay[-1:], True)
 
     def close(self) -> None:
         pass
@@ -149,8 +151,8 @@ def active_users(events: DataFrame, horizon_ms: int = C.LAST_SEEN_HORIZON_MS, ev
                  delay_ms: int = 0) -> DataFrame:
     """``metric, uid, since_ms, last_ms, n, active`` from events (``metric,
     ts_ms, uid, ts``): one row when a batch brings a user events, one
-    (``active`` false) for each period that ended.  ``delay_ms``: how late events
-    may come, in event time."""
+    (``active`` false) for each period that ended and, beside these, one for the
+    newest that lasts.  ``delay_ms``: how late events may come, in event time."""
     seen = events.where(F.col("metric").isin("pageview", "order") & F.col("uid").isNotNull()) \
         .select("metric", "uid", "ts_ms", "ts")
     if event_time:
