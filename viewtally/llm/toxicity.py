@@ -149,7 +149,8 @@ def _terms(sample: DataFrame, n0: int, n1: int) -> dict[str, float]:
     counts = words.groupBy("w").agg(c1.cast("double").alias("c1"), c0.cast("double").alias("c0"))
     a0 = max(PRIOR * (n0 + n1), 1.0)
     a = (F.col("c1") + F.col("c0")) * (a0 / (n0 + n1))
-    odds = lambda c, n: F.log((c + a) / (n + a0 - c - a))
+    # no odds for a word of all documents: null, it is not clear
+    odds = lambda c, n: F.log(F.try_divide(c + a, n + a0 - c - a))
     scored = (counts.withColumn("s", odds(F.col("c1"), float(n1)) - odds(F.col("c0"), float(n0)))
               .withColumn("z", F.col("s") / F.sqrt(1 / (F.col("c1") + a) + 1 / (F.col("c0") + a))))
     # every clear token; the sample of rows is what bounds them
